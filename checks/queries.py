@@ -365,8 +365,7 @@ def stream_ingest(spark, sf):
     lines = X.read_rating_lines(spark, R.damaged_folder(spark, sf))
     judged = X.parse_rating_lines(lines, ("user_id", "movie_id", "rating", "timestamp"))
     X.stream_ingest(judged, f"{out}/data", f"{out}/log").awaitTermination()
-    good = spark.read.parquet(f"{out}/data/ratings").drop("batch_id")
-    bad = spark.read.parquet(f"{out}/data/quarantine")
+    good, bad = X.ingested(spark, f"{out}/data")
     return good.select(F.lit("ok").alias("reason"), "rating").unionAll(
         bad.select("reason", F.lit(None).cast("double").alias("rating"))
     ).groupBy("reason", "rating").agg(F.count(F.lit(1)).alias("n"))

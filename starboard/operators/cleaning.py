@@ -24,39 +24,60 @@ REASONS = ("missing_key", "invalid_timestamp", "invalid_rating", "rating_out_of_
 
 
 
+def typed_columns(df: DataFrame, table: str) -> list[Column]:
+    """The columns of a canonical table in their types; empty or unfit text is null."""
+    given = dict(df.dtypes)
+    columns = []
+    for field in CANONICAL[table].fields:
+        name, kind = field.name, field.dataType.simpleString()
+        if name not in given:
+            column = F.lit(None).cast(kind)
+        elif kind == "string":
+            column = F.nullif(strip(F.col(name).cast("string")), F.lit(""))
+        elif given[name] == kind:
+            column = F.col(name)
+        else:
+            column = to_number(name, kind)
+        columns.append(column.alias(name))
+    return columns
+
+
+def typed(df: DataFrame, table: str) -> DataFrame:
+    return df.select(*typed_columns(df, table))
+
+
 def rating_reason(
     lo: float, hi: float, require: Sequence[str] = ("user_id", "movie_id")
 ) -> Column:
-    """Why a rating row is not usable, or ``ok``. Columns may still be text.
+    """Why a typed rating row is not usable, or ``ok``.
 
-    A rating that is no number is set aside; it is never turned into a zero.
+    A rating that was no number is null here and set aside; it never becomes a zero.
     """
-    keys = [name for name in require if name != "ts"]
-    rating = to_number("rating", "double")
-    reason = F
-    for key in keys:
-        reason = reason.when(to_number(key, "int").isNull(), "missing_key")
-    if "ts" in require:
-        reason = reason.when(to_number("ts", "bigint").isNull(), "invalid_timestamp")
-    return (
-        reason.when(rating.isNull(), "invalid_rating")
-        .when(~rating.between(lo, hi), "rating_out_of_range")
-        .otherwise(ROW_OK)
-    )
+    rating = F.col("rating")
+    tests = [
+        (F.col(name).isNull(), "invalid_timestamp" if name == "ts" else "missing_key")
+        for name in require
+    ]
+    tests.append((rating.isNull(), "invalid_rating"))
+    tests.append((~rating.between(lo, hi), "rating_out_of_range"))
+    return first_reason(tests)
 
 
-def typed(df: DataFrame, table: str) -> DataFrame:
-    """The columns of a canonical table in their types; text that does not fit is null."""
-    columns = []
-    for field in CANONICAL[table].fields:
-        kind = field.dataType.simpleString()
-        if field.name not in df.columns:
-            columns.append(F.lit(None).cast(kind).alias(field.name))
-        elif kind == "string":
-            columns.append(strip(F.col(field.name).cast("string")).alias(field.name))
-        else:
-            columns.append(to_number(field.name, kind).alias(field.name))
-    return df.select(*columns)
+def first_reason(tests: Sequence[tuple[Column, str]]) -> Column:
+    """The reason of the first test that holds, else ``ok``."""
+    return F.coalesce(*[F.when(test, reason) for test, reason in tests], F.lit(ROW_OK))
+
+
+def judge_ratings(
+    ratings: DataFrame,
+    lo: float,
+    hi: float,
+    require: Sequence[str] = ("user_id", "movie_id"),
+) -> DataFrame:
+    """The typed rating columns, the row as it came in ``raw``, and the ``reason``."""
+    columns = typed_columns(ratings, "ratings")
+    judged = ratings.select(F.struct("*").alias("raw"), *columns)
+    return judged.withColumn("reason", rating_reason(lo, hi, require))
 
 
 def clean_ratings(
@@ -66,18 +87,17 @@ def clean_ratings(
     require: Sequence[str] = ("user_id", "movie_id"),
     dedup: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """Usable ratings in canonical types, and the other rows with their reason.
+    """Usable ratings in canonical types, and the other rows as they came with a reason.
 
     Strict cleaning is ``lo=1, hi=5, require=(user_id, movie_id, ts)``, lenient cleaning
     is ``lo=0, hi=10``.
     """
-    judged = ratings.withColumn("reason", rating_reason(lo, hi, require))
+    judged = judge_ratings(ratings, lo, hi, require)
     valid = typed(judged.where(F.col("reason") == ROW_OK), "ratings")
-    if "ts" not in require:
-        valid = valid.withColumn("ts", F.coalesce("ts", F.lit(0).cast("bigint")))
+    valid = valid.withColumn("ts", F.coalesce("ts", F.lit(0).cast("bigint")))
     if dedup:
         valid = distinct_rows(valid)
-    return valid, judged.where(F.col("reason") != ROW_OK)
+    return valid, judged.where(F.col("reason") != ROW_OK).select("raw.*", "reason")
 
 
 def quality_counts(
@@ -87,8 +107,7 @@ def quality_counts(
     require: Sequence[str] = ("user_id", "movie_id"),
 ) -> DataFrame:
     """Rows before and after cleaning and removed rows by reason, in one pass."""
-    reasons = ratings.select(rating_reason(lo, hi, require).alias("reason"))
-    return reasons.agg(
+    return judge_ratings(ratings, lo, hi, require).agg(
         F.count(F.lit(1)).alias("rows_before"),
         F.count_if(F.col("reason") == ROW_OK).alias("rows_after"),
         F.count_if(F.col("reason") != ROW_OK).alias("rows_removed"),

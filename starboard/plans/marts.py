@@ -7,6 +7,7 @@ its own partition folder, so a rerun leaves the same state and two datasets neve
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from starboard.operators.analyses import summary_from_ratings
 from starboard.operators.mapping import PROFILE_DEFAULTS, default_fill
 from starboard.plans.analysis import Frames
 from starboard.schemas import CANONICAL, DEFAULT_DATASET, MARTS, REGISTRY
+from starboard.session import together
 
 REGISTRY_TABLE = "datasets"
 _CANONICAL_PREFIX = "canonical_"
@@ -48,12 +50,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0).select(
+        *[F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+    )
+
+
 def read_all(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
     """The whole table with its ``dataset_id``; empty if nothing was written yet."""
     full = T.StructType([*schema.fields, T.StructField("dataset_id", T.IntegerType())])
     path = _folder(root, table)
     if not _exists(spark, path):
-        return spark.createDataFrame([], full)
+        return _empty(spark, full)
     return spark.read.schema(full).parquet(path)
 
 
@@ -68,13 +76,16 @@ def write_marts(
     spark: SparkSession, marts: Mapping[str, DataFrame], root: str, dataset_id: int
 ) -> None:
     """Replace the marts of a dataset. A mart that cannot be computed any more goes away."""
-    for name, schema in MARTS.items():
+
+    def replace(name: str) -> None:
         path = _partition(root, name, dataset_id)
         if name in marts:
-            _conform(marts[name], schema).write.mode("overwrite").parquet(path)
+            _conform(marts[name], MARTS[name]).write.mode("overwrite").parquet(path)
         else:
             _remove(spark, path)
 
+    together([partial(replace, name) for name in MARTS])
+
 
 def append_mart(df: DataFrame, root: str, name: str, dataset_id: int) -> None:
     """Add rows to a mart without replacing what is there. A rerun repeats its rows."""
@@ -84,7 +95,8 @@ def append_mart(df: DataFrame, root: str, name: str, dataset_id: int) -> None:
 def write_canonical(frames: Frames, root: str, dataset_id: int) -> None:
     """Replace the canonical tables of a dataset."""
     spark = frames.ratings.sparkSession
-    for table in CANONICAL:
+
+    def replace(table: str) -> None:
         frame = getattr(frames, table)
         path = _partition(root, _CANONICAL_PREFIX + table, dataset_id)
         if frame is None:
@@ -92,6 +104,8 @@ def write_canonical(frames: Frames, root: str, dataset_id: int) -> None:
         else:
             frame.write.mode("overwrite").parquet(path)
 
+    together([partial(replace, table) for table in CANONICAL])
+
 
 def read_canonical(spark: SparkSession, root: str, dataset_id: int) -> Frames:
     """The canonical tables of a dataset; columns it never had are left out."""
@@ -151,22 +165,21 @@ def update_registry(
     """Set the counts of a dataset from its summary, or from its ratings if it has none."""
     checked_id(dataset_id)
     known = read_registry(spark, root).where(F.col("id") == dataset_id).first()
-    summary = read_mart(spark, root, "dashboard_summary", dataset_id).where("total_ratings > 0")
-    ratings = read_canonical(spark, root, dataset_id).ratings
-    if summary.isEmpty() and ratings is not None:
-        counts = summary_from_ratings(ratings)
+    summary = read_mart(spark, root, "dashboard_summary", dataset_id).first()
+    ratings = _partition(root, _CANONICAL_PREFIX + "ratings", dataset_id)
+    if summary and summary["total_ratings"] > 0:
+        names = {"movie_count": "total_movies", "rating_count": "total_ratings",
+                 "user_count": "total_users"}
+        counts = {name: summary[total] for name, total in names.items()}
+    elif _exists(spark, ratings):
+        counts = summary_from_ratings(spark.read.parquet(ratings)).first().asDict()
     else:
-        counts = summary.limit(1).select(
-            F.col("total_movies").alias("movie_count"),
-            F.col("total_ratings").alias("rating_count"),
-            F.col("total_users").alias("user_count"),
-        )
-    label = name or (known["name"] if known else f"Dataset_{dataset_id}")
-    created = F.lit(known["created_at"]) if known else F.current_timestamp()
-    row = counts.select(
-        F.lit(label).alias("name"),
-        "movie_count", "rating_count", "user_count",
-        created.alias("created_at"),
+        counts = {}
+    row = spark.range(1).select(
+        F.lit(name or (known["name"] if known else f"Dataset_{dataset_id}")).alias("name"),
+        *[F.lit(counts.get(column, 0)).alias(column)
+          for column in ("movie_count", "rating_count", "user_count")],
+        (F.lit(known["created_at"]) if known else F.current_timestamp()).alias("created_at"),
     )
     _write_registry_row(row, root, dataset_id)
 
@@ -258,6 +271,16 @@ _BRIEFING: tuple[tuple[str, Sequence[str], int | None], ...] = (
 )
 
 
+_BRIEFING_SCHEMA = T.StructType(
+    [
+        T.StructField("section", T.IntegerType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("line", T.LongType()),
+        T.StructField("content", T.StringType()),
+    ]
+)
+
+
 def briefing_of(marts: Mapping[str, DataFrame]) -> DataFrame:
     """(section, name, line, content): the marts of a dataset as JSON lines to read out.
 
@@ -287,5 +310,5 @@ def dataset_briefing(spark: SparkSession, root: str, dataset_id: int) -> DataFra
     names = [name for name, _, _ in _BRIEFING
              if _exists(spark, _partition(root, name, dataset_id))]
     if not names:
-        return spark.createDataFrame([], "section int, name string, line bigint, content string")
+        return _empty(spark, _BRIEFING_SCHEMA)
     return briefing_of({name: read_mart(spark, root, name, dataset_id) for name in names})

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,3 +63,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(jobs: Iterable[Callable[[], object]]) -> list:
+    """Start independent jobs side by side; small ones would leave most executors idle."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return [job.result() for job in [pool.submit(job) for job in jobs]]

@@ -6,10 +6,12 @@ any mix of dialects is read by the same plan, and the driver never loops over fi
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starboard.functions.columns import strip, strip_line
+from starboard.functions.columns import not_blank
 from starboard.operators.mapping import normalized
 from starboard.schemas import ALIASES, DATA_NAME_PARTS, DATA_NAMES, HEADER_NAMES
 
@@ -40,6 +42,24 @@ def is_header(fields: Column) -> Column:
     return F.arrays_overlap(fields, _literals(HEADER_NAMES))
 
 
+# A field that is a header name, bare or in quotes, by delimiter.
+_HEADER_FIELD = {
+    sep: rf"(^|{sep})[\s\"'`]*({'|'.join(HEADER_NAMES)})[\s\"'`]*($|{sep})" for sep in DELIMITERS
+}
+# Every header name contains one of these: a plain search that spares most lines the pattern.
+_HEADER_HINTS = ("id", "rating", "title", "movie", "score")
+
+
+def is_header_line(line: Column, sep: Column) -> Column:
+    """``is_header`` on a whole line with a known delimiter, without cutting it up."""
+    low = F.lower(line)
+    hint = reduce(Column.__or__, [F.contains(low, F.lit(part)) for part in _HEADER_HINTS])
+    match = F
+    for choice in DELIMITERS:
+        match = match.when(sep == choice, low.rlike(_HEADER_FIELD[choice]))
+    return hint & match
+
+
 def _position(fields: Column, canonical: str) -> Column:
     """Index of a canonical column among the fields, by its best alias; null if absent."""
     found = [
@@ -67,8 +87,8 @@ def sniff_dialect(lines: DataFrame) -> DataFrame:
     delimiters apart; being an object aggregate it also lets Spark hash where the text
     of the first line alone would make it sort all lines.
     """
-    text = lines.where(strip("value") != "").select(
-        "file_path", "pos", strip_line("value").alias("line")
+    text = lines.where(not_blank("value")).select(
+        "file_path", "pos", F.trim("value").alias("line")
     )
     heads = text.groupBy("file_path").agg(
         F.min_by("line", "pos").alias("head"),
@@ -107,7 +127,11 @@ def _known_column(names: Column) -> Column:
 
 def admission_report(files: DataFrame, dialects: DataFrame) -> DataFrame:
     """(file_path, accepted, role, reason) for every file, also the empty ones."""
-    judged = files.join(dialects, "file_path", "left")
+    # A listing and a scan spell the path of a local file differently.
+    path = F.regexp_replace("file_path", "^file:/+", "file:/")
+    judged = files.withColumn("file_path", path).join(
+        dialects.withColumn("file_path", path), "file_path", "left"
+    )
     reason = (
         F.when(F.col("head").isNull(), "empty_file")
         .when(F.col("sep").isNull(), "no_delimiter")

@@ -15,13 +15,13 @@ def name_pattern(exts: Sequence[str] = EXTENSIONS) -> str:
 
 
 def list_files(spark: SparkSession, path: str, exts: Sequence[str] = EXTENSIONS) -> DataFrame:
-    """(file_path, length) of the accepted files. Their content is not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", name_pattern(exts))
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("file_path"), "length")
-    )
+    """(file_path) of the accepted files, empty ones included.
+
+    A scan passes over empty files, so the names come from the listing that the driver
+    makes for every scan anyway. No content is read.
+    """
+    listed = spark.read.option("pathGlobFilter", name_pattern(exts)).text(path).inputFiles()
+    return spark.createDataFrame([(name,) for name in listed], "file_path string")
 
 
 def scan_lines(spark: SparkSession, path: str, exts: Sequence[str] = EXTENSIONS) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starboard.functions.columns import strip, strip_line, to_number
+from starboard.functions.columns import not_blank
 from starboard.operators.cleaning import (
     ROW_OK,
     clean_movies,
@@ -15,10 +15,11 @@ from starboard.operators.cleaning import (
     distinct_rows,
     rating_reason,
     typed,
+    typed_columns,
 )
-from starboard.operators.mapping import fallbacks, normalized
-from starboard.schemas import ALIASES, HEADER_NAMES
-from starboard.sources.dialects import is_header, split_line
+from starboard.operators.mapping import ROLES, fallbacks
+from starboard.schemas import ALIASES, CANONICAL
+from starboard.sources.dialects import is_header_line, split_line
 
 # Dialect rows up to this many bytes are sent to every executor; beyond it the planner joins.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -50,34 +51,23 @@ def measure(dialects: DataFrame) -> DialectSize:
     return DialectSize(row["files"], row["width"], row["bytes"])
 
 
-def _cells(line: Column, sep: Column, width: int) -> Column:
-    """The values of a line as an array of ``width`` trimmed texts, short lines padded.
-
-    Commas and tabs inside double quotes belong to the value; '::' files know no quotes.
-    """
+def _unquote(line: Column, sep: Column, width: int) -> Column:
+    """The values of a line with quotes, as a struct of ``width`` texts, short lines padded."""
     schema = ", ".join(f"c{i} string" for i in range(width))
-    common = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
-    quoted = {**common, "quote": '"', "escape": '"'}
-
-    def cut(options: dict[str, str]) -> Column:
-        parsed = F.from_csv(line, schema, options)
-        return F.array(*[parsed[f"c{i}"] for i in range(width)])
-
-    return (
-        F.when(sep == "::", cut({**common, "sep": "::", "quote": ""}))
-        .when(sep == "\t", cut({**quoted, "sep": "\t"}))
-        .otherwise(cut({**quoted, "sep": ","}))
+    quoted = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true"}
+    return F.when(sep == "\t", F.from_csv(line, schema, {**quoted, "sep": "\t"})).otherwise(
+        F.from_csv(line, schema, {**quoted, "sep": ","})
     )
 
 
 def _reason(lo: float, hi: float) -> Column:
-    movie = F.when(to_number("movie_id", "int").isNull(), "missing_key").otherwise(ROW_OK)
-    user = F.when(to_number("user_id", "int").isNull(), "missing_key").otherwise(ROW_OK)
+    no_movie = F.when(F.col("movie_id").isNull(), "missing_key").otherwise(ROW_OK)
+    no_user = F.when(F.col("user_id").isNull(), "missing_key").otherwise(ROW_OK)
     return (
-        F.when(F.col("cells").isNull(), F.col("shape"))
+        F.when(F.col("shape") != ROW_OK, F.col("shape"))
         .when(F.col("role") == "ratings", rating_reason(lo, hi))
-        .when(F.col("role") == "movies", movie)
-        .otherwise(user)
+        .when(F.col("role") == "movies", no_movie)
+        .otherwise(no_user)
     )
 
 
@@ -90,9 +80,9 @@ def parse_rows(
 ) -> DataFrame:
     """Every line that is not blank of the files with a role, with its reason.
 
-    Columns: file_path, role, reason, value, the canonical columns as text, and ``extra``
-    with the unknown columns by name. ``reason`` is ``ok`` for usable rows and ``header``
-    for header lines, the first one included.
+    Columns: file_path, role, reason, the canonical columns in their types, ``extra`` with
+    the unknown columns by name, and for rows set aside the line as it came in ``value``.
+    ``reason`` is ``ok`` for usable rows and ``header`` for header lines, the first too.
     """
     size = size or measure(dialects)
     shapes = dialects.where("role is not null").select(
@@ -100,40 +90,58 @@ def parse_rows(
     )
     if size.bytes <= BROADCAST_BYTES:
         shapes = F.broadcast(shapes)
-    line, sep = F.col("line"), F.col("sep")
-    text = (
-        lines.where(strip("value") != "")
-        .select("file_path", "value", strip_line("value").alias("line"))
-        .join(shapes, "file_path")
-    )
-    # The cheap pattern spares most lines the exact look at every field.
-    maybe = F.lower(line).rlike("|".join(HEADER_NAMES))
-    exact = is_header(F.transform(split_line(line, sep), normalized))
+    line, sep = F.trim("value"), F.col("sep")
+    text = lines.where(not_blank("value")).select("file_path", "value").join(shapes, "file_path")
+    # One step per select: what is cut here is used once per column and not cut again.
     shape = (
-        F.when(F.col("has_header") & maybe & exact, HEADER)
+        F.when(F.col("has_header") & is_header_line(line, sep), HEADER)
         .when(~F.contains(line, sep), TOO_FEW_FIELDS)
         .otherwise(ROW_OK)
     )
+    # Delimiters inside double quotes belong to the value. Only lines with a quote need the
+    # CSV parser; '::' files know no quotes.
+    quoted = (sep != "::") & F.contains("value", F.lit('"'))
     width = max(size.width, 2)
-    cut = text.withColumn("shape", shape).withColumn(
-        "cells", F.when(F.col("shape") == ROW_OK, _cells(line, sep, width))
+    row = text.select(
+        "file_path", "role", "value", "at", "extra_at", "extra_names",
+        shape.alias("shape"),
+        F.when(quoted, _unquote(line, sep, width)).alias("row"),
+        F.when(~quoted, split_line(line, sep)).alias("parts"),
+    )
+    unquoted = F.array(*[F.col("row")[f"c{i}"] for i in range(width)])
+    cells = row.withColumn(
+        "cells", F.coalesce("parts", F.when(F.col("row").isNotNull(), unquoted))
+    )
+    extra = F.map_from_arrays(
+        "extra_names", F.transform("extra_at", lambda i: F.get("cells", i))
     )
-    named = cut.select(
+    named = cells.select(
         "file_path",
         "role",
         "value",
         "shape",
-        "cells",
+        F.when((F.col("shape") == ROW_OK) & (F.size("extra_at") > 0), extra).alias("extra"),
         *[
             F.get("cells", F.col("at")[name]).alias(_CELLS.get(name, name))
             for name in ALIASES
         ],
-        F.when(
-            F.col("cells").isNotNull() & (F.size("extra_at") > 0),
-            F.map_from_arrays("extra_names", F.transform("extra_at", lambda i: F.get("cells", i))),
-        ).alias("extra"),
     )
-    return named.withColumn("reason", _reason(lo, hi)).drop("shape", "cells")
+    judged = named.select(
+        "file_path", "role", "value", "shape", "extra", *_canonical_columns(named)
+    ).withColumn("reason", _reason(lo, hi))
+    aside = ~F.col("reason").isin(ROW_OK, HEADER)
+    return judged.withColumn("value", F.when(aside, F.col("value"))).drop("shape")
+
+
+def _canonical_columns(df: DataFrame) -> list[Column]:
+    """The typed columns of all canonical tables a file can hold, each once."""
+    names, columns = set(), []
+    for role in ROLES:
+        for name, column in zip(CANONICAL[role].names, typed_columns(df, role)):
+            if name not in names:
+                names.add(name)
+                columns.append(column)
+    return columns
 
 
 def quarantine_of(rows: DataFrame) -> DataFrame:
@@ -153,7 +161,7 @@ def canonical_ratings(rows: DataFrame, dedup: bool = True) -> DataFrame:
 
 
 def canonical_movies(rows: DataFrame) -> DataFrame:
-    return clean_movies(fallbacks(usable(rows, "movies"), "movies"), strip_year=False)
+    return fallbacks(clean_movies(usable(rows, "movies"), strip_year=False), "movies")
 
 
 def canonical_users(rows: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from starboard.operators.cleaning import (
     require_keys,
     typed,
 )
-from starboard.operators.mapping import normalized, rename_columns
+from starboard.operators.mapping import fallbacks, normalized, rename_columns
 from starboard.schemas import HEADER_NAMES, RAW_COLUMNS
 
 
@@ -64,7 +64,7 @@ def read_raw_dat(spark: SparkSession, path: str, kind: str) -> DataFrame:
         strict = ("user_id", "movie_id", "ts")
         return clean_ratings(rows.withColumnRenamed("timestamp", "ts"), 1, 5, strict)[0]
     if kind == "movies":
-        return clean_movies(rows.withColumnRenamed("genres", "genres_raw"))
+        return fallbacks(clean_movies(rows.withColumnRenamed("genres", "genres_raw")), "movies")
     return distinct_rows(require_keys(decode_users(rows), "user_id"))
 
 

@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from starboard.functions.columns import score_bucket, strip, strip_line
-from starboard.operators.cleaning import ROW_OK, rating_reason, typed
+from starboard.functions.columns import not_blank, score_bucket
+from starboard.operators.cleaning import ROW_OK, judge_ratings, typed
 from starboard.operators.mapping import fallbacks, map_aliases, normalized
-from starboard.schemas import EXTENSIONS
+from starboard.schemas import CANONICAL, EXTENSIONS
 from starboard.sources.dialects import is_header, split_line
 from starboard.sources.lines import name_pattern
 
@@ -29,53 +30,67 @@ def read_rating_lines(
 def parse_rating_lines(
     lines: DataFrame, columns: Sequence[str], sep: str = ",", lo: float = 0, hi: float = 10
 ) -> DataFrame:
-    """Judged rating rows of files with declared columns and delimiter.
+    """Typed and judged rating rows of files with declared columns and delimiter.
 
     A stream cannot look at a file before it reads it, hence the declaration. Header
-    lines, wherever they stand, are dropped.
+    lines, wherever they stand, are dropped. ``value`` is the line of a row set aside.
     """
-    mapped = map_aliases(columns)
-    names = {name: {"time": "ts"}.get(target, target) for name, target in mapped.items()}
+    names = {"time": "ts"}
+    targets = {name: names.get(known, known) for name, known in map_aliases(columns).items()}
     schema = ", ".join(f"`{name}` string" for name in columns)
-    quote = "" if sep == "::" else '"'
-    options = {"sep": sep, "quote": quote, "escape": '"',
-               "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+    options = {
+        "sep": sep, "quote": "" if sep == "::" else '"', "escape": '"',
+        "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
+    }
     header = is_header(F.transform(split_line(F.col("line"), F.lit(sep)), normalized))
     rows = (
-        lines.where(strip("value") != "")
-        .select("value", strip_line("value").alias("line"))
+        lines.where(not_blank("value"))
+        .select("value", F.trim("value").alias("line"))
         .where(~header)
         .withColumn("row", F.from_csv("line", schema, options))
     )
     cells = rows.select(
-        "value", *[F.col("row")[name].alias(target) for name, target in names.items()]
+        "value", *[F.col("row")[name].alias(target) for name, target in targets.items()]
+    )
+    judged = judge_ratings(cells, lo, hi)
+    return judged.withColumn("value", F.when(F.col("reason") != ROW_OK, F.col("raw.value"))).drop(
+        "raw"
     )
-    missing = [name for name in ("user_id", "movie_id", "rating", "ts")
-               if name not in names.values()]
-    cells = cells.withColumns({name: F.lit(None).cast("string") for name in missing})
-    return cells.withColumn("reason", rating_reason(lo, hi))
 
 
 def stream_ingest(
     judged: DataFrame, out: str, checkpoint: str, once: bool = True
 ) -> StreamingQuery:
-    """Write usable ratings and the quarantine, batch by batch.
+    """Write judged rows batch by batch, usable ones and the quarantine side by side.
 
-    Each batch replaces its own folders, so a batch that is repeated after a failure
-    leaves no row twice.
+    Each batch replaces its own folder, so a batch that is repeated after a failure
+    leaves no row twice. The folders below it by reason come from the same single pass.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        good = fallbacks(typed(batch.where(F.col("reason") == ROW_OK), "ratings"), "ratings")
-        good.write.mode("overwrite").parquet(f"{out}/ratings/batch_id={batch_id}")
-        bad = batch.where(F.col("reason") != ROW_OK).select("value", "reason")
-        bad.write.mode("overwrite").parquet(f"{out}/quarantine/batch_id={batch_id}")
-        batch.unpersist()
+        path = f"{out}/batch_id={batch_id}"
+        batch.write.mode("overwrite").partitionBy("reason").parquet(path)
 
     return _start(judged, write, "append", checkpoint, once)
 
 
+_INGESTED = T.StructType(
+    [
+        *CANONICAL["ratings"].fields,
+        T.StructField("value", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)
+
+
+def ingested(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+    """What ``stream_ingest`` has written so far: canonical ratings, and the quarantine."""
+    rows = spark.read.schema(_INGESTED).parquet(out)
+    good = fallbacks(typed(rows.where(F.col("reason") == ROW_OK), "ratings"), "ratings")
+    return good, rows.where(F.col("reason") != ROW_OK).select("value", "reason")
+
+
 def stream_distribution(ratings: DataFrame, bucket: str = "trunc") -> DataFrame:
     """Ratings per score as a running result."""
     return ratings.groupBy(score_bucket("rating", bucket).alias("score")).agg(
