@@ -11,6 +11,8 @@ ratings and ratings without profile or movie come from tables that stand apart:
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,9 @@ from starboard.functions.columns import age_bucket
 from starboard.operators.cleaning import movie_genres
 
 
+@cache
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table of the driver; cached, for every fresh read looks the schema up again."""
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

@@ -132,12 +132,12 @@ ALL = ("ratings", "movies", "genres", "users")
 
 
 def analyze_all() -> str:
-    def piece(mart: str, sql: str, label: str, count: str, avg: str = "cast(null as double)") -> str:
+    def piece(mart: str, sql: str, label: str, count: str, value: str) -> str:
         return (f"select '{mart}' as mart, cast({label} as varchar) as label, "
-                f"cast({count} as bigint) as ratings, {avg} as average from ({sql})")
+                f"cast({count} as bigint) as ratings, {value} as value from ({sql})")
 
     return with_tables(*ALL, sql="\nunion all ".join([
-        piece("rating_distribution", SCORES, "score", "count"),
+        piece("rating_distribution", SCORES, "score", "count", "percentage"),
         piece("top_movies", TOP_MOVIES, "movie_name", "rating_count", "avg_rating"),
         piece("genre_stats", genre_stats(), "genre_name", "rating_count", "avg_rating"),
         piece("active_users", ACTIVE_USERS, "user_id", "rating_count", "avg_rating"),
@@ -177,6 +177,13 @@ def _views() -> dict[str, str]:
 VIEWS = _views()
 
 
+def plain(name: str) -> str:
+    """A view with its decimals as doubles."""
+    decimals = ("percentage", "avg_rating", "high_rate_pct", "rating_per_user")
+    casts = ", ".join(f"cast({c} as double) as {c}" for c in decimals if f" as {c}" in VIEWS[name])
+    return f"select * replace ({casts}) from ({VIEWS[name]})"
+
+
 def briefing() -> str:
     """The sections as JSON text. Decimals print with their scale, as in the marts."""
     def section(name: str, columns: str, limit: str = "") -> str:
@@ -270,9 +277,8 @@ def _dialects() -> str:
     pieces = []
     for head, sep, role in rows:
         shown = "tab" if sep == "\t" else sep
-        role = f"'{role}'" if role else "null"
         pieces.append(f"select '{head}' as head, '{shown}' as sep, true as has_header, "
-                      f"{role} as role, '{head.lower().replace(sep, '|')}' as fields")
+                      f"'{role or 'none'}' as role, '{head.lower().replace(sep, '|')}' as fields")
     return "\nunion all ".join(pieces)
 
 
@@ -416,9 +422,9 @@ select 'bound_movies' as tbl, count(*) as cnt from movies union all
 select 'bound_ratings', count(*) from ratings union all
 select 'bound_users', count(*) from users"""),
     "V1_V3_admission_report": """
-select true as accepted, 'ratings' as role, cast(null as varchar) as reason union all
-select true, 'movies', null union all select true, 'users', null union all
-select false, null, 'no_role' union all select false, null, 'no_delimiter'""",
+select true as accepted, 'ratings' as role, 'none' as reason union all
+select true, 'movies', 'none' union all select true, 'users', 'none' union all
+select false, 'none', 'no_role' union all select false, 'none', 'no_delimiter'""",
     "V6_V8_line_outcomes": f"""with outcomes as ({DAMAGE}), parts as (
   select count(*) as n from part), nations as (select count(*) as n from nation)
 select 'ratings' as role, cast(count(*) filter (reason = 'ok') as bigint) as valid,
@@ -436,11 +442,11 @@ select distinct cast(movie_id as integer) as movie_id, title || ', the ' || titl
 from movies"""),
     "C3_ingested_users": f"""
 select cast(c_custkey as integer) as user_id,
-       case when c_custkey % 3 = 0 then 'F' else 'M' end as gender, {MESSY_AGE} as age,
-       {age_group(MESSY_AGE)} as age_group, cast(null as integer) as occupation_id,
-       c_mktsegment as occupation, cast(null as varchar) as zipcode from customer""",
+       case when c_custkey % 3 = 0 then 'F' else 'M' end as gender,
+       coalesce({MESSY_AGE}, -1) as age, coalesce({age_group(MESSY_AGE)}, '?') as age_group,
+       c_mktsegment as occupation from customer""",
     "K2_uploaded_marts": f"""with ratings as (select distinct * from ({MESSY_RATINGS}))
-select score, count, cast(percentage as decimal(5,2)) as percentage from ({SCORES})""",
+{SCORES}""",
     "K3_export_delimited": top_movies(50),
     "K5_insert_canonical": with_tables(*ALL, sql="""
 select 'movies' as tbl, count(*) as cnt from movies union all
@@ -453,7 +459,7 @@ select 7 as id, 'from ratings' as name, count(distinct movie_id) as movie_count,
     "K8_json_rows": with_tables("ratings", sql=f"""
 select '{{"score":' || score || ',"count":' || count || ',"percentage":' || percentage || '}}'
        as json from ({VIEWS["rating_distribution"]})"""),
-    **{f"P1_view_{name}": with_tables(*ALL, sql=sql) for name, sql in VIEWS.items()},
+    **{f"P1_view_{name}": with_tables(*ALL, sql=plain(name)) for name in VIEWS},
     "P2_list_datasets": with_tables(*ALL, sql=f"""
 select d.id, d.name, s.total_movies as movie_count, s.total_ratings as rating_count,
        s.total_users as user_count
@@ -465,7 +471,7 @@ select 0 as id, 'ready' as status union all select 1, 'ready' union all select 2
 select 0 as id, 'default' as badge union all select 1, 'analysed'
 union all select 2, 'not_analysed'""",
     "P5_delete_dataset": with_tables(*ALL, sql=f"""
-select s.*, d.dataset_id from ({VIEWS["dashboard_summary"]}) s,
+select s.*, d.dataset_id from ({plain("dashboard_summary")}) s,
        (values (0), (1)) d(dataset_id)"""),
     "P6_dataset_briefing": briefing(),
     "P7_top_genres_slice": with_tables("ratings", "genres", sql=genre_stats(
@@ -479,13 +485,13 @@ select *, {pct("movie_count", "sum(movie_count) over ()")} as share_pct from (
 select score, count, avg(count) over () as mean_value from (
   select cast(trunc(rating) as integer) as score, count(*) as count from ratings group by 1)"""),
     "X1_stream_ingest": f"""
-select reason, case when reason = 'ok' then rating end as rating, count(*) as n from (
+select reason, case when reason = 'ok' then rating else -1 end as rating, count(*) as n from (
   select case l_linenumber when 4 then 'invalid_rating' when 5 then 'missing_key'
               when 6 then 'rating_out_of_range' else 'ok' end as reason, {HALF_STAR} as rating
   from lineitem where l_linenumber not in (2, 3)) group by 1, 2""",
     "X2_stream_distribution": f"""
 select cast(trunc({HALF_STAR}) as integer) as score, count(*) as count from lineitem group by 1""",
     "X3_stream_daily_activity": """
-select strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') as window_start, count(*) as count
+select strftime(ts, '%Y-%m-%d') as day, count(*) as count
 from events group by 1""",
 }

@@ -36,6 +36,12 @@ def _r(build: Callable[..., DataFrame], *names: str, **options) -> Query:
     return run
 
 
+def _plain(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, which every reader of results shows alike."""
+    casts = {n: F.col(n).cast("double") for n, kind in df.dtypes if kind.startswith("decimal")}
+    return df.withColumns(casts) if casts else df
+
+
 # ---- cleaning --------------------------------------------------------------------------------
 
 
@@ -186,14 +192,15 @@ def dialects(spark, sf):
     head = F.when(F.col("sep").isNotNull(), F.col("head")).otherwise("prose")
     return sniff_dialect(lines).select(
         head.alias("head"), F.when(F.col("sep") == "\t", "tab").otherwise(F.col("sep")).alias("sep"),
-        "has_header", "role", F.array_join("fields", "|").alias("fields"),
+        "has_header", F.coalesce("role", F.lit("none")).alias("role"), F.array_join("fields", "|").alias("fields"),
     ).where("head <> 'prose'").distinct()
 
 
 def admission(spark, sf):
     folder = R.messy_folder(spark, sf)
     report = admission_report(list_files(spark, folder), sniff_dialect(scan_lines(spark, folder)))
-    return report.select("accepted", "role", "reason").distinct()
+    shown = mapping.default_fill(report, {"role": "none", "reason": "none"})
+    return shown.select("accepted", "role", "reason").distinct()
 
 
 @cache
@@ -205,6 +212,13 @@ def ingested(table: str) -> Query:
     return lambda spark, sf: getattr(messy_dataset(spark, sf).frames, table)
 
 
+def ingested_users(spark, sf):
+    """Empty ages lead to no age group; both are shown with a stand-in."""
+    users = messy_dataset(spark, sf).frames.users
+    shown = mapping.default_fill(users, {"age": -1, "age_group": "?"})
+    return shown.select("user_id", "gender", "age", "age_group", "occupation")
+
+
 def line_outcomes(spark, sf):
     return messy_dataset(spark, sf).lines.groupBy("role").agg(
         *[F.sum(name).alias(name) for name in ("valid", "quarantined", "repeated_headers")]
@@ -256,12 +270,12 @@ def mart_root(spark: SparkSession, sf: str) -> str:
 
 
 def served(name: str) -> Query:
-    return lambda spark, sf: M.mart_view(spark, mart_root(spark, sf), name, 1)
+    return lambda spark, sf: _plain(M.mart_view(spark, mart_root(spark, sf), name, 1))
 
 
 def remaining_marts(spark, sf):
     root = mart_root(spark, sf)
-    return M.read_all(spark, root, "dashboard_summary", M.MARTS["dashboard_summary"])
+    return _plain(M.read_all(spark, root, "dashboard_summary", M.MARTS["dashboard_summary"]))
 
 
 def briefing(spark, sf):
@@ -269,9 +283,9 @@ def briefing(spark, sf):
 
 
 def analyze_everything(spark, sf):
-    """All marts in one long table: mart, label, ratings, average."""
+    """All marts in one long table: mart, label, ratings, average or share."""
     shape = {
-        "rating_distribution": ("score", "count", None),
+        "rating_distribution": ("score", "count", "percentage"),
         "top_movies": ("movie_name", "rating_count", "avg_rating"),
         "genre_stats": ("genre_name", "rating_count", "avg_rating"),
         "active_users": ("user_id", "rating_count", "avg_rating"),
@@ -286,9 +300,9 @@ def analyze_everything(spark, sf):
             F.lit(name).alias("mart"),
             F.col(label).cast("string").alias("label"),
             F.col(count).cast("bigint").alias("ratings"),
-            (F.col(avg) if avg else F.lit(None).cast("double")).alias("average"),
+            F.col(value).alias("value"),
         )
-        for name, (label, count, avg) in shape.items()
+        for name, (label, count, value) in shape.items()
     ]
     return reduce(DataFrame.unionAll, long)
 
@@ -326,11 +340,11 @@ def upload(spark, sf):
     """Folder of files -> marts -> served summary and scores."""
     root = scratch_path(spark, "upload")
     analyze_dataset(spark, R.messy_folder(spark, sf), root, 5, "upload")
-    return M.mart_view(spark, root, "rating_distribution", 5)
+    return _plain(M.mart_view(spark, root, "rating_distribution", 5))
 
 
 def json_scores(spark, sf):
-    return P.json_rows(served("rating_distribution")(spark, sf))
+    return P.json_rows(M.mart_view(spark, mart_root(spark, sf), "rating_distribution", 1))
 
 
 def genre_slice(spark, sf):
@@ -367,7 +381,7 @@ def stream_ingest(spark, sf):
     X.stream_ingest(judged, f"{out}/data", f"{out}/log").awaitTermination()
     good, bad = X.ingested(spark, f"{out}/data")
     return good.select(F.lit("ok").alias("reason"), "rating").unionAll(
-        bad.select("reason", F.lit(None).cast("double").alias("rating"))
+        bad.select("reason", F.lit(-1.0).alias("rating"))
     ).groupBy("reason", "rating").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -381,7 +395,9 @@ def stream_distribution(spark, sf):
 
 def stream_activity(spark, sf):
     out = scratch_path(spark, "stream")
-    events = _stream(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"))
+    # The clock shown is taken as UTC, so the days do not hang on the session time zone.
+    clock = F.timestamp_seconds(B.epoch_seconds(F.col("ts")))
+    events = _stream(spark, sf, "events").select(clock.alias("ts"))
     result = X.stream_activity(events)
     X.write_result(result, f"{out}/data", f"{out}/log", mode="update").awaitTermination()
     written = spark.read.parquet(f"{out}/data")
@@ -389,9 +405,10 @@ def stream_activity(spark, sf):
     last = written.groupBy("window_start", "window_end").agg(
         F.max_by("count", "batch_id").alias("count")
     )
-    return last.select(
-        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "count"
+    day = F.date_add(
+        F.lit("1970-01-01").cast("date"), (F.unix_seconds("window_start") / 86400).cast("int")
     )
+    return last.select(F.date_format(day, "yyyy-MM-dd").alias("day"), "count")
 
 
 QUERIES: dict[str, Query] = {
@@ -462,7 +479,7 @@ QUERIES: dict[str, Query] = {
     "V8_ingest_quarantine": ingest_quarantine,
     "S2_ingested_ratings": ingested("ratings"),
     "C3_ingested_movies": ingested("movies"),
-    "C3_ingested_users": ingested("users"),
+    "C3_ingested_users": ingested_users,
     # marts and serving
     "K2_uploaded_marts": upload,
     "K3_export_delimited": exported,

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from starboard.operators import analyses as A
+from starboard.session import together
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -42,10 +43,16 @@ def analyze_all(
     ``stage`` may write a shared intermediate once (``starboard.session.stage``), so that
     the ratings are read three times in all: by score, per user and per movie.
     """
-    per_user = stage(A.user_activity(frames.ratings, high), "user_activity")
+    per_user, per_movie = together(
+        [
+            lambda: stage(A.user_activity(frames.ratings, high), "user_activity"),
+            lambda: stage(A.movie_activity(frames.ratings, high), "movie_activity")
+            if frames.movies is not None or frames.movie_genres is not None
+            else None,
+        ]
+    )
     marts = {"rating_distribution": A.rating_distribution(frames.ratings, bucket)}
-    if frames.movies is not None or frames.movie_genres is not None:
-        per_movie = stage(A.movie_activity(frames.ratings, high), "movie_activity")
+    if per_movie is not None:
         if frames.movies is not None:
             marts["top_movies"] = A.rank_movies(per_movie, frames.movies, min_count, k)
         if frames.movie_genres is not None:

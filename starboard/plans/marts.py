@@ -147,7 +147,10 @@ def _write_registry_row(row: DataFrame, root: str, dataset_id: int) -> None:
 
 
 def register_dataset(spark: SparkSession, root: str, name: str) -> int:
-    """Enter a dataset under the next free id, with no counts yet."""
+    """Enter a dataset under the next free id, with no counts yet.
+
+    The id is taken from the rows present, so registrations have to come one at a time.
+    """
     highest = read_registry(spark, root).agg(F.max("id").alias("id")).first()["id"]
     dataset_id = max(highest or 0, DEFAULT_DATASET) + 1
     row = spark.range(1).select(

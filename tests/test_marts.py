@@ -142,3 +142,34 @@ def test_presentation(spark, rows):
     assert rows(P.share_of_slice(frame, "v"), "share_pct") == [(25.0,), (75.0,), (None,)]
     assert rows(P.mean_line(frame, "v"), "mean_value") == [(2.0,)] * 3
     assert rows(P.top_n_slice(frame, ["k"], 1)) == [("007", None)]
+
+
+class Recorder:
+    """Stands in for a frame and its writer; there is no database to write to."""
+
+    def __init__(self):
+        self.calls = {}
+
+    def select(self, *columns):
+        self.calls["select"] = [str(column) for column in columns]
+        return self
+
+    @property
+    def write(self):
+        return self
+
+    def __getattr__(self, name):
+        def call(*values, **named):
+            self.calls[name] = named or values
+            return self
+
+        return call
+
+
+def test_jdbc_options_come_from_the_caller(spark):
+    frame = Recorder()
+    M.write_jdbc(frame, {"url": "jdbc:x", "dbtable": "t", "batchsize": "50"}, {"title": "movie_name"})
+    assert frame.calls["format"] == ("jdbc",) and frame.calls["mode"] == ("overwrite",)
+    assert frame.calls["options"] == {
+        "batchsize": "50", "truncate": "true", "url": "jdbc:x", "dbtable": "t"}
+    assert "title AS movie_name" in frame.calls["select"][0]
