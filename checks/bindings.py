@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from starboard.functions.columns import age_bucket
 from starboard.operators.cleaning import movie_genres
+from starboard.schemas import AGE_GROUPS
 
 
 @cache
@@ -99,6 +100,16 @@ def users(spark: SparkSession, sf: str) -> DataFrame:
     return both.withColumn("age_group", age_bucket("age"))
 
 
+def age_case(age: str) -> str:
+    """The age group of an age, as SQL."""
+    tests = [
+        f"when {age} is not null then '{label}'" if highest is None
+        else f"when {age} <= {highest} then '{label}'"
+        for label, highest in AGE_GROUPS
+    ]
+    return f"case {' '.join(tests)} end"
+
+
 # The same tables for the oracle, as common table expressions.
 SQL = {
     "ratings": """
@@ -124,10 +135,8 @@ SQL = {
   select distinct movie_id, title, trim(piece) as genre
   from (select movie_id, title, unnest(string_split(genres_raw, '|')) as piece from movies)
   where trim(piece) <> ''""",
-    "users": """
-  select *, case when age <= 18 then 'Under18' when age <= 25 then '19-25'
-                 when age <= 35 then '26-35' when age <= 45 then '36-45'
-                 when age <= 55 then '46-55' when age is not null then '56+' end as age_group
+    "users": f"""
+  select *, {age_case("age")} as age_group
   from (
     select c_custkey as user_id, case when c_custkey % 3 = 0 then 'Female' else 'Male' end as gender,
            cast(c_custkey % 70 as integer) as age, c_mktsegment as occupation from customer

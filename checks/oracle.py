@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from checks.bindings import with_tables
-from starboard.schemas import AGE_LABELS, OCCUPATIONS
+from checks.bindings import age_case, with_tables
+from starboard.schemas import OCCUPATIONS
 
 
 def half_up(x: str, digits: int) -> str:
@@ -15,15 +15,6 @@ def pct(part: str, whole: str) -> str:
     return half_up(f"cast({part} as double) * 100.0 / {whole}", 2)
 
 
-def _rank(column: str) -> str:
-    whens = " ".join(f"when '{label}' then {i}" for i, label in enumerate(AGE_LABELS))
-    return f"case {column} {whens} end"
-
-
-def _long(x: str) -> str:
-    return f"cast({x} as bigint)"
-
-
 AVG2 = half_up("avg(r.rating)", 2)
 AVG3 = half_up("avg(r.rating)", 3)
 
@@ -40,7 +31,7 @@ def top_movies(minimum: int, order: str = "avg_rating", key: str = "m.title") ->
     tie = ", r.movie_id" if shown else ""
     return with_tables("ratings", "movies", sql=f"""
 select {shown}m.title as movie_name, {AVG2} as avg_rating, count(*) as rating_count
-from ratings r join movies m on r.movie_id = m.movie_id
+from movies m join ratings r using (movie_id)
 group by {key} having count(*) >= {minimum}
 order by {order} desc, rating_count desc, movie_name{tie} limit 20""")
 
@@ -49,7 +40,7 @@ def genre_stats(extra: str = "") -> str:
     return f"""
 select g.genre as genre_name, count(distinct g.movie_id) as movie_count,
        {AVG2} as avg_rating, count(r.rating) as rating_count
-from genres g join ratings r on g.movie_id = r.movie_id group by g.genre{extra}"""
+from ratings r join genres g using (movie_id) group by g.genre{extra}"""
 
 
 GENRE_STATS_ALL = f"""
@@ -60,7 +51,7 @@ join (select genre, count(distinct movie_id) as movie_count from genres group by
 
 ACTIVE_USERS = f"""
 select r.user_id, u.gender, u.age, u.occupation, count(*) as rating_count, {AVG2} as avg_rating
-from ratings r join users u on r.user_id = u.user_id
+from users u join ratings r using (user_id)
 group by r.user_id, u.gender, u.age, u.occupation
 order by rating_count desc, r.user_id limit 20"""
 
@@ -72,7 +63,7 @@ def by_group(key: str, more: str = "") -> str:
     return f"""
 select u.{key}, count(distinct u.user_id) as user_count, count(r.rating) as rating_count,
        {AVG3} as avg_rating{more}
-from users u join ratings r on u.user_id = r.user_id group by u.{key}"""
+from ratings r join users u using (user_id) group by u.{key}"""
 
 
 GENDER = by_group("gender", f", {HIGH_RATE} as high_rate_pct")
@@ -90,17 +81,16 @@ join (select {key}, count(distinct user_id) as user_count from users group by {k
 
 
 SUMMARY = f"""
-select (select count(distinct movie_id) from movies) as total_movies,
-       (select count(*) from ratings) as total_ratings,
-       (select count(distinct user_id) from users) as total_users,
-       (select {half_up("avg(rating)", 3)} from ratings) as avg_rating"""
+select total_movies, total_ratings, total_users, avg_rating
+from (select count(distinct movie_id) as total_movies from movies),
+     (select count(*) as total_ratings, {half_up("avg(rating)", 3)} as avg_rating from ratings),
+     (select count(distinct user_id) as total_users from users)"""
 
-AGE_GENRE = f"""
-select age_group, genre, genre_rating_count from (
-  select u.age_group, g.genre, count(*) as genre_rating_count,
-         row_number() over (partition by u.age_group order by count(*) desc, g.genre) as rn
-  from ratings r join users u on r.user_id = u.user_id join genres g on r.movie_id = g.movie_id
-  group by u.age_group, g.genre) where rn <= 3"""
+AGE_GENRE = """
+from (
+  select age_group, genre, count(*) as genre_rating_count
+  from genres join ratings using (movie_id) join users using (user_id) group by all)
+qualify row_number() over (partition by age_group order by genre_rating_count desc, genre) <= 3"""
 
 
 def _rollup() -> str:
@@ -109,7 +99,7 @@ def _rollup() -> str:
 select '{key}' as dimension, u.{key} as label, count(distinct u.user_id) as user_count,
        count(*) as n_rows, count(r.rating) as rating_count, sum(r.rating) as rating_sum,
        count(*) filter (r.rating >= 4) as high_count
-from users u join ratings r on u.user_id = r.user_id group by u.{key}"""
+from ratings r join users u using (user_id) group by u.{key}"""
         for key in ("gender", "age_group", "occupation")
     ]
     return with_tables("ratings", "users", sql="\nunion all".join(pieces))
@@ -124,7 +114,7 @@ from ratings group by 1"""
 
 TOP_MOVIES = f"""
 select m.title as movie_name, {AVG2} as avg_rating, count(*) as rating_count
-from ratings r join movies m on r.movie_id = m.movie_id
+from movies m join ratings r using (movie_id)
 group by m.title having count(*) >= 50
 order by avg_rating desc, rating_count desc, movie_name limit 20"""
 
@@ -230,12 +220,6 @@ _LABELS = "[" + ", ".join("'" + label + "'" for label in OCCUPATIONS) + "]"
 CUSTOMER_JOB = f"coalesce(list_extract({_LABELS}, cast(c_custkey % 25 as integer) + 1), 'unknown')"
 
 
-def age_group(age: str) -> str:
-    return (f"case when {age} <= 18 then 'Under18' when {age} <= 25 then '19-25' "
-            f"when {age} <= 35 then '26-35' when {age} <= 45 then '36-45' "
-            f"when {age} <= 55 then '46-55' when {age} is not null then '56+' end")
-
-
 # ---- derived files ---------------------------------------------------------------------------
 
 # Usable ratings of the messy folder, before duplicates go.
@@ -413,7 +397,7 @@ select distinct cast(movie_id as integer) as movie_id,
     "S3_scan_coloncolon_users": f"""
 select cast(c_custkey as integer) as user_id,
        case when upper({CUSTOMER_LETTER}) = 'M' then 'Male' else 'Female' end as gender,
-       cast(c_custkey % 70 as integer) as age, {age_group("c_custkey % 70")} as age_group,
+       cast(c_custkey % 70 as integer) as age, {age_case("(c_custkey % 70)")} as age_group,
        cast(c_custkey % 25 as integer) as occupation_id, {CUSTOMER_JOB} as occupation,
        '48067' as zipcode from customer""",
     "S6_sniff_dialect": _dialects(),
@@ -443,7 +427,7 @@ from movies"""),
     "C3_ingested_users": f"""
 select cast(c_custkey as integer) as user_id,
        case when c_custkey % 3 = 0 then 'F' else 'M' end as gender,
-       coalesce({MESSY_AGE}, -1) as age, coalesce({age_group(MESSY_AGE)}, '?') as age_group,
+       coalesce({MESSY_AGE}, -1) as age, coalesce({age_case(MESSY_AGE)}, '?') as age_group,
        c_mktsegment as occupation from customer""",
     "K2_uploaded_marts": f"""with ratings as (select distinct * from ({MESSY_RATINGS}))
 {SCORES}""",
