@@ -18,7 +18,7 @@ from starboard.operators import present as P
 from starboard.plans import marts as M
 from starboard.plans.analysis import Frames, analyze_all
 from starboard.plans.dataset import Dataset, analyze_dataset, load_dataset
-from starboard.session import scratch_path, stage
+from starboard.session import scratch_path, size_shuffles, stage
 from starboard.sources import tables
 from starboard.sources.dialects import admission_report, sniff_dialect
 from starboard.sources.lines import list_files, scan_lines
@@ -31,7 +31,9 @@ def _r(build: Callable[..., DataFrame], *names: str, **options) -> Query:
     """A query that applies ``build`` to bound tables."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return build(*[getattr(B, name)(spark, sf) for name in names], **options)
+        frames = [getattr(B, name)(spark, sf) for name in names]
+        size_shuffles(*frames)
+        return build(*frames, **options)
 
     return run
 
@@ -249,7 +251,9 @@ def scan_catalog(spark, sf):
 
 
 def bound_frames(spark, sf) -> Frames:
-    return Frames(*[getattr(B, name)(spark, sf) for name in ("ratings", "movies", "users", "genres")])
+    tables = [getattr(B, name)(spark, sf) for name in ("ratings", "movies", "users", "genres")]
+    size_shuffles(*tables)
+    return Frames(*tables)
 
 
 @cache

@@ -299,7 +299,7 @@ def gender_rating_share(
 ) -> DataFrame:
     """Share of all ratings, also those by unknown users, that each gender contributes."""
     per_user = user_activity(ratings)
-    whole = per_user.agg(F.sum("n_rows")).scalar()
+    whole = ratings.agg(F.count(F.lit(1))).scalar()
     return (
         group_activity(per_user, users, "gender", user_scope)
         .select(

@@ -11,7 +11,7 @@ from starboard.operators.cleaning import ROW_OK, movie_genres
 from starboard.plans import marts as M
 from starboard.plans.analysis import Frames, analyze_all
 from starboard.schemas import EXTENSIONS
-from starboard.session import stage
+from starboard.session import size_shuffles, stage
 from starboard.sources.dialects import admission_report, sniff_dialect
 from starboard.sources.lines import list_files, scan_lines
 from starboard.sources.parsing import (
@@ -52,6 +52,7 @@ def load_dataset(
     """
     files = list_files(spark, path, exts)
     lines = scan_lines(spark, path, exts)
+    size_shuffles(lines)
     dialects = stage(sniff_dialect(lines), "dialects")
     admission = admission_report(files, dialects)
     size = measure(dialects)

@@ -67,6 +67,37 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# A shuffle partition should hold about this much of the input; a job should not have more
+# partitions than a driver can keep track of.
+BYTES_PER_PARTITION = 256 * 1024 * 1024
+MOST_PARTITIONS = 50_000
+
+# Spark gives relations of unknown size the largest long.
+_UNKNOWN_SIZE = 1 << 62
+
+
+def size_shuffles(*frames: DataFrame) -> int:
+    """Raise the number of shuffle partitions to fit the files the frames read.
+
+    AQE merges small partitions but never splits an aggregation, so the number to start
+    from has to fit the input. It is only ever raised. Returns the number in force.
+    """
+    spark = frames[0].sparkSession
+    total = sum(_bytes_read(frame) for frame in frames)
+    wanted = min(-(-total // BYTES_PER_PARTITION), MOST_PARTITIONS)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)
+
+
+def _bytes_read(frame: DataFrame) -> int:
+    """Sizes of the files below a plan; the plan's own estimate multiplies across joins."""
+    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < _UNKNOWN_SIZE)
+
+
 def together(jobs: Iterable[Callable[[], object]]) -> list:
     """Start independent jobs side by side; small ones would leave most executors idle."""
     with ThreadPoolExecutor(max_workers=4) as pool:

@@ -11,9 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starboard.functions.columns import not_blank, score_bucket
 from starboard.operators.cleaning import ROW_OK, judge_ratings, typed
-from starboard.operators.mapping import fallbacks, map_aliases, normalized
+from starboard.operators.mapping import fallbacks, map_aliases
 from starboard.schemas import CANONICAL, EXTENSIONS
-from starboard.sources.dialects import is_header, split_line
+from starboard.sources.dialects import DELIMITERS, is_header_line
 from starboard.sources.lines import name_pattern
 
 
@@ -35,6 +35,8 @@ def parse_rating_lines(
     A stream cannot look at a file before it reads it, hence the declaration. Header
     lines, wherever they stand, are dropped. ``value`` is the line of a row set aside.
     """
+    if sep not in DELIMITERS:
+        raise ValueError(f"delimiter must be one of {DELIMITERS}, not {sep!r}")
     names = {"time": "ts"}
     targets = {name: names.get(known, known) for name, known in map_aliases(columns).items()}
     schema = ", ".join(f"`{name}` string" for name in columns)
@@ -42,7 +44,7 @@ def parse_rating_lines(
         "sep": sep, "quote": "" if sep == "::" else '"', "escape": '"',
         "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
     }
-    header = is_header(F.transform(split_line(F.col("line"), F.lit(sep)), normalized))
+    header = is_header_line(F.col("line"), F.lit(sep))
     rows = (
         lines.where(not_blank("value"))
         .select("value", F.trim("value").alias("line"))

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from starboard import session
 from starboard.operators import analyses as A
 from starboard.sources.dialects import sniff_dialect
 from starboard.sources.lines import scan_lines
@@ -107,3 +108,43 @@ def test_parsing_without_broadcast_gives_the_same(spark, folder, rows, monkeypat
         assert rows(joined) == broadcast
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_profiles_join_and_group_on_one_shuffle_per_side(spark, tables):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(A.active_users(tables["ratings"], tables["users"]))
+        assert text.count("Exchange hashpartitioning(user_id") == text.count("Exchange ") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_shuffle_partitions_follow_the_input(spark, tables, monkeypatch):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        joined = tables["ratings"].join(tables["users"], "user_id")
+        assert session.size_shuffles(joined) == int(before)
+        monkeypatch.setattr(session, "BYTES_PER_PARTITION", 10_000)
+        raised = session.size_shuffles(joined)
+        assert raised > int(before)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(raised)
+        monkeypatch.setattr(session, "MOST_PARTITIONS", 5)
+        assert session.size_shuffles(joined) == raised
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Context:
+        master, applicationId = "yarn", "a"
+
+    class Conf:
+        @staticmethod
+        def get(key, default):
+            return default
+
+    class Session:
+        sparkContext, conf = Context, Conf
+
+    with pytest.raises(RuntimeError):
+        session.scratch_root(Session)

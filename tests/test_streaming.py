@@ -74,3 +74,8 @@ def test_late_events_are_left_out(spark, work, rows):
     arrive("b", 3, 31, 60)
     done = run()
     assert done == [(day, 2), (day + dt.timedelta(days=1), 2)]
+
+
+def test_unknown_delimiters_are_refused(spark, work):
+    with pytest.raises(ValueError):
+        X.parse_rating_lines(X.read_rating_lines(spark, str(work / "in")), ("a",), sep=";")
