@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,6 +21,11 @@ def as_column(value: ColumnLike) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def case(*branches: tuple[Column, object]) -> Column:
+    """The value beside the first condition that holds, null if none does."""
+    return reduce(lambda chain, branch: chain.when(*branch), branches[1:], F.when(*branches[0]))
+
+
 def strip(value: ColumnLike) -> Column:
     """Remove blanks, tabs and line ends on both sides (``trim`` knows only the blank)."""
     return F.btrim(as_column(value), F.lit(_BLANKS))
@@ -55,10 +61,10 @@ def genre_list(genres: ColumnLike) -> Column:
 def age_bucket(age: ColumnLike) -> Column:
     """Age group label; an unknown age stays null instead of joining the oldest group."""
     age = as_column(age)
-    chain = F
-    for label, highest in AGE_GROUPS:
-        chain = chain.when(age.isNotNull() if highest is None else age <= highest, label)
-    return chain
+    return case(
+        *[(age.isNotNull() if highest is None else age <= highest, label)
+          for label, highest in AGE_GROUPS]
+    )
 
 
 def decode_gender(code: ColumnLike) -> Column:

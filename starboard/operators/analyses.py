@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from starboard.functions.columns import age_bucket, label_rank, percent, ratio, score_bucket
+from starboard.functions.columns import age_bucket, case, label_rank, percent, ratio, score_bucket
 
 _ADDED = ("n_rows", "rating_count", "rating_sum", "high_count")
 
@@ -242,11 +242,11 @@ def demographic_rollup(
     )
     # In grouping_id the bit of a column is set when the column is not grouped by.
     everything = (1 << len(keys)) - 1
-    dimension = label = F
-    for place, key in enumerate(keys):
-        mask = everything & ~(1 << (len(keys) - 1 - place))
-        dimension = dimension.when(F.col("absent") == mask, key)
-        label = label.when(F.col("absent") == mask, F.col(key).cast("string"))
+    masks = {key: everything & ~(1 << place) for place, key in enumerate(reversed(keys))}
+    dimension = case(*[(F.col("absent") == mask, key) for key, mask in masks.items()])
+    label = case(
+        *[(F.col("absent") == mask, F.col(key).cast("string")) for key, mask in masks.items()]
+    )
     return grouped.where(F.col("n_rows") > 0).select(
         dimension.alias("dimension"), label.alias("label"), "user_count", *_ADDED
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starboard.functions.columns import (
     age_bucket,
+    case,
     decode_gender,
     decode_occupation,
     genre_list,
@@ -60,12 +61,7 @@ def rating_reason(
     ]
     tests.append((rating.isNull(), "invalid_rating"))
     tests.append((~rating.between(lo, hi), "rating_out_of_range"))
-    return first_reason(tests)
-
-
-def first_reason(tests: Sequence[tuple[Column, str]]) -> Column:
-    """The reason of the first test that holds, else ``ok``."""
-    return F.coalesce(*[F.when(test, reason) for test, reason in tests], F.lit(ROW_OK))
+    return F.coalesce(case(*tests), F.lit(ROW_OK))
 
 
 def judge_ratings(

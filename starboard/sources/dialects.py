@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starboard.functions.columns import not_blank
+from starboard.functions.columns import case, not_blank
 from starboard.operators.mapping import normalized
 from starboard.schemas import ALIASES, DATA_NAME_PARTS, DATA_NAMES, HEADER_NAMES
 
@@ -20,18 +20,12 @@ DELIMITERS = ("::", "\t", ",")
 
 def delimiter_of(line: Column) -> Column:
     """The delimiter a line shows: '::' before tab before comma; null if it has none."""
-    chain = F
-    for delimiter in DELIMITERS:
-        chain = chain.when(F.contains(line, F.lit(delimiter)), delimiter)
-    return chain
+    return case(*[(F.contains(line, F.lit(choice)), choice) for choice in DELIMITERS])
 
 
 def split_line(line: Column, delimiter: Column) -> Column:
     """Plain split by a delimiter held in a column; each branch has a literal pattern."""
-    chain = F
-    for choice in DELIMITERS:
-        chain = chain.when(delimiter == choice, F.split(line, choice, -1))
-    return chain
+    return case(*[(delimiter == choice, F.split(line, choice, -1)) for choice in DELIMITERS])
 
 
 def _literals(names: tuple[str, ...]) -> Column:
@@ -54,10 +48,7 @@ def is_header_line(line: Column, sep: Column) -> Column:
     """``is_header`` on a whole line with a known delimiter, without cutting it up."""
     low = F.lower(line)
     hint = reduce(Column.__or__, [F.contains(low, F.lit(part)) for part in _HEADER_HINTS])
-    match = F
-    for choice in DELIMITERS:
-        match = match.when(sep == choice, low.rlike(_HEADER_FIELD[choice]))
-    return hint & match
+    return hint & case(*[(sep == choice, low.rlike(_HEADER_FIELD[choice])) for choice in DELIMITERS])
 
 
 def _position(fields: Column, canonical: str) -> Column:

@@ -106,15 +106,14 @@ def test_append_repeats(spark, root):
     assert M.read_mart(spark, root, "rating_distribution", 1).count() == 2
 
 
-def test_reading_one_dataset_prunes_the_others(spark, root):
+def test_reading_one_dataset_leaves_the_others_alone(spark, root):
     mart = spark.createDataFrame([(1, 2, 100.0)], "score int, count bigint, percentage double")
-    for number in (1, 2, 3):
+    for number in (1, 2, 12):
         M.append_mart(mart, root, "rating_distribution", number)
-    read = M.read_mart(spark, root, "rating_distribution", 2)
-    plan = read._jdf.queryExecution().executedPlan().toString()
-    assert "dataset_id" in plan.split("PartitionFilters")[1].split("]")[0]
-    # inputFiles reports the unpruned listing, so count the files really read.
-    assert read.selectExpr("_metadata.file_path").distinct().count() == 1
+    files = M.read_mart(spark, root, "rating_distribution", 2).inputFiles()
+    assert files and all("/dataset_id=2/" in name for name in files)
+    everything = M.read_all(spark, root, "rating_distribution", MARTS["rating_distribution"])
+    assert everything.where("dataset_id = 12").count() == 1
 
 
 def test_briefing_sections_in_order(spark, folder, root):
