@@ -72,14 +72,11 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     while True:
         near = (both.join(labels, both.b == labels.id)
                 .groupBy(both.a.alias("n")).agg(F.min("component").alias("m")))
-        stepped = (labels.join(near, labels.id == near.n)
-                   .select("id", F.least("component", "m").alias("component"),
-                           F.col("component").alias("before")))
-        stepped = stage(stepped, label)
-        jump = stepped.select(F.col("id").alias("via"), F.col("component").alias("far"))
-        jumped = stage(stepped.join(jump, stepped.component == jump.via).select(
-            "id", F.least("component", "far").alias("component"),
-            (F.least("component", "far") < F.col("before")).alias("moved")), label)
-        labels = jumped.select("id", "component")
-        if not jumped.where("moved").take(1):
+        jump = labels.select(F.col("id").alias("via"), F.col("component").alias("far"))
+        moved = stage(labels.join(near, labels.id == near.n)
+                      .join(jump, labels.component == jump.via)
+                      .select("id", F.least("component", "m", "far").alias("component"),
+                              (F.least("m", "far") < F.col("component")).alias("moved")), label)
+        labels = moved.select("id", "component")
+        if not moved.where("moved").take(1):
             return labels

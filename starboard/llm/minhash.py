@@ -1,9 +1,10 @@
 """Near-duplicate groups by b-bit MinHash.
 
-Documents are sets of word shingles. Of each set 128 minima are taken; 32 bands of four minima
-bring candidates together, and the two low bits of every minimum, packed into four longs, give
+Documents are sets of word shingles. Of each set 320 minima are taken; 53 bands of six minima
+bring candidates together, and the two low bits of every minimum, packed into ten longs, give
 an estimate of similarity, corrected for bits that agree by chance, by counting bits. Candidates
-that pass it are confirmed on their full sets of shingles.
+that pass it are confirmed on their full sets of shingles. Of pairs as similar as the threshold,
+3 in 100 000 share no band and 4 in a million are estimated too low.
 """
 
 from __future__ import annotations
@@ -14,27 +15,31 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from starboard.llm.common import components, small
 from starboard.session import stage
 
 WORDS = 5
-BANDS, ROWS = 32, 4
-MINIMA = BANDS * ROWS
+BANDS, ROWS = 53, 6
+MINIMA = 320
 BIT_COUNT = 2
 LONGS = MINIMA * BIT_COUNT // 64
 SIMILARITY = 75  # per cent
-# Pairs estimated below this are not confirmed: six standard errors under the threshold.
-LEAST_ESTIMATE = 0.47
+# Pairs estimated below this are not confirmed: 4.5 standard errors under the threshold.
+LEAST_ESTIMATE = 0.62
 # Texts that meet a centre in one task of the confirmation.
 TOGETHER = 64
+# Pairs confirmed per document and per two components in the first round; ``MORE`` times as many
+# in each round after it, until none is left.
+PAIRS, PAIRS_OF_COMPONENTS, MORE = 2, 8, 8
 # Bytes of text hashed at once.
 BLOCK = 1 << 19
 
 _RANDOM = np.random.default_rng(20)
 _BYTES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTES[65:91] = _BYTES[97:123]  # A-Z count as a-z
-_PLACES = _RANDOM.integers(1, 1 << 62, WORDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLACES = _RANDOM.integers(1, 1 << 62, WORDS + 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTORS = _RANDOM.integers(1, 1 << 62, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SUMMANDS = _RANDOM.integers(1, 1 << 62, MINIMA, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -85,7 +90,7 @@ def shingle_hashes(texts: list[bytes]) -> list[np.ndarray]:
         if b - a >= WORDS:
             found.append(np.unique(rolled[a:b - WORDS + 1]))
         elif b > a:
-            parts = np.append(words[a:b] * _PLACES[:b - a], _PLACES[WORDS:] * np.uint64(b - a))
+            parts = np.append(words[a:b] * _PLACES[:b - a], _PLACES[-1:] * np.uint64(b - a))
             found.append(_mixed(parts.sum(dtype=np.uint64, keepdims=True)))
         else:
             found.append(np.zeros(0, dtype=np.uint64))
@@ -109,7 +114,7 @@ def _as_bytes(texts: pd.Series) -> list[bytes]:
 
 
 def minima(sets: list[np.ndarray]) -> np.ndarray:
-    """The 128 minima of each non-empty set, one row per set."""
+    """The minima of each non-empty set, one row per set."""
     every = np.concatenate(sets)
     starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
     found = np.empty((len(sets), MINIMA), dtype=np.uint64)
@@ -137,8 +142,8 @@ def signatures(docs: DataFrame) -> DataFrame:
                 bits = [np.zeros(LONGS, dtype=np.int64)] * len(sets)
                 if full:
                     found = minima([sets[i] for i in full])
-                    quads = _mixed(found).reshape(-1, BANDS, ROWS) * _PLACES[:ROWS]
-                    keys = _mixed(quads.sum(axis=2, dtype=np.uint64)
+                    bands_of = _mixed(found[:, :BANDS * ROWS]).reshape(-1, BANDS, ROWS) * _PLACES[:ROWS]
+                    keys = _mixed(bands_of.sum(axis=2, dtype=np.uint64)
                                   + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
                     low = ((_mixed(found) >> np.uint64(40)) & np.uint64(3)).reshape(
                         -1, LONGS, 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2))
@@ -193,19 +198,54 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _estimated(pairs: DataFrame, bits: DataFrame) -> DataFrame:
-    """The pairs that are similar enough by their packed bits."""
+    """The pairs that are similar enough by their packed bits, with the estimate."""
     a = bits.select(F.col("doc_id").alias("a"), F.col("bits").alias("a_bits"))
     b = bits.select(F.col("doc_id").alias("b"), F.col("bits").alias("b_bits"))
-    return pairs.join(a, "a").join(b, "b").where(
-        estimate("a_bits", "b_bits") >= LEAST_ESTIMATE).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", estimate("a_bits", "b_bits").alias(
+        "estimate")).where(F.col("estimate") >= LEAST_ESTIMATE)
 
 
 def _with_count(pairs: DataFrame) -> DataFrame:
-    pairs = stage(pairs, "near-pairs")
     counts = pairs.groupBy("a").agg(F.count("*").alias("n"))
     return pairs.join(counts, "a")
 
 
+def united(candidates: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """``labels`` (id, component) after all candidates (a, b, estimate) were looked at.
+
+    A round confirms the likeliest pairs of each document and of each two components, and the
+    links found unite components, so that most other pairs need not be looked at: both sides are
+    in one component already. The rounds go on until no pair of two components is left.
+    """
+    factor = 1
+    while True:
+        la = labels.select(F.col("id").alias("a"), F.col("component").alias("la"))
+        lb = labels.select(F.col("id").alias("b"), F.col("component").alias("lb"))
+        open_pairs = stage(candidates.join(la, "a", "left").join(lb, "b", "left").select(
+            "a", "b", "estimate", F.coalesce("la", "a").alias("la"),
+            F.coalesce("lb", "b").alias("lb")).where("la <> lb"), "near-open")
+        if not open_pairs.take(1):
+            return labels
+        of_one = Window.partitionBy("b").orderBy(F.desc("estimate"), "a")
+        of_two = Window.partitionBy("low", "high").orderBy(F.desc("estimate"), "a", "b")
+        picked = open_pairs.withColumn("nth", F.row_number().over(of_one)).where(
+            F.col("nth") <= PAIRS * factor)
+        picked = picked.withColumns({"low": F.least("la", "lb"), "high": F.greatest("la", "lb")})
+        picked = stage(picked.withColumn("nth", F.row_number().over(of_two)).where(
+            F.col("nth") <= PAIRS_OF_COMPONENTS * factor), "near-picked")
+        near = confirmed(_with_count(picked.select("a", "b")), docs)
+        linked = stage(near.join(picked, ["a", "b"]).select("a", "b", "la", "lb"), "near-links")
+        if linked.take(1):
+            merged = components(linked.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+            merged = merged.toDF("was", "now")
+            known = labels.union(linked.select("a", "la")).union(linked.select("b", "lb")).distinct()
+            labels = stage(known.join(merged, known.component == merged.was, "left").select(
+                "id", F.coalesce("now", "component").alias("component")), "near-labels")
+        candidates = open_pairs.join(picked.select("a", "b"), ["a", "b"], "left_anti").select(
+            "a", "b", "estimate")
+        factor *= MORE
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): its component of linked documents.
 
@@ -216,10 +256,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     a doc_id count as one document. An empty table gives no rows; texts are read whole.
 
     Documents of one and the same set are one class, found by its key, so copies never pair up.
-    Classes that share a band meet its smallest member first, which unites a group in as many
-    pairs as it has members; then, where a band still holds several components, those outside
-    its largest one meet all others of other components. No pair of a band is left out: it is
-    confirmed, or its estimate is too low, or its two sides are in one component already.
+    Classes that share a band meet its centre first, which unites a group in about as
+    many pairs as it has members; then, where a band still holds several components, those
+    outside its largest one are compared by their bits with all of other components. No pair of
+    a band is left out: it is confirmed, or its estimate is too low, or its two sides are in one
+    component already.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stage(signatures(docs), "near-signatures")
@@ -229,15 +270,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = full.join(classes.select("rep").distinct(), full.doc_id == F.col("rep"), "left_semi") \
         .dropDuplicates(["doc_id"])
     members = reps.select(F.explode("bands").alias("key"), "doc_id")
-    shared = members.groupBy("key").agg(F.min("doc_id").alias("a"),
-                                        F.count("*").alias("n")).where("n > 1").drop("n")
+    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = stage(members.join(shared, "key"), "near-bands")
+    # A band's centre is the member that meets the most others over all of its bands: what the
+    # members of a group are edited from rather than one of the edits.
+    degrees = members.groupBy("doc_id").agg(F.sum("n").alias("degree"))
+    centres = members.join(degrees, "doc_id").groupBy("key").agg(
+        (-F.max(F.struct("degree", (-F.col("doc_id")).alias("d")))["d"]).alias("a"))
+    members = stage(members.select("key", "doc_id").join(centres, "key"), "near-bands")
 
     bits = stage(reps.select("doc_id", "bits"), "near-bits")
-    stars = stage(members.where("doc_id <> a").select("a", F.col("doc_id").alias("b"))
-                  .distinct(), "near-stars")
-    links = stage(confirmed(_with_count(_estimated(stars, bits)), docs), "near-links")
-    labels = components(links)
+    stars = stage(_estimated(members.where("doc_id <> a").select(
+        "a", F.col("doc_id").alias("b")).distinct(), bits), "near-stars")
+    labels = united(stars, docs.sparkSession.createDataFrame([], "id long, component long"), docs)
 
     named = stage(members.join(labels, members.doc_id == labels.id, "left").select(
         "key", "doc_id", F.coalesce("component", "doc_id").alias("label")), "near-named")
@@ -245,17 +290,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     largest = held.groupBy("key").agg(
         F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("top")).where(
         "labels > 1").select("key", F.col("top.label").alias("main"))
-    open_bands = stage(named.join(largest, "key"), "near-open")
+    open_bands = stage(named.join(largest, "key").join(bits, "doc_id"), "near-bands")
     outside = open_bands.where("label <> main").select(
-        "key", F.col("doc_id").alias("a"), F.col("label").alias("a_label"))
-    others = open_bands.select("key", F.col("doc_id").alias("b"), "label")
-    rest = outside.join(others, "key").where(F.col("a_label") != F.col("label")).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = stage(_estimated(rest.join(stars, ["a", "b"], "left_anti"), bits), "near-rest")
-    if rest.take(1):
-        more = stage(confirmed(_with_count(rest), docs), "near-links")
-        if more.take(1):
-            labels = components(links.union(more))
+        "key", F.col("doc_id").alias("a"), F.col("label").alias("a_label"),
+        F.col("bits").alias("a_bits"))
+    others = open_bands.select("key", F.col("doc_id").alias("b"), "label",
+                               F.col("bits").alias("b_bits"))
+    likeness = estimate("a_bits", "b_bits")
+    rest = outside.join(others, (outside.key == others.key) & (F.col("a_label") != F.col("label"))
+                        & (likeness >= LEAST_ESTIMATE)).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+        likeness.alias("estimate")).distinct()
+    rest = stage(rest.join(stars, ["a", "b"], "left_anti"), "near-rest")
+    labels = united(rest, labels, docs)
     in_class = classes.join(labels, classes.rep == labels.id, "left").select(
         "k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component"))
     keys = ["k1", "k2", "n_shingles"]
