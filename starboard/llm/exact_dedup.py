@@ -37,7 +37,11 @@ def clashing_chunks(texts: DataFrame) -> DataFrame:
     """
     every = texts.select(F.explode(chunks(F.col("norm"))).alias("chunk")).select(
         F.xxhash64("chunk").alias("hash"), "chunk").distinct()
-    same = every.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    # Chunks are moved again only if there is such a hash.
+    same = stage(every.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"),
+                 "chunk-hashes")
+    if not same.take(1):
+        return texts.sparkSession.createDataFrame([], "hash long, chunk string, rank int")
     return every.join(same, "hash").select(
         "hash", "chunk", F.row_number().over(Window.partitionBy("hash").orderBy("chunk"))
         .alias("rank"))
@@ -87,7 +91,9 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         F.count("*").alias("group_size"),
         F.min(F.struct((-F.col("n_chars")).alias("longest"), F.col("doc_id").alias("id")))
         .alias("best"))
-    groups = groups.select(*key, "group_size", F.col("best.id").alias("keep_id"))
+    # Written, so that both sides of the join are plain and a hot key of it can be split.
+    groups = stage(groups.select(*key, "group_size", F.col("best.id").alias("keep_id")),
+                   "text-groups")
     return rows.join(groups, key).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id"))
         .alias("kept"), "text_sha256", F.size("recipe").alias("n_chunks"))
