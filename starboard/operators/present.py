@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from starboard.functions.columns import percent
 
@@ -20,8 +21,9 @@ def top_n_slice(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFra
 
 
 def share_of_slice(df: DataFrame, value: str) -> DataFrame:
-    """Percentage of each row within the shown rows."""
-    return df.withColumn("share_pct", percent(value, df.agg(F.sum(value)).scalar()))
+    """Percentage of each row within the shown rows, which are few: one window holds them all."""
+    whole = Window.partitionBy()
+    return df.withColumn("share_pct", percent(value, F.sum(value).over(whole)))
 
 
 def mean_line(df: DataFrame, value: str) -> DataFrame:

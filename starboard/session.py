@@ -67,16 +67,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# A shuffle partition should hold about this much of the input; a job should not have more
-# partitions than a driver can keep track of.
+# A shuffle partition should hold about this much of the input, however large that is.
 BYTES_PER_PARTITION = 256 * 1024 * 1024
-MOST_PARTITIONS = 50_000
 
 # Spark gives relations of unknown size the largest long.
 _UNKNOWN_SIZE = 1 << 62
 
 
-def size_shuffles(*frames: DataFrame) -> int:
+def size_shuffles(*frames: DataFrame, bytes_per_partition: int = BYTES_PER_PARTITION) -> int:
     """Raise the number of shuffle partitions to fit the files the frames read.
 
     AQE merges small partitions but never splits an aggregation, so the number to start
@@ -84,7 +82,7 @@ def size_shuffles(*frames: DataFrame) -> int:
     """
     spark = frames[0].sparkSession
     total = sum(_bytes_read(frame) for frame in frames)
-    wanted = min(-(-total // BYTES_PER_PARTITION), MOST_PARTITIONS)
+    wanted = -(-total // bytes_per_partition)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))

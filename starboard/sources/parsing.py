@@ -17,9 +17,9 @@ from starboard.operators.cleaning import (
     typed,
     typed_columns,
 )
-from starboard.operators.mapping import ROLES, fallbacks
+from starboard.operators.mapping import ROLES, fallbacks, normalized
 from starboard.schemas import ALIASES, CANONICAL
-from starboard.sources.dialects import is_header_line, split_line
+from starboard.sources.dialects import split_line
 
 # Dialect rows up to this many bytes are sent to every executor; beyond it the planner joins.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -86,24 +86,20 @@ def parse_rows(
     """
     size = size or measure(dialects)
     shapes = dialects.where("role is not null").select(
-        "file_path", "role", "sep", "has_header", "at", "extra_names", "extra_at"
+        "file_path", "role", "sep", "has_header", "names", "at", "extra_names", "extra_at"
     )
     if size.bytes <= BROADCAST_BYTES:
         shapes = F.broadcast(shapes)
     line, sep = F.trim("value"), F.col("sep")
     text = lines.where(not_blank("value")).select("file_path", "value").join(shapes, "file_path")
     # One step per select: what is cut here is used once per column and not cut again.
-    shape = (
-        F.when(F.col("has_header") & is_header_line(line, sep), HEADER)
-        .when(~F.contains(line, sep), TOO_FEW_FIELDS)
-        .otherwise(ROW_OK)
-    )
+    shape = F.when(~F.contains(line, sep), TOO_FEW_FIELDS).otherwise(ROW_OK)
     # Delimiters inside double quotes belong to the value. Only lines with a quote need the
     # CSV parser; '::' files know no quotes.
     quoted = (sep != "::") & F.contains("value", F.lit('"'))
     width = max(size.width, 2)
     row = text.select(
-        "file_path", "role", "value", "at", "extra_at", "extra_names",
+        "file_path", "role", "value", "at", "extra_at", "extra_names", "has_header", "names",
         shape.alias("shape"),
         F.when(quoted, _unquote(line, sep, width)).alias("row"),
         F.when(~quoted, split_line(line, sep)).alias("parts"),
@@ -112,6 +108,15 @@ def parse_rows(
     cells = row.withColumn(
         "cells", F.coalesce("parts", F.when(F.col("row").isNotNull(), unquoted))
     )
+    # A header is a line whose fields are those of the file's own header, all of them and in
+    # its order; a row that has such a word as one of its values is a row. Most lines differ in
+    # the first field already.
+    own_header = (
+        F.col("has_header")
+        & (normalized(F.get("cells", F.lit(0))) == F.get("names", F.lit(0)))
+        & (F.transform(F.slice("cells", F.lit(1), F.size("names")), normalized) == F.col("names"))
+    )
+    cells = cells.withColumn("shape", F.when(own_header, HEADER).otherwise(F.col("shape")))
     extra = F.map_from_arrays(
         "extra_names", F.transform("extra_at", lambda i: F.get("cells", i))
     )

@@ -191,3 +191,12 @@ def test_rows_add_up(spark, folder):
 def test_datasets_without_ratings_are_rejected(spark, folder, files):
     with pytest.raises(DatasetRejected):
         load_dataset(spark, folder(**files))
+
+
+def test_rows_with_header_words_are_rows(spark, folder, rows):
+    where = folder(movies_csv="movie_id,title,genres\n1,\"Lights, Camera, Movie\",Drama\n"
+                              "2,Score,Drama\nMovie_ID,Title,Genres\n3,Heat,title\n")
+    dataset, _ = parse(spark, where)
+    assert rows(dataset.where("reason = 'ok'"), "movie_id", "title") == [
+        (1, "Lights, Camera, Movie"), (2, "Score"), (3, "Heat")]
+    assert dataset.where("reason = 'header'").count() == 2
