@@ -33,6 +33,12 @@ TOGETHER = 64
 # Pairs confirmed per document and per two components in the first round; ``MORE`` times as many
 # in each round after it, until none is left.
 PAIRS, PAIRS_OF_COMPONENTS, MORE = 2, 8, 8
+# Smallest shingle hashes kept of a document whose band still holds several components; of a set
+# no larger they are all.
+SKETCH = 512
+WHOLE = (1 << 63) - 1
+# Standard errors that an estimate from such sketches may lie under the threshold.
+SLACK = 4.5
 # Bytes of text hashed at once.
 BLOCK = 1 << 19
 
@@ -168,6 +174,49 @@ def estimate(a: str, b: str) -> Column:
     return ((MINIMA - differing) / F.lit(float(MINIMA)) - by_chance) / (1 - by_chance)
 
 
+def sketches(docs: DataFrame) -> DataFrame:
+    """Per row of (doc_id, text) the ``SKETCH`` smallest hashes of its set, and how far they reach."""
+    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids, at = batch["doc_id"], 0
+            for block in _blocks(_as_bytes(batch["text"])):
+                # The highest bit flipped, signed numbers sort as the unsigned ones did.
+                sets = [(s ^ np.uint64(1 << 63)).view(np.int64) for s in shingle_hashes(block)]
+                yield pd.DataFrame({
+                    "doc_id": ids.iloc[at:at + len(block)].to_numpy(),
+                    "least": [s[:SKETCH] for s in sets],
+                    "reach": [s[SKETCH - 1] if len(s) > SKETCH else WHOLE
+                              for s in sets]})
+                at += len(block)
+
+    return docs.select("doc_id", "text").mapInPandas(
+        sketch, "doc_id long, least array<long>, reach long")
+
+
+def may_link(a: str, b: str) -> Column:
+    """Whether two sketches (``least``, ``reach``) allow the similarity that makes a link.
+
+    Up to the shorter reach both sketches are whole, and so is the union there. Where both hold
+    their whole sets the answer is exact. Else the union counts at least ``SKETCH`` hashes, which
+    bounds the error to allow for.
+    """
+    part = SIMILARITY / 100
+    least = part - SLACK * (part * (1 - part) / SKETCH) ** 0.5
+    reach = F.least(f"{a}_reach", f"{b}_reach")
+    sizes = [F.size(f"{name}_least") for name in (a, b)]
+    both = F.size(F.array_intersect(f"{a}_least", f"{b}_least"))
+
+    def within(name: str) -> Column:
+        return F.size(F.filter(f"{name}_least", lambda h: h <= reach))
+
+    # Each is solved for the common hashes, so that these are counted once:
+    # both / (sum of sizes - both) >= s is both >= s / (1 + s) * (sum of sizes).
+    exact = (100 * F.least(*sizes) >= SIMILARITY * F.greatest(*sizes)) & (
+        (100 + SIMILARITY) * both >= SIMILARITY * (sizes[0] + sizes[1]))
+    sampled = both >= least / (1 + least) * (within(a) + within(b))
+    return F.when(reach == WHOLE, exact).otherwise(sampled)
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough.
 
@@ -258,9 +307,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Documents of one and the same set are one class, found by its key, so copies never pair up.
     Classes that share a band meet its centre first, which unites a group in about as
     many pairs as it has members; then, where a band still holds several components, those
-    outside its largest one are compared by their bits with all of other components. No pair of
-    a band is left out: it is confirmed, or its estimate is too low, or its two sides are in one
-    component already.
+    outside its largest one are compared with all of other components, by their bits and, where
+    these allow a link, by the smallest hashes of their sets. No pair of a band is left out: it is
+    confirmed, or its estimate is too low, or its two sides are in one component already.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stage(signatures(docs), "near-signatures")
@@ -290,15 +339,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     largest = held.groupBy("key").agg(
         F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("top")).where(
         "labels > 1").select("key", F.col("top.label").alias("main"))
-    open_bands = stage(named.join(largest, "key").join(bits, "doc_id"), "near-bands")
+    in_open = stage(named.join(largest, "key"), "near-open-bands")
+    ids = stage(in_open.select(F.col("doc_id").alias("id")).distinct(), "near-ids")
+    texts = docs.join(small(ids), docs.doc_id == ids.id, "left_semi")
+    looked_at = stage(sketches(texts).dropDuplicates(["doc_id"]).join(bits, "doc_id"),
+                      "near-sketches")
+    open_bands = in_open.join(looked_at, "doc_id")
     outside = open_bands.where("label <> main").select(
         "key", F.col("doc_id").alias("a"), F.col("label").alias("a_label"),
-        F.col("bits").alias("a_bits"))
-    others = open_bands.select("key", F.col("doc_id").alias("b"), "label",
-                               F.col("bits").alias("b_bits"))
+        *[F.col(name).alias(f"a_{name}") for name in ("bits", "least", "reach")])
+    others = open_bands.select(
+        "key", F.col("doc_id").alias("b"), "label",
+        *[F.col(name).alias(f"b_{name}") for name in ("bits", "least", "reach")])
     likeness = estimate("a_bits", "b_bits")
     rest = outside.join(others, (outside.key == others.key) & (F.col("a_label") != F.col("label"))
-                        & (likeness >= LEAST_ESTIMATE)).select(
+                        & (likeness >= LEAST_ESTIMATE) & may_link("a", "b")).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
         likeness.alias("estimate")).distinct()
     rest = stage(rest.join(stars, ["a", "b"], "left_anti"), "near-rest")

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from starboard.llm import chat, common, exact_dedup, fingerprints, html_extract, language_id
@@ -152,6 +153,29 @@ def test_near_duplicates_like_brute_force(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == _components(rows)
 
 
+def test_sketches_rule_out_only_what_is_no_link(spark):
+    """Exact for sets that fit, and no link ruled out for larger ones."""
+    cases = []
+    for n in (60, minhash.SKETCH, 4 * minhash.SKETCH):
+        words = [f"w{i}" for i in range(n + minhash.WORDS - 1)]
+        for cut in range(0, n, max(n // 12, 1)):
+            cases.append((n, " ".join(words), " ".join(words[:len(words) - cut]
+                                                       + [f"x{i}" for i in range(cut)])))
+    rows = [(2 * i + side, case[1 + side]) for i, case in enumerate(cases) for side in (0, 1)]
+    kept = minhash.sketches(spark.createDataFrame(rows, "doc_id long, text string"))
+    sides = [kept.where(F.col("doc_id") % 2 == side).select(
+        (F.col("doc_id") / 2).cast("long").alias("pair"),
+        *[F.col(c).alias(f"{name}_{c}") for c in ("least", "reach")])
+        for side, name in enumerate("ab")]
+    found = {r.pair: r.may for r in sides[0].join(sides[1], "pair").select(
+        "pair", minhash.may_link("a", "b").alias("may")).collect()}
+    for i, (n, left, right) in enumerate(cases):
+        a, b = (set(s.tolist()) for s in minhash.shingle_hashes([left.encode(), right.encode()]))
+        link = 100 * len(a & b) >= minhash.SIMILARITY * len(a | b)
+        assert found[i] == link if n <= minhash.SKETCH else found[i] or not link, (n, i)
+    assert sum(found.values()) < len(cases)
+
+
 def test_near_duplicates_of_awkward_rows(docs):
     found = minhash.near_duplicates(docs).collect()
     assert len(found) == len(ROWS)
