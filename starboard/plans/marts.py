@@ -207,12 +207,20 @@ def read_mart(spark: SparkSession, root: str, name: str, dataset_id: int) -> Dat
     return spark.read.schema(MARTS[name]).parquet(path)
 
 
-def serve(mart: DataFrame, name: str) -> DataFrame:
-    """A mart in the order and shape in which it is shown."""
+# Fixed value: rows in the views of top movies and occupations.
+VIEW_ROWS = 20
+
+
+def serve(mart: DataFrame, name: str, k: int | None = VIEW_ROWS) -> DataFrame:
+    """A mart in the order and shape in which it is shown.
+
+    Top movies and occupations are lists of the first ``k`` rows, or of all with ``None``.
+    """
+    most = (lambda shown: shown) if k is None else (lambda shown: shown.limit(k))
     if name == "rating_distribution":
         return mart.orderBy("score")
     if name == "top_movies":
-        return mart.orderBy(F.desc("avg_rating"), F.desc("rating_count"), "movie_name").limit(20)
+        return most(mart.orderBy(F.desc("avg_rating"), F.desc("rating_count"), "movie_name"))
     if name == "genre_stats":
         return mart.orderBy(F.desc("movie_count"), "genre_name")
     if name == "active_users":
@@ -224,14 +232,16 @@ def serve(mart: DataFrame, name: str) -> DataFrame:
     if name == "age_group_stats":
         return mart.orderBy(label_rank("age_group"), "age_group")
     if name == "occupation_stats":
-        return mart.orderBy(F.desc("rating_count"), "occupation").limit(20)
+        return most(mart.orderBy(F.desc("rating_count"), "occupation"))
     if name == "dashboard_summary":
         return mart.limit(1)
     raise ValueError(f"no mart named {name!r}")
 
 
-def mart_view(spark: SparkSession, root: str, name: str, dataset_id: int) -> DataFrame:
-    return serve(read_mart(spark, root, name, dataset_id), name)
+def mart_view(
+    spark: SparkSession, root: str, name: str, dataset_id: int, k: int | None = VIEW_ROWS
+) -> DataFrame:
+    return serve(read_mart(spark, root, name, dataset_id), name, k)
 
 
 def list_datasets(spark: SparkSession, root: str) -> DataFrame:

@@ -24,16 +24,27 @@ from starboard.schemas import HEADER_NAMES, RAW_COLUMNS
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A canonical table from CSV files with a header row, quoted values allowed.
 
-    The header names the columns, whatever their order; values that do not fit are null.
+    The header names the columns, whatever their order, but one order for all files: reading
+    fails where a file's header differs from the first one's instead of swapping its columns.
+    Values that do not fit are null.
     """
-    frame = spark.read.option("header", True).option("escape", '"').csv(path)
+    frame = (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("escape", '"')
+        .csv(path)
+    )
     return typed(frame.withColumnsRenamed({"timestamp": "ts"}), table)
 
 
 def read_dialect(spark: SparkSession, paths: Sequence[str], sep: str) -> DataFrame:
-    """Header files of one delimiter, columns under canonical names, all values as text."""
+    """Header files of one delimiter, columns under canonical names, all values as text.
+
+    Reading fails where a file's header differs from the first one's.
+    """
     frame = (
         spark.read.option("header", True)
+        .option("enforceSchema", False)
         .option("sep", sep)
         .option("quote", '"' if sep != "::" else "")
         .option("escape", '"')

@@ -139,6 +139,16 @@ def test_header_tables(spark, folder, rows):
     assert tables.read_dialect(spark, [f"{path}/up.tsv"], "\t").columns == ["movie_id", "title", "genres"]
 
 
+def test_files_of_other_column_order_fail_instead_of_swapping(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("user_id,movie_id,rating\n1,2,3\n")
+    (tmp_path / "b.csv").write_text("movie_id,user_id,rating\n20,10,4\n")
+    paths = [str(tmp_path / name) for name in ("a.csv", "b.csv")]
+    with pytest.raises(Exception, match="header"):
+        tables.read_table(spark, str(tmp_path), "ratings").collect()
+    with pytest.raises(Exception, match="header"):
+        tables.read_dialect(spark, paths, ",").collect()
+
+
 def test_catalog(spark, rows):
     spark.range(3).createOrReplaceTempView("counted")
     assert rows(tables.catalog_counts(spark).where(F.col("tbl") == "counted")) == [("counted", 3)]

@@ -126,6 +126,14 @@ def test_briefing_sections_in_order(spark, folder, root):
     assert scores == [1, 2, 3, 4, 5]
 
 
+def test_views_show_as_many_rows_as_asked_for(spark):
+    rows = [(f"m{i:02}", 4.5, i) for i in range(30)]
+    mart = spark.createDataFrame(rows, "movie_name string, avg_rating double, rating_count long")
+    assert M.serve(mart, "top_movies").count() == M.VIEW_ROWS
+    assert M.serve(mart, "top_movies", 25).count() == 25
+    assert M.serve(mart, "top_movies", None).count() == 30
+
+
 def test_export(spark, tmp_path):
     frame = spark.createDataFrame([(1, "a,b"), (2, None)], "i int, s string")
     path = str(tmp_path / "out")
