@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.bindings import age_case, with_tables
+from checks.bindings import SQL, age_case, with_tables
 from starboard.schemas import OCCUPATIONS
 
 
@@ -121,21 +121,33 @@ order by avg_rating desc, rating_count desc, movie_name limit 20"""
 ALL = ("ratings", "movies", "genres", "users")
 
 
-def analyze_all() -> str:
+def long_marts(top_movies: str = TOP_MOVIES) -> str:
     def piece(mart: str, sql: str, label: str, count: str, value: str) -> str:
         return (f"select '{mart}' as mart, cast({label} as varchar) as label, "
-                f"cast({count} as bigint) as ratings, {value} as value from ({sql})")
+                f"cast({count} as bigint) as ratings, cast({value} as double) as value from ({sql})")
 
-    return with_tables(*ALL, sql="\nunion all ".join([
+    return "\nunion all ".join([
         piece("rating_distribution", SCORES, "score", "count", "percentage"),
-        piece("top_movies", TOP_MOVIES, "movie_name", "rating_count", "avg_rating"),
+        piece("top_movies", top_movies, "movie_name", "rating_count", "avg_rating"),
         piece("genre_stats", genre_stats(), "genre_name", "rating_count", "avg_rating"),
         piece("active_users", ACTIVE_USERS, "user_id", "rating_count", "avg_rating"),
         piece("gender_comparison", GENDER, "gender", "rating_count", "avg_rating"),
         piece("age_group_stats", by_group("age_group"), "age_group", "rating_count", "avg_rating"),
         piece("occupation_stats", TOP_OCCUPATION, "occupation", "rating_count", "avg_rating"),
         piece("dashboard_summary", SUMMARY, "total_users", "total_ratings", "avg_rating"),
-    ]))
+    ])
+
+
+def analyze_all() -> str:
+    return with_tables(*ALL, sql=long_marts())
+
+
+def raw_marts() -> str:
+    """All marts of the headerless files, from the cleaned tables as SQL."""
+    cleaned = {kind: ORACLE[f"S3_scan_coloncolon_{kind}"] for kind in ("ratings", "movies", "users")}
+    tables = [f"{kind} as ({sql})" for kind, sql in cleaned.items()] + [f"genres as ({SQL['genres']})"]
+    top = TOP_MOVIES.replace("count(*) >= 50", "count(*) >= 3")
+    return f"with {', '.join(tables)} {long_marts(top)}"
 
 
 def _views() -> dict[str, str]:
@@ -149,7 +161,7 @@ def _views() -> dict[str, str]:
         "genre_stats": (genre_stats(), f"genre_name, movie_count, {a2}, rating_count"),
         "active_users": (
             ACTIVE_USERS,
-            "cast(user_id as integer) as user_id, gender, cast(age as varchar) as age, "
+            "cast(user_id as bigint) as user_id, gender, cast(age as varchar) as age, "
             f"occupation, rating_count, {a2}",
         ),
         "gender_comparison": (
@@ -208,8 +220,8 @@ HALF_STAR = "(cast(trunc(l_quantity) as integer) % 10 + 1) / 2.0::double"
 
 # The rows of checks.queries.dirty_ratings: key present, rating as a number where it is one.
 DIRTY = f"""dirty as (
-  select case when l_tax > 0.07 then null else cast(l_orderkey as integer) end as user_id,
-         cast(l_partkey as integer) as movie_id,
+  select case when l_tax > 0.07 then null else cast(l_orderkey as bigint) end as user_id,
+         cast(l_partkey as bigint) as movie_id,
          case l_linenumber when 1 then null when 2 then null when 3 then -1.0 when 4 then 100.0
               when 5 then 4.0 when 6 then 7.5 else {HALF_STAR} end::double as rating,
          case when l_returnflag = 'R' then null else {SHIPPED} end as ts
@@ -224,14 +236,14 @@ CUSTOMER_JOB = f"coalesce(list_extract({_LABELS}, cast(c_custkey % 25 as integer
 
 # Usable ratings of the messy folder, before duplicates go.
 MESSY_RATINGS = f"""
-  select cast(l_orderkey as integer) as user_id, cast(l_partkey as integer) as movie_id,
+  select cast(l_orderkey as bigint) as user_id, cast(l_partkey as bigint) as movie_id,
          {HALF_STAR} as rating, {SHIPPED} as ts from lineitem where l_linenumber in (1, 7)
   union all
-  select cast(user_id as integer), cast(event_id as integer),
+  select cast(user_id as bigint), cast(event_id as bigint),
          (cast(trunc(value) as integer) % 10 + 1) / 2.0::double,
          cast(floor(epoch(ts)) as bigint) from events
   union all
-  select cast(o_custkey as integer), cast(o_orderkey as integer),
+  select cast(o_custkey as bigint), cast(o_orderkey as bigint),
          cast(cast(floor(o_totalprice) as bigint) % 12 as double),
          cast(floor(epoch(o_orderdate)) as bigint)
   from orders where cast(floor(o_totalprice) as bigint) % 12 <= 10"""
@@ -251,18 +263,24 @@ DAMAGE = """
 
 def _dialects() -> str:
     rows = [
-        ("user_id,movie_id,rating,timestamp", ",", "ratings"),
-        ("userId\tmovie\tscore\ttime", "\t", "ratings"),
-        ("UserID::MovieID::Rating::Timestamp", "::", "ratings"),
-        ("movieId,title,genre,shelf", ",", "movies"),
-        ("user_id\tgender\tage\toccupation\tzip_code", "\t", "users"),
-        ("user_id,movie_id,timestamp", ",", None),
+        ("user_id,movie_id,rating,timestamp", ",", "ratings", "lineitem where l_linenumber <> 2"),
+        ("userId\tmovie\tscore\ttime", "\t", "ratings", "events"),
+        ("UserID::MovieID::Rating::Timestamp", "::", "ratings", "orders"),
+        ("movieId,title,genre,shelf", ",", "movies",
+         "(select p_partkey from part union all select n_nationkey from nation)"),
+        ("user_id\tgender\tage\toccupation\tzip_code", "\t", "users", "customer"),
+        ("user_id,movie_id,timestamp", ",", None, "supplier"),
+    ]
+    pieces = [
+        "select 'alpha,beta' as head, ',' as sep, false as has_header, 'none' as role, "
+        "'_c0|_c1' as fields, count(*) + 1 as n_lines from region",
+        "select 'prose', 'none', false, 'none', 'none', count(*) from region",
     ]
-    pieces = []
-    for head, sep, role in rows:
+    for head, sep, role, source in rows:
         shown = "tab" if sep == "\t" else sep
         pieces.append(f"select '{head}' as head, '{shown}' as sep, true as has_header, "
-                      f"'{role or 'none'}' as role, '{head.lower().replace(sep, '|')}' as fields")
+                      f"'{role or 'none'}' as role, '{head.lower().replace(sep, '|')}' as fields, "
+                      f"count(*) as n_lines from {source}")
     return "\nunion all ".join(pieces)
 
 
@@ -370,32 +388,32 @@ select cast(l_orderkey as varchar) as user_id, cast(l_partkey as varchar) as mov
 from lineitem""",
     "C4_merge_role_files": """
 select rating, ts, count(*) as n, min(user_id) as least_user from (
-  select cast(l_orderkey as integer) as user_id, l_quantity as rating, cast(0 as bigint) as ts
+  select cast(l_orderkey as bigint) as user_id, l_quantity as rating, cast(0 as bigint) as ts
   from lineitem
-  union all select cast(user_id as integer), 3.0, 7 from events) group by rating, ts""",
+  union all select cast(user_id as bigint), 3.0, 7 from events) group by rating, ts""",
     "C5_typed_cast": """
-select cast(l_orderkey as integer) as user_id, cast(l_partkey as integer) as movie_id,
+select cast(l_orderkey as bigint) as user_id, cast(l_partkey as bigint) as movie_id,
        l_quantity as rating, cast(0 as bigint) as ts from lineitem""",
     "C6_default_fill": with_tables("ratings", "users", sql="""
 select r.user_id, coalesce(u.gender, '?') as gender, coalesce(u.age, 0) as age,
        coalesce(u.occupation, '?') as occupation
 from (select distinct user_id from ratings) r left join users u on r.user_id = u.user_id"""),
     "C7_title_full_fallback": """
-select cast(p_partkey as integer) as movie_id, p_name as title, p_name as title_full,
+select cast(p_partkey as bigint) as movie_id, p_name as title, p_name as title_full,
        '' as genres_raw from part""",
     "S1_scan_csv": with_tables("movies", sql="""
-select cast(movie_id as integer) as movie_id, title, title_full, trim(genres_raw) as genres_raw
+select cast(movie_id as bigint) as movie_id, title, title_full, trim(genres_raw) as genres_raw
 from movies"""),
     "S3_scan_coloncolon_ratings": f"""
-select distinct cast(l_orderkey as integer) as user_id, cast(l_partkey as integer) as movie_id,
+select distinct cast(l_orderkey as bigint) as user_id, cast(l_partkey as bigint) as movie_id,
        {HALF_STAR} as rating, {SHIPPED} as ts
 from lineitem where l_linenumber not in (4, 5, 6) and {HALF_STAR} between 1 and 5""",
     "S3_scan_coloncolon_movies": with_tables("movies", sql=r"""
-select distinct cast(movie_id as integer) as movie_id,
+select distinct cast(movie_id as bigint) as movie_id,
        trim(regexp_replace(title_full, '\s*\(\d{4}\)\s*$', '')) as title, title_full,
        trim(genres_raw) as genres_raw from movies"""),
     "S3_scan_coloncolon_users": f"""
-select cast(c_custkey as integer) as user_id,
+select cast(c_custkey as bigint) as user_id,
        case when upper({CUSTOMER_LETTER}) = 'M' then 'Male' else 'Female' end as gender,
        cast(c_custkey % 70 as integer) as age, {age_case("(c_custkey % 70)")} as age_group,
        cast(c_custkey % 25 as integer) as occupation_id, {CUSTOMER_JOB} as occupation,
@@ -405,10 +423,13 @@ select cast(c_custkey as integer) as user_id,
 select 'bound_movies' as tbl, count(*) as cnt from movies union all
 select 'bound_ratings', count(*) from ratings union all
 select 'bound_users', count(*) from users"""),
-    "V1_V3_admission_report": """
-select true as accepted, 'ratings' as role, 'none' as reason union all
-select true, 'movies', 'none' union all select true, 'users', 'none' union all
-select false, 'none', 'no_role' union all select false, 'none', 'no_delimiter'""",
+    "V1_V3_admission_report": f"""
+select role <> 'none' as accepted, role,
+       case when role <> 'none' then 'none' when sep = 'none' then 'no_delimiter'
+            when head = 'alpha,beta' then 'no_known_column' else 'no_role' end as reason,
+       cast(sum(n_lines) as bigint) as n_lines
+from ({_dialects()}) group by all
+union all select false, 'none', 'empty_file', 0""",
     "V6_V8_line_outcomes": f"""with outcomes as ({DAMAGE}), parts as (
   select count(*) as n from part), nations as (select count(*) as n from nation)
 select 'ratings' as role, cast(count(*) filter (reason = 'ok') as bigint) as valid,
@@ -421,11 +442,11 @@ select 'ratings' as role, reason, count(*) as n from outcomes
 where reason not in ('ok', 'header') group by reason""",
     "S2_ingested_ratings": f"select distinct * from ({MESSY_RATINGS})",
     "C3_ingested_movies": with_tables("movies", sql="""
-select distinct cast(movie_id as integer) as movie_id, title || ', the ' || title_full as title,
+select distinct cast(movie_id as bigint) as movie_id, title || ', the ' || title_full as title,
        title || ', the ' || title_full as title_full, trim(genres_raw) as genres_raw
 from movies"""),
     "C3_ingested_users": f"""
-select cast(c_custkey as integer) as user_id,
+select cast(c_custkey as bigint) as user_id,
        case when c_custkey % 3 = 0 then 'F' else 'M' end as gender,
        coalesce({MESSY_AGE}, -1) as age, coalesce({age_case(MESSY_AGE)}, '?') as age_group,
        c_mktsegment as occupation from customer""",
@@ -433,10 +454,14 @@ select cast(c_custkey as integer) as user_id,
 {SCORES}""",
     "K3_export_delimited": top_movies(50),
     "K5_insert_canonical": with_tables(*ALL, sql="""
-select 'movies' as tbl, count(*) as cnt from movies union all
-select 'ratings', count(*) from ratings union all
-select 'users', count(*) from users union all
-select 'movie_genres', count(*) from genres"""),
+select 'movies' as tbl, count(*) as cnt, cast(sum(movie_id) as bigint) as ids,
+       cast(sum(length(title) + length(genres_raw)) as bigint) as total from movies union all
+select 'ratings', count(*), cast(sum(movie_id) as bigint),
+       cast(sum(ts + cast(2 * rating as bigint)) as bigint) from ratings union all
+select 'users', count(*), cast(sum(user_id) as bigint),
+       cast(sum(age + length(gender) + length(occupation)) as bigint) from users union all
+select 'movie_genres', count(*), cast(sum(movie_id) as bigint),
+       cast(sum(length(title) + length(genre)) as bigint) from genres"""),
     "K6_update_registry_fallback": with_tables("ratings", sql="""
 select 7 as id, 'from ratings' as name, count(distinct movie_id) as movie_count,
        count(*) as rating_count, count(distinct user_id) as user_count from ratings"""),
@@ -469,13 +494,17 @@ select *, {pct("movie_count", "sum(movie_count) over ()")} as share_pct from (
 select score, count, avg(count) over () as mean_value from (
   select cast(trunc(rating) as integer) as score, count(*) as count from ratings group by 1)"""),
     "X1_stream_ingest": f"""
-select reason, case when reason = 'ok' then rating else -1 end as rating, count(*) as n from (
-  select case l_linenumber when 4 then 'invalid_rating' when 5 then 'missing_key'
-              when 6 then 'rating_out_of_range' else 'ok' end as reason, {HALF_STAR} as rating
-  from lineitem where l_linenumber not in (2, 3)) group by 1, 2""",
+select 'ok' as reason, rating, count(*) as n from (
+  select distinct l_orderkey, l_partkey, {HALF_STAR} as rating, {SHIPPED} as ts
+  from lineitem where l_linenumber in (1, 7)) group by rating
+union all
+select case l_linenumber when 4 then 'invalid_rating' when 5 then 'too_few_fields'
+            else 'rating_out_of_range' end, -1, count(*)
+from lineitem where l_linenumber in (4, 5, 6) group by 1""",
     "X2_stream_distribution": f"""
 select cast(trunc({HALF_STAR}) as integer) as score, count(*) as count from lineitem group by 1""",
     "X3_stream_daily_activity": """
 select strftime(ts, '%Y-%m-%d') as day, count(*) as count
 from events group by 1""",
 }
+ORACLE["E4_marts_from_raw_files"] = raw_marts()

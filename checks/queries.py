@@ -17,7 +17,7 @@ from starboard.operators import mapping
 from starboard.operators import present as P
 from starboard.plans import marts as M
 from starboard.plans.analysis import Frames, analyze_all
-from starboard.plans.dataset import Dataset, analyze_dataset, load_dataset
+from starboard.plans.dataset import Dataset, analyze_dataset, analyze_raw_dataset, load_dataset
 from starboard.session import scratch_path, size_shuffles, stage
 from starboard.sources import tables
 from starboard.sources.dialects import admission_report, sniff_dialect
@@ -189,20 +189,30 @@ def merge_role_frames(spark, sf):
 # ---- ingestion -------------------------------------------------------------------------------
 
 
+# Lines of a file below its header; their sum does not hang on the number of files.
+DATA_LINES = "n_lines - if(has_header, 1, 0)"
+
+
 def dialects(spark, sf):
     lines = scan_lines(spark, R.messy_folder(spark, sf))
     head = F.when(F.col("sep").isNotNull(), F.col("head")).otherwise("prose")
-    return sniff_dialect(lines).select(
-        head.alias("head"), F.when(F.col("sep") == "\t", "tab").otherwise(F.col("sep")).alias("sep"),
-        "has_header", F.coalesce("role", F.lit("none")).alias("role"), F.array_join("fields", "|").alias("fields"),
-    ).where("head <> 'prose'").distinct()
+    sep = F.when(F.col("sep") == "\t", "tab").otherwise(F.coalesce("sep", F.lit("none")))
+    fields = F.when(F.col("sep").isNotNull(), F.array_join("fields", "|")).otherwise("none")
+    return sniff_dialect(lines).groupBy(
+        head.alias("head"), sep.alias("sep"), "has_header",
+        F.coalesce("role", F.lit("none")).alias("role"), fields.alias("fields"),
+    ).agg(F.sum(F.expr(DATA_LINES)).alias("n_lines"))
 
 
 def admission(spark, sf):
     folder = R.messy_folder(spark, sf)
-    report = admission_report(list_files(spark, folder), sniff_dialect(scan_lines(spark, folder)))
+    known = sniff_dialect(scan_lines(spark, folder))
+    report = admission_report(list_files(spark, folder), known)
+    path = F.regexp_replace("file_path", "^file:/+", "file:/")
+    sizes = known.select(path.alias("file_path"), F.expr(DATA_LINES).alias("n"))
     shown = mapping.default_fill(report, {"role": "none", "reason": "none"})
-    return shown.select("accepted", "role", "reason").distinct()
+    return shown.join(sizes, "file_path", "left").groupBy("accepted", "role", "reason").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_lines"))
 
 
 @cache
@@ -244,7 +254,7 @@ def scan_csv(spark, sf):
 def scan_catalog(spark, sf):
     for name in ("movies", "ratings", "users"):
         getattr(B, name)(spark, sf).createOrReplaceTempView(f"bound_{name}")
-    return tables.catalog_counts(spark).where(F.col("tbl").startswith("bound_"))
+    return tables.catalog_counts(spark, pattern="bound_*")
 
 
 # ---- marts and serving -----------------------------------------------------------------------
@@ -286,7 +296,7 @@ def briefing(spark, sf):
     return M.dataset_briefing(spark, mart_root(spark, sf), 1).select("name", "content")
 
 
-def analyze_everything(spark, sf):
+def _long(marts) -> DataFrame:
     """All marts in one long table: mart, label, ratings, average or share."""
     shape = {
         "rating_distribution": ("score", "count", "percentage"),
@@ -298,19 +308,33 @@ def analyze_everything(spark, sf):
         "occupation_stats": ("occupation", "rating_count", "avg_rating"),
         "dashboard_summary": ("total_users", "total_ratings", "avg_rating"),
     }
-    marts = analyze_all(bound_frames(spark, sf), stage=stage)
     long = [
         marts[name].select(
             F.lit(name).alias("mart"),
             F.col(label).cast("string").alias("label"),
             F.col(count).cast("bigint").alias("ratings"),
-            F.col(value).alias("value"),
+            F.col(value).cast("double").alias("value"),
         )
         for name, (label, count, value) in shape.items()
     ]
     return reduce(DataFrame.unionAll, long)
 
 
+def analyze_everything(spark, sf):
+    return _long(analyze_all(bound_frames(spark, sf), stage=stage))
+
+
+def _written(spark, root: str, dataset_id: int) -> DataFrame:
+    return _long({name: M.read_mart(spark, root, name, dataset_id) for name in M.MARTS})
+
+
+def raw_marts(spark, sf):
+    """Folder of headerless files -> all marts."""
+    root = scratch_path(spark, "raw-marts")
+    analyze_raw_dataset(spark, R.raw_dat_folder(spark, sf), root, 6, "raw", min_count=3)
+    return _written(spark, root, 6)
+
+
 def exported(spark, sf):
     path = scratch_path(spark, "export")
     top = A.top_movies(B.ratings(spark, sf), B.movies(spark, sf))
@@ -326,11 +350,20 @@ def canonical_root(spark: SparkSession, sf: str) -> str:
 
 
 def insert_canonical(spark, sf):
+    """Rows, sums of ids and lengths of texts of what was written."""
     frames = M.read_canonical(spark, canonical_root(spark, sf), 7)
-    return C.table_counts({
-        "movies": frames.movies, "ratings": frames.ratings,
-        "users": frames.users, "movie_genres": frames.movie_genres,
-    })
+    shape = {
+        "movies": ("movie_id", F.length("title") + F.length("genres_raw")),
+        "ratings": ("movie_id", F.col("ts") + (2 * F.col("rating")).cast("bigint")),
+        "users": ("user_id", F.col("age") + F.length("gender") + F.length("occupation")),
+        "movie_genres": ("movie_id", F.length("title") + F.length("genre")),
+    }
+    return reduce(DataFrame.unionAll, [
+        getattr(frames, table).agg(
+            F.count(F.lit(1)).alias("cnt"), F.sum(key).alias("ids"), F.sum(values).alias("total")
+        ).select(F.lit(table).alias("tbl"), "cnt", "ids", "total")
+        for table, (key, values) in shape.items()
+    ])
 
 
 def registry_fallback(spark, sf):
@@ -488,6 +521,7 @@ QUERIES: dict[str, Query] = {
     "K2_uploaded_marts": upload,
     "K3_export_delimited": exported,
     "K5_insert_canonical": insert_canonical,
+    "E4_marts_from_raw_files": raw_marts,
     "K6_update_registry_fallback": registry_fallback,
     "K8_json_rows": json_scores,
     **{f"P1_view_{name}": served(name) for name in M.MARTS},

@@ -107,6 +107,11 @@ def messy_folder(spark: SparkSession, sf: str) -> str:
     no_rating = F.concat_ws(",", _text(F.col("s_suppkey")), _text(F.col("s_nationkey")), F.lit("1"))
     _write_lines(no_rating, "user_id,movie_id,timestamp", table(spark, sf, "supplier"), path)
 
+    unknown = table(spark, sf, "region").coalesce(1)
+    _write_lines(F.concat(F.lit("x,"), "r_name"), "alpha,beta", unknown, path)
+    table(spark, sf, "region").where("false").select("r_name").coalesce(1).write.mode(
+        "append").text(path)
+
     prose = table(spark, sf, "region").select(F.concat(F.lit("A note about "), "r_name"))
     prose.write.mode("append").text(path)
     return path
@@ -114,10 +119,11 @@ def messy_folder(spark: SparkSession, sf: str) -> str:
 
 @cache
 def damaged_folder(spark: SparkSession, sf: str) -> str:
-    """Only the damaged comma separated ratings."""
+    """Only the damaged comma separated ratings; the first line of each order comes twice."""
     path = scratch_path(spark, "damaged")
     df, lines, header = damaged_ratings(spark, sf)
     _write_lines(lines, header, df, path)
+    _write_lines(lines, header, df.where("l_linenumber = 1"), path)
     return path
 
 

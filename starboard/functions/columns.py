@@ -13,7 +13,7 @@ from starboard.schemas import AGE_GROUPS, AGE_LABELS, OCCUPATIONS, UNKNOWN_OCCUP
 ColumnLike = Column | str
 
 _BLANKS = " \t\r\n\f\x0b"
-_INTEGER = r"^\s*[-+]?[0-9]+\s*$"
+_INTEGER = r"^\s*[-+]?[0-9]+(\.0*)?\s*$"
 _DECIMAL = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
 
 
@@ -44,8 +44,11 @@ def to_number(value: ColumnLike, type_name: str) -> Column:
     exception, a hundred times as dear as the pattern.
     """
     text = as_column(value).cast("string")
-    pattern = _INTEGER if type_name in ("int", "bigint") else _DECIMAL
-    return F.when(text.rlike(pattern), text.try_cast(type_name))
+    if type_name in ("int", "bigint"):
+        # Whole numbers come as 5.0 from tools that keep them as doubles.
+        whole = F.substring_index(text, ".", 1)
+        return F.when(text.rlike(_INTEGER), whole.try_cast(type_name))
+    return F.when(text.rlike(_DECIMAL), text.try_cast(type_name))
 
 
 def strip_title_year(title: ColumnLike) -> Column:

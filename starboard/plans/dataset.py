@@ -23,6 +23,7 @@ from starboard.sources.parsing import (
     parse_rows,
     quarantine_of,
 )
+from starboard.sources.tables import read_raw_dat
 
 
 class DatasetRejected(ValueError):
@@ -112,12 +113,47 @@ def analyze_dataset(
 ) -> Dataset:
     """Load a folder, write its canonical tables, marts and registry row."""
     dataset = load_dataset(spark, path, lo, hi)
-    M.write_canonical(dataset.frames, root, dataset_id)
-    frames = M.read_canonical(spark, root, dataset_id)
     options.setdefault("movie_scope", "all")
     options.setdefault("user_scope", "all")
     options.setdefault("users_from", "ratings")
-    marts = analyze_all(frames, min_count=min_count, stage=stage, **options)
+    frames = _analyze(spark, dataset.frames, root, dataset_id, name, min_count, options)
+    return Dataset(frames, dataset.admission, dataset.quarantine, dataset.lines)
+
+
+def load_raw_dataset(spark: SparkSession, path: str) -> Frames:
+    """Canonical tables of a folder with headerless '::' files ``ratings``, ``movies``, ``users``.
+
+    The names may go on, as in ``ratings.dat``, and each may be a folder. Cleaning is strict:
+    ratings from 1 to 5 with a time; coded users are decoded.
+    """
+    ratings, movies, users = [
+        read_raw_dat(spark, f"{path.rstrip('/')}/{kind}*", kind)
+        for kind in ("ratings", "movies", "users")
+    ]
+    return Frames(ratings, movies, users, movie_genres(movies))
+
+
+def analyze_raw_dataset(
+    spark: SparkSession,
+    path: str,
+    root: str,
+    dataset_id: int,
+    name: str | None = None,
+    min_count: int = 50,
+    **options,
+) -> Frames:
+    """Load a folder of headerless '::' files, write canonical tables, marts and registry row."""
+    frames = load_raw_dataset(spark, path)
+    return _analyze(spark, frames, root, dataset_id, name, min_count, options)
+
+
+def _analyze(
+    spark: SparkSession, frames: Frames, root: str, dataset_id: int, name: str | None,
+    min_count: int, options: dict,
+) -> Frames:
+    M.write_canonical(frames, root, dataset_id)
+    written = M.read_canonical(spark, root, dataset_id)
+    marts = analyze_all(written, min_count=min_count, stage=stage, **options)
     M.write_marts(spark, marts, root, dataset_id)
     M.update_registry(spark, root, dataset_id, name)
-    return Dataset(frames, dataset.admission, dataset.quarantine, dataset.lines)
+    return written

@@ -93,7 +93,7 @@ def append_mart(df: DataFrame, root: str, name: str, dataset_id: int) -> None:
 
 
 def write_canonical(frames: Frames, root: str, dataset_id: int) -> None:
-    """Replace the canonical tables of a dataset."""
+    """Replace the canonical tables of a dataset: known columns only, in their types."""
     spark = frames.ratings.sparkSession
 
     def replace(table: str) -> None:
@@ -102,7 +102,8 @@ def write_canonical(frames: Frames, root: str, dataset_id: int) -> None:
         if frame is None:
             _remove(spark, path)
         else:
-            frame.write.mode("overwrite").parquet(path)
+            known = [f for f in CANONICAL[table].fields if f.name in frame.columns]
+            _conform(frame, T.StructType(known)).write.mode("overwrite").parquet(path)
 
     together([partial(replace, table) for table in CANONICAL])
 

@@ -13,10 +13,10 @@ def _struct(**columns: T.DataType) -> T.StructType:
 
 
 CANONICAL: dict[str, T.StructType] = {
-    "movies": _struct(movie_id=INT, title=TEXT, title_full=TEXT, genres_raw=TEXT),
-    "ratings": _struct(user_id=INT, movie_id=INT, rating=DOUBLE, ts=LONG),
+    "movies": _struct(movie_id=LONG, title=TEXT, title_full=TEXT, genres_raw=TEXT),
+    "ratings": _struct(user_id=LONG, movie_id=LONG, rating=DOUBLE, ts=LONG),
     "users": _struct(
-        user_id=INT,
+        user_id=LONG,
         gender=TEXT,
         age=INT,
         age_group=TEXT,
@@ -24,7 +24,7 @@ CANONICAL: dict[str, T.StructType] = {
         occupation=TEXT,
         zipcode=TEXT,
     ),
-    "movie_genres": _struct(movie_id=INT, title=TEXT, genre=TEXT),
+    "movie_genres": _struct(movie_id=LONG, title=TEXT, genre=TEXT),
 }
 
 # Column order of the headerless '::' files.
@@ -44,7 +44,7 @@ MARTS: dict[str, T.StructType] = {
         rating_count=LONG,
     ),
     "active_users": _struct(
-        user_id=INT,
+        user_id=LONG,
         gender=TEXT,
         age=INT,
         occupation=TEXT,

@@ -79,11 +79,13 @@ def read_raw_dat(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return distinct_rows(require_keys(decode_users(rows), "user_id"))
 
 
-def catalog_counts(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """(tbl, cnt) of every table and view the catalog lists."""
+def catalog_counts(
+    spark: SparkSession, database: str | None = None, pattern: str | None = None
+) -> DataFrame:
+    """(tbl, cnt) of every table and view the catalog lists, or of those named by ``pattern``."""
     names = [table.name if table.isTemporary or not table.namespace
              else ".".join([*table.namespace, table.name])
-             for table in spark.catalog.listTables(database)]
+             for table in spark.catalog.listTables(database, pattern)]
     if not names:
         return spark.createDataFrame([], "tbl string, cnt bigint")
     counts = [

@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from starboard.functions.columns import not_blank, score_bucket
-from starboard.operators.cleaning import ROW_OK, judge_ratings, typed
-from starboard.operators.mapping import fallbacks, map_aliases
+from starboard.operators.cleaning import ROW_OK, distinct_rows, judge_ratings, typed
+from starboard.operators.mapping import fallbacks, map_aliases, normalized
 from starboard.schemas import CANONICAL, EXTENSIONS
-from starboard.sources.dialects import DELIMITERS, is_header_line
+from starboard.sources.dialects import DELIMITERS, is_header_line, split_line
 from starboard.sources.lines import name_pattern
+from starboard.sources.parsing import TOO_FEW_FIELDS
 
 
 def read_rating_lines(
@@ -32,8 +33,10 @@ def parse_rating_lines(
 ) -> DataFrame:
     """Typed and judged rating rows of files with declared columns and delimiter.
 
-    A stream cannot look at a file before it reads it, hence the declaration. Header
-    lines, wherever they stand, are dropped. ``value`` is the line of a row set aside.
+    A stream cannot look at a file before it reads it, hence the declaration. Lines with just
+    the declared names are headers and dropped, wherever they stand. Another header stops the
+    stream, since the rows below it would have their columns swapped. ``value`` is the line of
+    a row set aside.
     """
     if sep not in DELIMITERS:
         raise ValueError(f"delimiter must be one of {DELIMITERS}, not {sep!r}")
@@ -44,17 +47,25 @@ def parse_rating_lines(
         "sep": sep, "quote": "" if sep == "::" else '"', "escape": '"',
         "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
     }
-    header = is_header_line(F.col("line"), F.lit(sep))
+    line = F.col("line")
+    declared = F.array(*[normalized(F.lit(name)) for name in columns])
+    # Most lines hold no header name at all and are not cut up for the comparison.
+    headed = is_header_line(line, F.lit(sep))
+    header = headed & (F.transform(split_line(line, F.lit(sep)), normalized) == declared)
+    other = F.raise_error(F.concat(F.lit("header differs from the declared columns: "), line))
     rows = (
         lines.where(not_blank("value"))
         .select("value", F.trim("value").alias("line"))
         .where(~header)
+        .withColumn("line", F.when(headed, other).otherwise(line))
         .withColumn("row", F.from_csv("line", schema, options))
+        .withColumn("short", ~F.contains("line", F.lit(sep)))
     )
     cells = rows.select(
-        "value", *[F.col("row")[name].alias(target) for name, target in targets.items()]
+        "value", "short", *[F.col("row")[name].alias(target) for name, target in targets.items()]
     )
-    judged = judge_ratings(cells, lo, hi)
+    judged = judge_ratings(cells, lo, hi).withColumn(
+        "reason", F.when(F.col("raw.short"), TOO_FEW_FIELDS).otherwise(F.col("reason")))
     return judged.withColumn("value", F.when(F.col("reason") != ROW_OK, F.col("raw.value"))).drop(
         "raw"
     )
@@ -87,10 +98,13 @@ _INGESTED = T.StructType(
 
 
 def ingested(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
-    """What ``stream_ingest`` has written so far: canonical ratings, and the quarantine."""
+    """What ``stream_ingest`` has written so far: canonical ratings, and the quarantine.
+
+    As in a folder read at once, a rating that came in repeatedly counts once.
+    """
     rows = spark.read.schema(_INGESTED).parquet(out)
     good = fallbacks(typed(rows.where(F.col("reason") == ROW_OK), "ratings"), "ratings")
-    return good, rows.where(F.col("reason") != ROW_OK).select("value", "reason")
+    return distinct_rows(good), rows.where(F.col("reason") != ROW_OK).select("value", "reason")
 
 
 def stream_distribution(ratings: DataFrame, bucket: str = "trunc") -> DataFrame:
