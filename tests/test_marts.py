@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from starboard.__main__ import main
 from starboard.operators import present as P
 from starboard.plans import marts as M
 from starboard.plans.dataset import analyze_dataset
@@ -180,3 +181,15 @@ def test_jdbc_options_come_from_the_caller(spark):
     assert frame.calls["options"] == {
         "batchsize": "50", "truncate": "true", "url": "jdbc:x", "dbtable": "t"}
     assert "title AS movie_name" in frame.calls["select"][0]
+
+
+def test_job_from_headerless_files(spark, tmp_path, rows):
+    source, root = tmp_path / "in", str(tmp_path / "marts")
+    source.mkdir()
+    (source / "ratings.dat").write_text("1::9::5::7\n2::9::4::7\n2::9::6::7\n2::9::4::late\n")
+    (source / "movies.dat").write_text("9::Heat (1995)::Action|Crime\n")
+    (source / "users.dat").write_text("1::F::25::3::48067\n2::M::35::4::48067\n")
+    main([str(source), root, "4", "--raw", "--min-count", "2"])
+    top = M.read_mart(spark, root, "top_movies", 4)
+    assert [(r.movie_name, float(r.avg_rating), r.rating_count) for r in top.collect()] == [
+        ("Heat", 4.5, 2)]

@@ -79,3 +79,16 @@ def test_late_events_are_left_out(spark, work, rows):
 def test_unknown_delimiters_are_refused(spark, work):
     with pytest.raises(ValueError):
         X.parse_rating_lines(X.read_rating_lines(spark, str(work / "in")), ("a",), sep=";")
+
+
+def test_lines_as_in_a_folder_read_at_once(spark, work, rows):
+    (work / "in" / "a.csv").write_text(HEADER + "3000000000,2,3,4\n" * 2 + "7\n8.0,2,3,4\n")
+    good, bad = ingest(spark, work)
+    assert sorted(rows(good)) == [(8, 2, 3.0, 4), (3000000000, 2, 3.0, 4)]
+    assert rows(bad) == [("7", "too_few_fields")]
+
+
+def test_another_header_stops_the_stream(spark, work):
+    (work / "in" / "a.csv").write_text("movie,userId,score,time\n20,10,4,1\n")
+    with pytest.raises(Exception, match="header differs from the declared columns"):
+        ingest(spark, work)
