@@ -150,6 +150,20 @@ def raw_marts() -> str:
     return f"with {', '.join(tables)} {long_marts(top)}"
 
 
+def uploaded_marts() -> str:
+    """All marts of the messy folder; users count by their ratings."""
+    tables = [
+        f"ratings as ({ORACLE['S2_ingested_ratings']})",
+        f"movies as ({ORACLE['C3_ingested_movies']})",
+        f"genres as ({SQL['genres']})",
+        "users as (select * replace (nullif(age_group, '?') as age_group) "
+        f"from ({ORACLE['C3_ingested_users']}))",
+    ]
+    top = TOP_MOVIES.replace("count(*) >= 50", "count(*) >= 3")
+    marts = long_marts(top).replace(SUMMARY, SUMMARY.replace("from users)", "from ratings)"))
+    return f"with {', '.join(tables)} {marts}"
+
+
 def _views() -> dict[str, str]:
     def dec(name: str, precision: int, scale: int) -> str:
         return f"cast({name} as decimal({precision},{scale})) as {name}"
@@ -450,8 +464,6 @@ select cast(c_custkey as bigint) as user_id,
        case when c_custkey % 3 = 0 then 'F' else 'M' end as gender,
        coalesce({MESSY_AGE}, -1) as age, coalesce({age_case(MESSY_AGE)}, '?') as age_group,
        c_mktsegment as occupation from customer""",
-    "K2_uploaded_marts": f"""with ratings as (select distinct * from ({MESSY_RATINGS}))
-{SCORES}""",
     "K3_export_delimited": top_movies(50),
     "K5_insert_canonical": with_tables(*ALL, sql="""
 select 'movies' as tbl, count(*) as cnt, cast(sum(movie_id) as bigint) as ids,
@@ -508,3 +520,4 @@ select strftime(ts, '%Y-%m-%d') as day, count(*) as count
 from events group by 1""",
 }
 ORACLE["E4_marts_from_raw_files"] = raw_marts()
+ORACLE["K2_uploaded_marts"] = uploaded_marts()
