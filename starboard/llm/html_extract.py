@@ -2,10 +2,11 @@
 
 Pages of a host are put in the order of their URL paths, and each is paired with the neighbour
 whose path shares the longest prefix. The two pages' lines are aligned by their longest common
-subsequence: shared lines are the site's template and are deleted. What the site marks as
-article is looked at again afterwards: a shared line inside it is the page's own content (two
-pages may carry the same article) and comes back, a line that is not shared but stands in a
-menu, header, footer, sidebar, notice, advert, form or comment goes.
+subsequence: shared lines are the site's template and are deleted, the others are kept, on pages
+with and without a marked article. Marks overrule that for single lines only: a shared line inside
+a marked article is the page's own content (two pages may carry the same article) and comes back, a
+line that is not shared but stands in a menu, header, footer, sidebar, notice, advert, form or
+comment goes. A page with a marked article and no neighbour to compare gives its article.
 """
 
 from __future__ import annotations
@@ -212,11 +213,17 @@ def _subsequence(a: list[str], b: list[str]) -> list[int]:
 
 
 def main_text(lines: list[str], kinds: list[int], neighbour: list[str] | None) -> str:
-    """The page's own lines: shared ones deleted, then what its marks say about the rest."""
-    shared = shared_lines(lines, neighbour) if neighbour is not None else set()
-    marked = ARTICLE in kinds
-    keep = [i for i in range(len(lines)) if kinds[i] == ARTICLE
-            or not marked and kinds[i] == BODY and i not in shared]
+    """The page's own lines: those not shared, but for single lines that a mark overrules.
+
+    A shared line inside a marked article is restored, as two pages may carry one article; an
+    unshared line of a menu, advert or the like is vetoed, as these change from page to page.
+    Without a neighbour nothing is compared, so a marked article is then all that is known.
+    """
+    if neighbour is None:
+        own = set() if ARTICLE in kinds else set(range(len(lines)))
+    else:
+        own = set(range(len(lines))) - shared_lines(lines, neighbour)
+    keep = [i for i in range(len(lines)) if kinds[i] == ARTICLE or kinds[i] == BODY and i in own]
     return "\n\n".join(lines[i] for i in keep)
 
 

@@ -375,6 +375,17 @@ def test_pages(spark):
             (i, t, len(t)) for i, _, _, t in PAGES)
 
 
+def test_differencing_decides_outside_a_marked_article(spark):
+    page = ("<p>Site<p>Lead {0}<article><h1>Title {0}</h1><p>Same</article><p>End {0}"
+            "<div class=ad>Advert {0}</div><div>Bottom</div>")
+    frame = spark.createDataFrame([(i, f"http://h/a/{i}", page.format(i)) for i in (1, 2)]
+                                  + [(3, "http://alone/3", page.format(3))],
+                                  "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_extract.extract_pages(frame).collect()}
+    assert found == {**{i: f"Lead {i}\n\nTitle {i}\n\nSame\n\nEnd {i}" for i in (1, 2)},
+                     3: "Title 3\n\nSame"}
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     assert html_extract.shared_lines(list("abcde"), list("axcye")) == {0, 2, 4}
     assert html_extract.shared_lines(list("abab"), list("baba")) in ({1, 2, 3}, {0, 1, 2})
