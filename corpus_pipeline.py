@@ -41,7 +41,7 @@ def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn so that sources, languages and topics have their target shares."""
-    return _without(docs, mixing.mix(docs))
+    return _without(docs, mixing.mix(docs, mixing.EVERY_LANGUAGE))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ exceeds 1, is the probability with which each of its documents is kept.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,12 +20,17 @@ MOST_CELLS = 1_000_000
 class Targets:
     """Target shares per margin; values not named share ``REST`` if it is given, and go else.
 
-    The named values bound the number of cells, and so what the driver holds.
+    A share of None (``AS_IS``) is the one the value has in the documents; the others of its
+    margin share what it leaves. The named values bound the number of cells, and so what the
+    driver holds.
     """
 
-    source: dict[str, float] = field(default_factory=lambda: {REST: 1.0})
-    lang: dict[str, float] = field(default_factory=lambda: {REST: 1.0})
-    topic: dict[str, float] = field(default_factory=lambda: {REST: 1.0})
+    source: dict[str, float | None] = field(default_factory=lambda: {REST: 1.0})
+    lang: dict[str, float | None] = field(default_factory=lambda: {REST: 1.0})
+    topic: dict[str, float | None] = field(default_factory=lambda: {REST: 1.0})
+
+
+AS_IS = None
 
 
 # The production mix: the dominant source is held back, languages other than English gain.
@@ -34,6 +39,9 @@ PRODUCTION = Targets(
     lang={"en": 0.55, "fr": 0.17, "de": 0.17, "es": 0.11},
     topic={"prose": 0.90, REST: 0.10},
 )
+# The same for tables that may hold other languages or none given: these keep their share. A share
+# of their own would make the few documents of a rare language the measure of all others.
+EVERY_LANGUAGE = replace(PRODUCTION, lang={**PRODUCTION.lang, REST: AS_IS})
 
 
 def n_tokens(text: Column) -> Column:
@@ -52,7 +60,7 @@ def topic_of(text: Column) -> Column:
             .when(F.length(body) < 200, "notes").otherwise("prose"))
 
 
-def folded(value: Column, shares: dict[str, float]) -> Column:
+def folded(value: Column, shares: dict[str, float | None]) -> Column:
     named = [name for name in shares if name != REST]
     return F.when(value.isin(named), value).otherwise(REST) if named else F.lit(REST)
 
@@ -65,10 +73,19 @@ def rake(cells: dict[tuple[str, str, str], float], targets: Targets, rounds: int
     """
     margins = []
     for at, shares in enumerate((targets.source, targets.lang, targets.topic)):
-        there = {cell[at] for cell, tokens in cells.items() if tokens > 0}
-        total = sum(share for name, share in shares.items() if name in there)
-        margins.append({name: share / total for name, share in shares.items()
-                        if name in there and share > 0} if total > 0 else {})
+        there: dict[str, float] = {}
+        for cell, tokens in cells.items():
+            if tokens > 0:
+                there[cell[at]] = there.get(cell[at], 0.0) + tokens
+        as_is = {name for name, share in shares.items() if share is AS_IS and name in there}
+        set_to = {name: share for name, share in shares.items()
+                  if share is not AS_IS and share > 0 and name in there}
+        # Shares are of the tokens of the values that have a target.
+        whole = sum(there[name] for name in (*as_is, *set_to))
+        margin = {name: there[name] / whole for name in as_is}
+        left = 1.0 - sum(margin.values()) if set_to else 0.0
+        total = sum(set_to.values())
+        margins.append(margin | {name: share / total * left for name, share in set_to.items()})
     weights = {cell: float(tokens) if tokens > 0 and all(
         cell[i] in margins[i] for i in range(3)) else 0.0 for cell, tokens in cells.items()}
     whole = sum(weights.values())

@@ -59,7 +59,7 @@ def op6_fingerprints(spark, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents"), mixing.EVERY_LANGUAGE)
 
 
 def _listed(spans: Column) -> Column:
