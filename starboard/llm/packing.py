@@ -2,10 +2,10 @@
 
 Pieces of one length are interchangeable, so the search works on how many pieces of each length
 there are and not on pieces: around the largest length left, fillings of the rest of a sequence
-are enumerated, dominated ones are dropped, and a branch and bound over them, with best fit as
-the incumbent, stops where the waste so far exceeds what the incumbent wastes. A filling is used
-for as many sequences as the counts allow. The plan is then a small table by which every piece
-finds its place.
+are enumerated, dominated ones are dropped, and a branch and bound over them, with best-fit
+decreasing as the incumbent, stops where the waste so far exceeds what the incumbent wastes or
+after ``NODES`` steps. A choice is a filling and for how many sequences it is used. The plan is
+then a small table by which every piece finds its place.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import bisect
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ CAPACITY = 1024
 END_OF_TEXT = 2
 # Parts that pieces of one length are dealt to for numbering, so that no length is one task.
 PARTS = 64
-# Fillings looked at around one largest piece, and nodes of the branch and bound.
+# Fillings tried first around one largest piece, and steps of the branch and bound.
 FILLINGS, NODES = 24, 4000
 # Fixed value: how a byte-level vocabulary of this kind splits a text.
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -101,11 +102,10 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame
 
 
 def fillings(counts: list[int], room: int, limit: int = FILLINGS) -> list[tuple[int, ...]]:
-    """Undominated ways to fill ``room`` with available lengths, the fullest first.
+    """Up to ``limit`` promising ways to fill ``room`` with available lengths, the fullest first.
 
-    A filling is dominated if another one fills at least as much with fewer, larger pieces in
-    place of some of its own; so larger pieces are tried first, one piece that fills the room
-    ends the search, and what can still be put in is put in.
+    Larger pieces are tried first, one piece that fills the room ends the search, and what can
+    still be put in is put in. ``undominated`` gives the ways that this passes over.
     """
     found: list[tuple[int, tuple[int, ...]]] = []
     used: dict[int, int] = {}
@@ -117,8 +117,22 @@ def fillings(counts: list[int], room: int, limit: int = FILLINGS) -> list[tuple[
             at -= 1
         return there[at] if at >= 0 else 0
 
+    def greedy(room: int, most: int, chosen: tuple[int, ...]) -> bool:
+        """Put in the largest that fits, again and again."""
+        taken = []
+        while length := largest(room, most):
+            used[length] = used.get(length, 0) + 1
+            taken.append(length)
+            room, most = room - length, length
+        for length in taken:
+            used[length] -= 1
+        found.append((room, (*chosen, *taken)))
+        return room == 0
+
     def fill(room: int, most: int, chosen: tuple[int, ...], tries: int) -> bool:
         """True if the room was filled without waste."""
+        if tries == 1:
+            return greedy(room, most, chosen)
         length = largest(room, most)
         if not length:
             found.append((room, chosen))
@@ -127,7 +141,7 @@ def fillings(counts: list[int], room: int, limit: int = FILLINGS) -> list[tuple[
             if not length or len(found) >= limit:
                 break
             used[length] = used.get(length, 0) + 1
-            full = fill(room - length, length, (*chosen, length), max(1, tries // 2))
+            full = fill(room - length, length, (*chosen, length), tries // 2)
             used[length] -= 1
             if full:
                 return True
@@ -142,89 +156,149 @@ def fillings(counts: list[int], room: int, limit: int = FILLINGS) -> list[tuple[
                 found.append((0, (a, b)))
                 break
     found.sort(key=lambda f: (f[0], [-x for x in f[1]]))
-    kept: list[tuple[int, ...]] = []
-    for waste, chosen in found:
-        if chosen not in kept and not (kept and waste > 0 and sum(kept[0]) == room
-                                       and kept[0][:1] >= chosen[:1]):
-            kept.append(chosen)
-    return kept
+    return list(dict.fromkeys(chosen for _, chosen in found))
+
+
+def undominated(counts: list[int], room: int) -> Iterator[tuple[int, ...] | None]:
+    """All undominated ways to fill ``room``, large pieces first; None for each dominated one.
+
+    A filling is dominated if some of its pieces, or none, can be replaced by one larger piece
+    left out: one that fills as much as several of them, or more and still fits.
+    """
+    there = [length for length in range(room, 0, -1) if counts[length] > 0]
+
+    def dominated(way: tuple[int, ...], waste: int) -> bool:
+        # Bit n of these: pieces of the filling, any number or at least two, can sum to n.
+        any_number, one, several = 1, 0, 0
+        for length in way:
+            several |= (several | one) << length
+            one |= 1 << length
+            any_number |= any_number << length
+        reach = several
+        for more in range(1, waste + 1):
+            reach |= any_number << more
+        used = Counter(way)
+        return any(reach >> length & 1 for length in there if counts[length] > used[length])
+
+    def fill(at: int, room: int, chosen: tuple[int, ...]) -> Iterator[tuple[int, ...] | None]:
+        while at < len(there):
+            for n in range(min(counts[there[at]], room // there[at]), 0, -1):
+                yield from fill(at + 1, room - n * there[at], chosen + (there[at],) * n)
+            at += 1
+        yield None if dominated(chosen, room) else chosen
+
+    return fill(0, room, ())
+
+
+def best_fit(counts: dict[int, int], capacity: int = CAPACITY) \
+        -> list[tuple[tuple[int, ...], int]]:
+    """Best-fit decreasing on counts: fillings of sequences and how often each is used.
+
+    The longest piece left goes where it leaves least room. That sequence then has the least
+    room of those it fits, so it takes pieces of the length until none fits any more.
+    """
+    # Room left: (filling, sequences) of those with that room.
+    open_: list[list[tuple[tuple[int, ...], int]]] = [[] for _ in range(capacity + 1)]
+    for length in sorted((x for x, n in counts.items() if n > 0), reverse=True):
+        left, room = counts[length], length
+        while left:
+            while room < capacity and not open_[room]:
+                room += 1
+            # A new sequence has all the room; empty ones are not listed.
+            way, times = open_[room].pop() if open_[room] else ((), left)
+            each = room // length
+            full = min(times, left // each)
+            if full:
+                open_[room - each * length].append((way + (length,) * each, full))
+            left, rest = left - each * full, times - full
+            if rest and left < each:
+                if left:
+                    open_[room - left * length].append((way + (length,) * left, 1))
+                    left, rest = 0, rest - 1
+                if rest and way:
+                    open_[room].append((way, rest))
+    return [filling for fillings_ in open_ for filling in fillings_]
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) \
         -> list[tuple[tuple[int, ...], int]]:
     """Fillings of sequences and how often each is used; every piece counted is in one.
 
-    ``counts``: pieces per length. The first descent takes the fullest filling every time (best
-    fit) and is the incumbent; if it uses more sequences than the sum of lengths requires, other
-    fillings are tried from the last choice backwards, as long as the waste so far leaves room
-    for a better plan, up to ``nodes`` steps.
+    ``counts``: pieces per length. Best-fit decreasing is the incumbent, so the plan never has
+    more sequences than it. If it has more than the sum of lengths requires, fillings around the
+    largest length left are branched on, from the last choice backwards, as long as the waste so
+    far leaves room for a better plan: first promising ones, as often as the counts allow, then
+    all undominated ones, also once. The search ends after ``nodes`` steps, its only cap; a
+    dominated filling looked at is a step too.
     """
     left = [0] * (capacity + 1)
     for length, n in counts.items():
         left[length] = n
     total = sum(length * n for length, n in enumerate(left))
     least = -(-total // capacity)
-    best: list[tuple[tuple[int, ...], int]] | None = None
-    best_bins = 0
-    # One frame per choice: (fillings still to try, what the last one took).
-    stack: list[list] = []
-    bins = waste = steps = 0
+    best = best_fit(counts, capacity)
+    best_bins = sum(times for _, times in best)
+    if best_bins == least:
+        return best
+
+    def most(way: tuple[int, ...]) -> int:
+        return min(left[length] // k for length, k in Counter(way).items())
 
-    def top() -> int:
+    def options() -> Iterator[tuple[tuple[int, ...], int] | None]:
+        """Choices around the largest length left: a filling and how often, None if dominated."""
         length = capacity
-        while length and not left[length]:
+        while not left[length]:
             length -= 1
-        return length
-
-    def options(length: int) -> list[tuple[int, ...]]:
-        left[length] -= 1
-        ways = fillings(left, capacity - length) or [()]
-        left[length] += 1
-        return [(length, *way) for way in ways]
-
-    def take(way: tuple[int, ...]) -> int:
-        need: dict[int, int] = {}
-        for length in way:
-            need[length] = need.get(length, 0) + 1
-        times = min(left[length] // k for length, k in need.items())
-        for length, k in need.items():
-            left[length] -= k * times
-        return times
+        others = left.copy()
+        others[length] -= 1
+        room = capacity - length
+        promising = fillings(others, room)
+        for way in promising:
+            yield (length, *way), most((length, *way))
+        for way in undominated(others, room):
+            if way is None:
+                yield None
+                continue
+            times = most((length, *way))
+            if way not in promising:
+                yield (length, *way), times
+            if times > 1:
+                yield (length, *way), 1
 
-    def give_back(way: tuple[int, ...], times: int) -> None:
+    def take(way: tuple[int, ...], times: int) -> None:
         for length in way:
-            left[length] += times
+            left[length] -= times
 
-    while True:
-        length = top()
-        if not length:
-            if best is None or bins < best_bins:
-                best, best_bins = [(way, times) for _, way, times in stack], bins
+    # One frame per choice: (choices still to try, the filling chosen, how often).
+    stack: list[tuple[Iterator, tuple[int, ...], int]] = []
+    bins = waste = steps = 0
+    ways = options()
+    while steps < nodes:
+        steps += 1
+        choice = next(ways, ())
+        if choice is None:
+            continue
+        if choice:
+            way, times = choice
+            loss = (capacity - sum(way)) * times
+            # Sequences needed at least, if all that is wasted so far stays wasted.
+            if -(-(total + waste + loss) // capacity) >= best_bins:
+                continue
+            take(way, times)
+            stack.append((ways, way, times))
+            bins, waste = bins + times, waste + loss
+            if any(left):
+                ways = options()
+                continue
+            best, best_bins = [(way, times) for _, way, times in stack], bins
             if best_bins == least:
                 return best
-            ways = []
-        else:
-            ways = options(length)
-            if best is not None and steps > nodes:
-                return best
-        while True:
-            if ways:
-                way, rest = ways[0], ways[1:]
-                times = take(way)
-                loss = (capacity - sum(way)) * times
-                # Sequences needed at least, if all that is wasted so far stays wasted.
-                if best is None or -(-(total + waste + loss) // capacity) < best_bins:
-                    stack.append([rest, way, times])
-                    bins, waste, steps = bins + times, waste + loss, steps + 1
-                    break
-                give_back(way, times)
-                ways, steps = rest, steps + 1
-                continue
-            if not stack or steps > nodes and best is not None:
-                return best or []
-            ways, way, times = stack.pop()
-            give_back(way, times)
-            bins, waste = bins - times, waste - (capacity - sum(way)) * times
+        if not stack:
+            return best
+        ways, way, times = stack.pop()
+        take(way, -times)
+        bins, waste = bins - times, waste - (capacity - sum(way)) * times
+    return best
 
 
 def places(fills: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int, int]]:

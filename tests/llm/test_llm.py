@@ -117,6 +117,49 @@ def test_plan_packs_all_pieces(counts, least):
     assert sum(times for _, times in fills) == least
 
 
+@pytest.mark.parametrize("counts, best_fit", [
+    ({317: 5, 421: 5, 105: 6, 436: 3, 385: 4, 363: 4, 540: 1, 395: 6, 271: 2}, 13),
+    ({659: 1, 196: 4, 560: 1, 419: 6, 368: 6, 353: 2, 610: 5, 528: 2, 366: 2, 447: 6, 145: 4}, 16),
+    ({600: 3, 1: 5000, 2: 3}, 7),  # many pieces of one length in one filling
+])
+def test_plan_is_never_above_best_fit(counts, best_fit):
+    assert sum(times for _, times in packing.best_fit(counts)) == best_fit
+    for nodes in (0, packing.NODES):
+        fills = packing.plan(counts, nodes=nodes)
+        used = Counter()
+        for way, times in fills:
+            used.update({length: n * times for length, n in Counter(way).items()})
+        assert used == counts and all(sum(way) <= 1024 for way, _ in fills)
+        assert sum(times for _, times in fills) <= best_fit
+
+
+def test_plan_branches_beyond_best_fit():
+    counts = Counter([63, 238, 398, 463, 187, 205, 337, 274, 279, 308, 392, 162, 328, 69, 382])
+    assert sum(times for _, times in packing.best_fit(counts)) == 5
+    assert sum(times for _, times in packing.plan(counts)) == 4
+
+
+def test_all_undominated_fillings_are_enumerated():
+    def fits(small, large):
+        """The pieces ``small`` can be put into the pieces ``large``."""
+        if not small:
+            return True
+        return any(n >= small[0] and fits(small[1:], (*large[:i], n - small[0], *large[i + 1:]))
+                   for i, n in enumerate(large))
+
+    for room, pieces in ((20, [13, 9, 7, 7, 6, 5, 4, 3, 2, 2]), (12, [6, 6, 4, 4, 4, 3, 1, 1, 1])):
+        ways = {tuple(p for i, p in enumerate(pieces) if chosen >> i & 1)
+                for chosen in range(1 << len(pieces))}
+        ways = {way for way in ways if sum(way) <= room}
+        counts = [0] * (room + 1)
+        for p in pieces:
+            counts[p] += 1
+        found = [way for way in packing.undominated(counts, room) if way is not None]
+        assert len(found) == len(set(found))
+        assert set(found) == {way for way in ways
+                              if not any(other != way and fits(way, other) for other in ways)}
+
+
 def _components(rows):
     sets = {}
     lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
