@@ -41,39 +41,39 @@ TWO_SPACES = re.compile(r"\s\s")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _ranks(vocabulary: str) -> dict[bytes, int]:
+def _ranks(vocabulary: str) -> tuple[dict[bytes, int], dict[str, int]]:
     """Ids of a byte-level vocabulary file, whose ids are also the order of its merges, by the
-    bytes they stand for; without the special tokens."""
+    bytes they stand for, and the ids of its added tokens, which stand for themselves."""
     with open(vocabulary, encoding="utf-8") as file:
         content = json.load(file)
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in set(plain)]
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-    special = {t["content"] for t in content.get("added_tokens", ())}
+    special = {t["content"]: t["id"] for t in content.get("added_tokens", ())}
     return {bytes(byte_of[c] for c in token): i
-            for token, i in content["model"]["vocab"].items() if token not in special}
+            for token, i in content["model"]["vocab"].items() if token not in special}, special
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, by a vocabulary file.
 
-    The ids are those that the tokenizers library gives for the file, with the strings of
-    special tokens as ordinary text.
+    The ids are those that the tokenizers library gives for the file; the string of an added
+    token, such as ``<|endoftext|>``, is that one token.
     """
 
     def __init__(self, vocabulary: str):
         import tiktoken
 
-        ranks = _ranks(vocabulary)
-        # A special token that no text can hold: without any, every position is looked at.
-        special = {"\0" * 64: max(ranks.values()) + 1}
+        ranks, special = _ranks(vocabulary)
+        # Without any special token every position is looked at; then one that no text can hold.
+        special = special or {"\0" * 64: max(ranks.values()) + 1}
         self.full, self.single = (tiktoken.Encoding(
             "vocabulary", pat_str=split, mergeable_ranks=ranks, special_tokens=special)
             for split in (SPLIT, SINGLE_SPACES))
 
     def encode(self, text: str) -> bytes:
         chosen = self.full if TWO_SPACES.search(text) else self.single
-        return chosen.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        return chosen.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
 
 
 def cut(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:

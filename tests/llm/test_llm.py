@@ -100,6 +100,22 @@ def test_packing(docs):
         assert at <= 1024
 
 
+def test_added_tokens_have_the_ids_of_the_vocabulary_file(spark):
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(queries.vocabulary())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>\n\n<|endoftext|>y  ",
+             "<|endoftext|<|endoftext|>|>", " <|ENDOFTEXT|> <|endoftext", "end <|endoftext|>",
+             "a b<|endoftext|> c"]
+    encoder = packing.Encoder(queries.vocabulary())
+    for text in texts:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert packing.np.frombuffer(encoder.encode(text), "<u4").tolist() == ids, text
+    docs = spark.createDataFrame([(1, texts[0])], "doc_id long, text string")
+    data = b"".join(i.to_bytes(4, "little") for i in (64, 220, 50256, 275, 2))
+    assert [(r.length, r.ids_crc32) for r in packing.pack(docs, queries.vocabulary()).collect()] \
+        == [(5, zlib.crc32(data))]
+
+
 @pytest.mark.parametrize("counts, least", [
     ({1024: 3}, 3), ({512: 4}, 2), ({600: 2, 424: 2}, 2), ({700: 1, 324: 1, 1: 5}, 2),
     ({500: 2, 300: 2, 224: 2, 24: 1}, 3), ({}, 0),
