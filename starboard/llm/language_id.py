@@ -19,10 +19,13 @@ from starboard.llm.common import table
 
 UNKNOWN = "und"
 # Bounds of the labelled sample: documents per language, characters of each and, in all, letters
-# of distinct words per language. The languages told apart are those of the labelled rows.
+# of distinct words per language. The languages told apart are those of the labelled rows. A
+# language with less than THIN of the letters of the richest does not bound the others, and none
+# bounds them below FEW_LETTERS.
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 4000
 SAMPLE_LETTERS = 24_000
+THIN, FEW_LETTERS = 0.5, 2000
 # Parsed words that a Python worker remembers before it starts anew.
 REMEMBERED = 300_000
 # Characters of text parsed together.
@@ -154,18 +157,29 @@ def fit(docs: DataFrame) -> dict[str, list[str]]:
             letters += len(word)
             chosen_words.append(word)
         fitted[lang] = chosen_words
-    # Each language gets as much text as the one with the least that is not tiny.
-    least = max(min((sum(map(len, w)) for w in fitted.values()), default=0), 2000)
-    evened = {}
+    return {lang: words for lang, words in evened(fitted).items() if words}
+
+
+def evened(fitted: dict[str, list[str]]) -> dict[str, list[str]]:
+    """Words of each language up to the letters of the one with the least that is not thin.
+
+    More text knows longer phrases, so languages are compared on the same amount. One with less
+    than ``THIN`` of the letters of the richest is not waited for: it keeps what it has, which
+    knows shorter phrases, and takes nothing from the others.
+    """
+    letters = {lang: sum(map(len, words)) for lang, words in fitted.items()}
+    least = max(min((n for n in letters.values() if n >= THIN * max(letters.values())), default=0),
+                FEW_LETTERS)
+    result = {}
     for lang, words in sorted(fitted.items()):
-        letters, kept_words = 0, []
+        taken, kept_words = 0, []
         for word in words:
-            if letters >= least:
+            if taken >= least:
                 break
             kept_words.append(word)
-            letters += len(word)
-        evened[lang] = kept_words
-    return {lang: words for lang, words in evened.items() if words}
+            taken += len(word)
+        result[lang] = kept_words
+    return result
 
 
 def _automata(sample: dict[str, list[str]]) -> tuple[list[str], list[Automaton]]:

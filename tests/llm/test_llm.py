@@ -427,6 +427,22 @@ def test_languages_of_the_held_out(spark):
     assert sum(r.lang_pred == langs[r.doc_id] for r in held) >= 0.93 * len(held)
 
 
+@tables
+def test_a_rare_language_leaves_the_others_their_model(spark):
+    """One long document of a language of its own, in fact English, is the worst case."""
+    docs = common.table(spark, SF, "documents").select("doc_id", "text", "lang")
+    rows = docs.collect()
+    text = max((r.text for r in rows if r.lang == "en"), key=len)
+    new = next(i for i in range(10**9, 10**9 + 50) if zlib.crc32(str(i).encode()) % 5)
+    skewed = docs.union(spark.createDataFrame([(new, text, "rare")], docs.schema))
+    plain, sample = language_id.fit(docs), language_id.fit(skewed)
+    assert sample.pop("rare") and sample == plain
+    held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    found = language_id.identify(docs.where(language_id.held_out()), language_id.fit(skewed))
+    langs = {r.doc_id: r.lang_pred for r in found.collect()}
+    assert sum(langs[r.doc_id] == r.lang for r in held) >= 0.93 * len(held)
+
+
 def test_language_of_awkward_rows(docs):
     rows = language_id.identify(docs, language_id.fit(docs)).collect()
     assert len(rows) == len(ROWS)
