@@ -3,6 +3,7 @@
 import hashlib
 import os
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -506,3 +507,82 @@ def test_pipeline_stages_on_awkward_rows(spark, docs, empty):
     for name, function in corpus_pipeline.STAGES:
         assert function(spark, empty, SF).count() == 0, name
         assert function(spark, docs, SF).count() > 0, name
+
+
+def _plain_stages(rows, uniform):
+    """Rows (key, text, lang, source) that each stage keeps, by plain Python; ``uniform`` gives
+    the number a key is drawn by."""
+    def bare(text):
+        return re.sub(r"[\x20\x09-\x0D]", "", text)
+
+    rows = [(k, t or "", lang, src) for k, t, lang, src in rows if re.search(r"[^\W\d_]", t or "")]
+    yield "language_id", {k for k, *_ in rows}
+    first = {}
+    for row in sorted(rows, key=lambda r: (-len(r[1]), r[0])):
+        first.setdefault(bare(row[1]), row)
+    rows = list(first.values())
+    yield "exact_dedup", {k for k, *_ in rows}
+    stays = {k for k, (_, _, kept) in _components([r[:2] for r in rows]).items() if kept}
+    rows = [r for r in rows if r[0] in stays]
+    yield "near_dedup", stays
+
+    def topic(text):
+        body = text.lower()
+        if re.search("licen[sc]e|copyright|all rights reserved", body):
+            return "notices"
+        symbols = sum(not (c.isalpha() or unicodedata.category(c)[0] in "LN" or c in " \t\n\r\f\v.,")
+                      for c in body)
+        if symbols * 10 > len(body):
+            return "markup"
+        if re.search(r"[\w.+-]+@[\w-]+\.\w+|\d{3}[ -]\d{4}", body, re.A):
+            return "contacts"
+        return "notes" if len(body) < 200 else "prose"
+
+    targets, cells, cell_of = mixing.EVERY_LANGUAGE, Counter(), {}
+    for k, text, lang, src in rows:
+        cell = tuple(v if v in shares else "*" for v, shares in (
+            (src, targets.source), (lang, targets.lang), (topic(text), targets.topic)))
+        cells[cell] += max(len(re.split(r"[ \t\n\r\f\v]+", text.strip(" "))), 1)
+        cell_of[k] = cell
+    shares = mixing.keep_shares(cells, mixing.rake(cells, targets))
+    yield "mixing", {k for k, cell in cell_of.items() if uniform[k] < shares[cell]}
+
+
+def _against_plain(spark, folder):
+    docs = corpus_pipeline.with_rows(common.table(spark, folder, "documents"))
+    seen = docs.select("*", ((F.xxhash64(corpus_pipeline.ROW, F.lit(7)).bitwiseAND((1 << 52) - 1))
+                             / float(1 << 52)).alias("u")).collect()
+    keys = [r[corpus_pipeline.ROW] for r in seen]
+    assert len(set(keys)) == len(keys) and None not in keys
+    plain = _plain_stages([(k, r.text, r.lang, r.source) for k, r in zip(keys, seen, strict=True)],
+                          {k: r.u for k, r in zip(keys, seen, strict=True)})
+    for (name, expected), (stage, function) in zip(plain, corpus_pipeline.STAGES[:-1], strict=True):
+        docs = corpus_pipeline.stage(function(spark, docs, folder), "test")
+        assert name == stage
+        assert sorted(r[0] for r in docs.select(corpus_pipeline.ROW).collect()) == \
+            sorted(expected), name
+    left = Counter(r.doc_id for r in docs.collect())
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
+    assert Counter(r.doc_id for r in packed if r.piece == 0) == left
+    return len(seen), sum(left.values())
+
+
+@tables
+def test_pipeline_stages_like_plain_versions(spark):
+    _against_plain(spark, SF)
+
+
+def test_pipeline_judges_rows_without_or_with_repeated_ids(spark, tmp_path):
+    texts = [BASE, BASE, BASE.replace("word30", "other"), "Other words stand here", "x 1", "12 34",
+             "Other words  stand here", None]
+    rows = [(i, t, "en", "src0") for i in (None, 5, 9) for t in texts]
+    rows += [(20 + i, f"Text {i} of its own", "en", None) for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write \
+        .parquet(str(tmp_path / "documents.parquet"))
+    _against_plain(spark, str(tmp_path))
+    docs = corpus_pipeline.with_rows(common.table(spark, str(tmp_path), "documents"))
+    for name, function in corpus_pipeline.STAGES[:3]:
+        docs = corpus_pipeline.stage(function(spark, docs, ""), "test")
+    # One of the base texts, of the other words and of "x 1", and the six others.
+    assert docs.count() == 9
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() <= 9
