@@ -275,6 +275,30 @@ DAMAGE = """
   union all select 'ok' from events"""
 
 
+# Usable ratings of the headerless folder, before duplicates go.
+HEADERLESS_RATINGS = f"""
+  select cast(l_orderkey as bigint) as user_id, cast(l_partkey as bigint) as movie_id,
+         {HALF_STAR} as rating, {SHIPPED} as ts from lineitem where l_linenumber not in (4, 6)
+  union all
+  select cast(user_id as bigint), cast(event_id as bigint),
+         (cast(trunc(value) as integer) % 10 + 1) / 2.0::double,
+         cast(floor(epoch(ts)) as bigint) from events"""
+
+
+def headerless_marts() -> str:
+    """All marts of the headerless folder; users count by their ratings."""
+    tables = [
+        f"ratings as ({ORACLE['V5_headerless_ratings']})",
+        f"movies as ({ORACLE['V5_headerless_movies']})",
+        f"genres as ({SQL['genres']})",
+        "users as (select * replace (nullif(age_group, '?') as age_group) "
+        f"from ({ORACLE['V5_headerless_users']}))",
+    ]
+    top = TOP_MOVIES.replace("count(*) >= 50", "count(*) >= 3")
+    marts = long_marts(top).replace(SUMMARY, SUMMARY.replace("from users)", "from ratings)"))
+    return f"with {', '.join(tables)} {marts}"
+
+
 def _dialects() -> str:
     rows = [
         ("user_id,movie_id,rating,timestamp", ",", "ratings", "lineitem where l_linenumber <> 2"),
@@ -432,6 +456,27 @@ select cast(c_custkey as bigint) as user_id,
        cast(c_custkey % 70 as integer) as age, {age_case("(c_custkey % 70)")} as age_group,
        cast(c_custkey % 25 as integer) as occupation_id, {CUSTOMER_JOB} as occupation,
        '48067' as zipcode from customer""",
+    "V5_headerless_admission": """
+select true as accepted, 'ratings' as role, 'none' as reason,
+       'user_id:0 movie_id:1 rating:2 time:3' as places, count(*) as n_lines from lineitem
+union all select true, 'ratings', 'none', 'time:0 rating:1 user_id:2 movie_id:3', count(*)
+  from events
+union all select true, 'users', 'none', 'user_id:0 gender:1 age:2 occupation:3 zipcode:4', count(*)
+  from customer
+union all select true, 'movies', 'none', 'movie_id:0 title:1 genres:2', count(*)
+  from (select p_partkey from part union all select n_nationkey from nation)
+union all select false, 'none', 'ambiguous_columns', '', count(*) from supplier
+union all select false, 'none', 'no_known_column', '', count(*) from region""",
+    "V5_headerless_ratings": f"select distinct * from ({HEADERLESS_RATINGS})",
+    "V5_headerless_movies": with_tables("movies", sql="""
+select distinct cast(movie_id as bigint) as movie_id, title || ', the ' || title_full as title,
+       title || ', the ' || title_full as title_full, trim(genres_raw) as genres_raw from movies"""),
+    "V5_headerless_users": f"""
+select cast(c_custkey as bigint) as user_id,
+       case when c_custkey % 3 = 0 then 'F' else 'M' end as gender,
+       coalesce({MESSY_AGE}, -1) as age,
+       coalesce({age_case(f"({MESSY_AGE})")}, '?') as age_group,
+       c_mktsegment as occupation, '12345' as zipcode from customer""",
     "S6_sniff_dialect": _dialects(),
     "S9_scan_catalog": with_tables("ratings", "movies", "users", sql="""
 select 'bound_movies' as tbl, count(*) as cnt from movies union all
@@ -521,3 +566,4 @@ from events group by 1""",
 }
 ORACLE["E4_marts_from_raw_files"] = raw_marts()
 ORACLE["K2_uploaded_marts"] = uploaded_marts()
+ORACLE["V5_headerless_marts"] = headerless_marts()

@@ -22,6 +22,7 @@ from starboard.session import scratch_path, size_shuffles, stage
 from starboard.sources import tables
 from starboard.sources.dialects import admission_report, sniff_dialect
 from starboard.sources.lines import list_files, scan_lines
+from starboard.sources.profiles import with_profiles
 from starboard.streaming import ratings as X
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -243,6 +244,45 @@ def ingest_quarantine(spark, sf):
     )
 
 
+@cache
+def headerless_dataset(spark: SparkSession, sf: str) -> Dataset:
+    return load_dataset(spark, R.headerless_folder(spark, sf))
+
+
+def headerless(table: str, *columns: str) -> Query:
+    return lambda spark, sf: getattr(headerless_dataset(spark, sf).frames, table).select(
+        *columns or ["*"])
+
+
+def headerless_users(spark, sf):
+    users = headerless_dataset(spark, sf).frames.users
+    shown = mapping.default_fill(users, {"age": -1, "age_group": "?"})
+    return shown.select("user_id", "gender", "age", "age_group", "occupation", "zipcode")
+
+
+def headerless_admission(spark, sf):
+    """Lines of files by role and by the canonical columns at their positions."""
+    lines = scan_lines(spark, R.headerless_folder(spark, sf))
+    dialects = stage(with_profiles(lines, sniff_dialect(lines)), "profiled")
+    report = admission_report(list_files(spark, R.headerless_folder(spark, sf)), dialects)
+    path = F.regexp_replace("file_path", "^file:/+", "file:/")
+    names = dialects.schema["at"].dataType.names
+    found = F.array(*[F.struct(F.col("at")[n].alias("at"), F.lit(n).alias("name")) for n in names])
+    told = F.array_sort(F.filter(found, lambda c: c["at"].isNotNull()))
+    shown = dialects.select(path.alias("file_path"), "n_lines", F.array_join(
+        F.transform(told, lambda c: F.concat(c["name"], F.lit(":"), c["at"])), " ").alias("places"))
+    return mapping.default_fill(report, {"role": "none", "reason": "none"}).join(
+        shown, "file_path").groupBy("accepted", "role", "reason", "places").agg(
+        F.sum("n_lines").alias("n_lines"))
+
+
+def headerless_marts(spark, sf):
+    """Folder of headerless files of any order -> all marts."""
+    root = scratch_path(spark, "headerless-marts")
+    analyze_dataset(spark, R.headerless_folder(spark, sf), root, 8, "headerless")
+    return _written(spark, root, 8)
+
+
 def raw_dat(kind: str) -> Query:
     return lambda spark, sf: tables.read_raw_dat(spark, f"{R.raw_dat_folder(spark, sf)}/{kind}", kind)
 
@@ -515,6 +555,11 @@ QUERIES: dict[str, Query] = {
     "V6_V8_line_outcomes": line_outcomes,
     "V8_ingest_quarantine": ingest_quarantine,
     "S2_ingested_ratings": ingested("ratings"),
+    "V5_headerless_admission": headerless_admission,
+    "V5_headerless_ratings": headerless("ratings"),
+    "V5_headerless_movies": headerless("movies"),
+    "V5_headerless_users": headerless_users,
+    "V5_headerless_marts": headerless_marts,
     "C3_ingested_movies": ingested("movies"),
     "C3_ingested_users": ingested_users,
     # marts and serving

@@ -117,6 +117,43 @@ def messy_folder(spark: SparkSession, sf: str) -> str:
     return path
 
 
+def _event_columns() -> dict[str, Column]:
+    return {
+        "user": _text(F.col("user_id")), "movie": _text(F.col("event_id")),
+        "score": _text(half_star(F.col("value"))), "time": _text(epoch_seconds(F.col("ts"))),
+    }
+
+
+@cache
+def headerless_folder(spark: SparkSession, sf: str) -> str:
+    """Files without headers: three delimiters, all roles, customary and other column orders,
+    one file whose columns cannot be told apart and one that holds none of the roles."""
+    path = scratch_path(spark, "headerless")
+
+    def put(name: str, sep: str, *columns: Column) -> None:
+        table(spark, sf, name).select(F.concat_ws(sep, *columns)).write.mode("append").text(path)
+
+    line = F.col("l_linenumber")
+    put("lineitem", ",", _text(F.col("l_orderkey")), _text(F.col("l_partkey")),
+        F.when(line == 4, "five").when(line == 6, "100")
+        .otherwise(_text(half_star(F.col("l_quantity")))),
+        _text(epoch_seconds(F.col("l_shipdate"))))
+    event = _event_columns()
+    put("events", "\t", event["time"], event["score"], event["user"], event["movie"])
+    key = F.col("c_custkey")
+    put("customer", "\t", _text(key), F.when(key % 3 == 0, "F").otherwise("M"),
+        F.when(key % 11 == 5, "").otherwise(_text(key % 70)), F.col("c_mktsegment"), F.lit("12345"))
+    catalogue = movies(spark, sf)
+    quoted = F.concat(F.lit('"'), "title", F.lit(", the "), "title_full", F.lit('"'))
+    catalogue.select(F.concat_ws(",", _text(F.col("movie_id")), quoted, "genres_raw")).write.mode(
+        "append").text(path)
+    supplier = F.col("s_suppkey")
+    score = _text((supplier % 10 + 1) / F.lit(2.0))
+    put("supplier", ",", _text(supplier + 1000), score, _text(F.col("s_nationkey") + 1000), score)
+    put("region", ",", F.lit("x"), F.col("r_name"))
+    return path
+
+
 @cache
 def damaged_folder(spark: SparkSession, sf: str) -> str:
     """Only the damaged comma separated ratings; the first line of each order comes twice."""

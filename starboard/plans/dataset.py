@@ -23,6 +23,7 @@ from starboard.sources.parsing import (
     parse_rows,
     quarantine_of,
 )
+from starboard.sources.profiles import with_profiles
 from starboard.sources.tables import read_raw_dat
 
 
@@ -48,13 +49,16 @@ def load_dataset(
     """Read a folder of rating files of any dialect.
 
     The files are read twice: once for the dialects, once for the rows, which are written
-    as one staged table that every later step reads with its own columns and filters.
+    as one staged table that every later step reads with its own columns and filters. Files
+    without a header are read once more for the profiles of their columns.
     Raises ``DatasetRejected`` if no file is acceptable or no rating is usable.
     """
     files = list_files(spark, path, exts)
     lines = scan_lines(spark, path, exts)
     size_shuffles(lines)
-    dialects = stage(sniff_dialect(lines), "dialects")
+    sniffed = stage(sniff_dialect(lines), "dialects")
+    bare = not sniffed.where("not has_header and sep is not null").isEmpty()
+    dialects = stage(with_profiles(lines, sniffed), "profiled") if bare else sniffed
     admission = admission_report(files, dialects)
     size = measure(dialects)
     if size.files == 0:

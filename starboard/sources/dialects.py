@@ -28,6 +28,28 @@ def split_line(line: Column, delimiter: Column) -> Column:
     return case(*[(delimiter == choice, F.split(line, choice, -1)) for choice in DELIMITERS])
 
 
+def _unquoted(line: Column, sep: Column, width: int) -> Column:
+    """The values of a line with quotes, as a struct of ``width`` texts, short lines padded."""
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    quoted = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true"}
+    return F.when(sep == "\t", F.from_csv(line, schema, {**quoted, "sep": "\t"})).otherwise(
+        F.from_csv(line, schema, {**quoted, "sep": ","})
+    )
+
+
+def cells_of(value: Column, sep: Column, width: int) -> Column:
+    """The fields of a line as an array of texts.
+
+    Delimiters inside double quotes belong to the value. Only lines with a quote need the CSV
+    parser, which gives ``width`` fields; '::' files know no quotes.
+    """
+    line = F.trim(value)
+    quoted = (sep != "::") & F.contains(value, F.lit('"'))
+    row = F.when(quoted, _unquoted(line, sep, width))
+    fields = F.array(*[row[f"c{i}"] for i in range(width)])
+    return F.when(quoted, fields).otherwise(split_line(line, sep))
+
+
 def _literals(names: tuple[str, ...]) -> Column:
     return F.array(*[F.lit(name) for name in names])
 
@@ -117,7 +139,13 @@ def _known_column(names: Column) -> Column:
 
 
 def admission_report(files: DataFrame, dialects: DataFrame) -> DataFrame:
-    """(file_path, accepted, role, reason) for every file, also the empty ones."""
+    """(file_path, accepted, role, reason) for every file, also the empty ones.
+
+    With the dialects of ``sniff_dialect`` alone headerless files have no role; ``with_profiles``
+    tells what they hold.
+    """
+    if "ambiguous" not in dialects.columns:
+        dialects = dialects.withColumn("ambiguous", F.lit(False))
     # A listing and a scan spell the path of a local file differently.
     path = F.regexp_replace("file_path", "^file:/+", "file:/")
     judged = files.withColumn("file_path", path).join(
@@ -126,8 +154,10 @@ def admission_report(files: DataFrame, dialects: DataFrame) -> DataFrame:
     reason = (
         F.when(F.col("head").isNull(), "empty_file")
         .when(F.col("sep").isNull(), "no_delimiter")
+        .when(F.col("ambiguous"), "ambiguous_columns")
+        .when(F.col("role").isNotNull(), None)
         .when(~_known_column(F.col("names")), "no_known_column")
-        .when(F.col("role").isNull(), "no_role")
+        .otherwise("no_role")
     )
     return judged.select(
         "file_path", reason.isNull().alias("accepted"), "role", reason.alias("reason")

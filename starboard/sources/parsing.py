@@ -19,14 +19,15 @@ from starboard.operators.cleaning import (
 )
 from starboard.operators.mapping import ROLES, fallbacks, normalized
 from starboard.schemas import ALIASES, CANONICAL
-from starboard.sources.dialects import split_line
-
-# Dialect rows up to this many bytes are sent to every executor; beyond it the planner joins.
-BROADCAST_BYTES = 64 * 1024 * 1024
+from starboard.sources.dialects import cells_of
+from starboard.sources.sizes import BROADCAST_BYTES
 
 HEADER = "header"
 TOO_FEW_FIELDS = "too_few_fields"
 
+# What parsing needs to know about a file.
+_SENT = ("file_path", "role", "sep", "has_header", "names", "at", "extra_names", "extra_at")
+
 # Canonical text columns cut from a line, under the names of the canonical tables.
 _CELLS = {"time": "ts", "genres": "genres_raw"}
 
@@ -45,21 +46,12 @@ def measure(dialects: DataFrame) -> DialectSize:
         F.count(F.lit(1)).alias("files"),
         F.coalesce(F.max(F.size("fields")), F.lit(0)).alias("width"),
         F.coalesce(
-            F.sum(F.octet_length("file_path") + F.octet_length("head") + 256), F.lit(0)
+            F.sum(F.octet_length(F.to_json(F.struct(*_SENT))) + 64), F.lit(0)
         ).alias("bytes"),
     ).first()
     return DialectSize(row["files"], row["width"], row["bytes"])
 
 
-def _unquote(line: Column, sep: Column, width: int) -> Column:
-    """The values of a line with quotes, as a struct of ``width`` texts, short lines padded."""
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    quoted = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true"}
-    return F.when(sep == "\t", F.from_csv(line, schema, {**quoted, "sep": "\t"})).otherwise(
-        F.from_csv(line, schema, {**quoted, "sep": ","})
-    )
-
-
 def _reason(lo: float, hi: float) -> Column:
     no_movie = F.when(F.col("movie_id").isNull(), "missing_key").otherwise(ROW_OK)
     no_user = F.when(F.col("user_id").isNull(), "missing_key").otherwise(ROW_OK)
@@ -85,28 +77,17 @@ def parse_rows(
     ``reason`` is ``ok`` for usable rows and ``header`` for header lines, the first too.
     """
     size = size or measure(dialects)
-    shapes = dialects.where("role is not null").select(
-        "file_path", "role", "sep", "has_header", "names", "at", "extra_names", "extra_at"
-    )
+    shapes = dialects.where("role is not null").select(*_SENT)
     if size.bytes <= BROADCAST_BYTES:
         shapes = F.broadcast(shapes)
     line, sep = F.trim("value"), F.col("sep")
     text = lines.where(not_blank("value")).select("file_path", "value").join(shapes, "file_path")
     # One step per select: what is cut here is used once per column and not cut again.
     shape = F.when(~F.contains(line, sep), TOO_FEW_FIELDS).otherwise(ROW_OK)
-    # Delimiters inside double quotes belong to the value. Only lines with a quote need the
-    # CSV parser; '::' files know no quotes.
-    quoted = (sep != "::") & F.contains("value", F.lit('"'))
-    width = max(size.width, 2)
-    row = text.select(
+    cells = text.select(
         "file_path", "role", "value", "at", "extra_at", "extra_names", "has_header", "names",
         shape.alias("shape"),
-        F.when(quoted, _unquote(line, sep, width)).alias("row"),
-        F.when(~quoted, split_line(line, sep)).alias("parts"),
-    )
-    unquoted = F.array(*[F.col("row")[f"c{i}"] for i in range(width)])
-    cells = row.withColumn(
-        "cells", F.coalesce("parts", F.when(F.col("row").isNotNull(), unquoted))
+        cells_of(F.col("value"), sep, max(size.width, 2)).alias("cells"),
     )
     # A header is a line whose fields are those of the file's own header, all of them and in
     # its order; a row that has such a word as one of its values is a row. Most lines differ in

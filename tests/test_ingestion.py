@@ -3,8 +3,10 @@
 import pytest
 
 from starboard.plans.dataset import DatasetRejected, load_dataset
+from starboard.sources import sizes
 from starboard.sources.dialects import admission_report, sniff_dialect
 from starboard.sources.lines import list_files, scan_lines
+from starboard.sources.profiles import with_profiles
 from starboard.sources.parsing import line_counts, parse_lines, parse_rows, quarantine_of, usable
 
 RATINGS = "user_id,movie_id,rating\n1,10,4\n2,11,5\n"
@@ -200,3 +202,96 @@ def test_rows_with_header_words_are_rows(spark, folder, rows):
     assert rows(dataset.where("reason = 'ok'"), "movie_id", "title") == [
         (1, "Lights, Camera, Movie"), (2, "Score"), (3, "Heat")]
     assert dataset.where("reason = 'header'").count() == 2
+
+
+def told(spark, path):
+    """File name -> role and the column at each position, or the reason for its rejection."""
+    lines = scan_lines(spark, path)
+    dialects = with_profiles(lines, sniff_dialect(lines))
+    reasons = {r["file_path"].rsplit("/", 1)[1]: r["reason"] for r in admission_report(
+        list_files(spark, path), dialects).collect()}
+    found = {}
+    for row in dialects.collect():
+        name, at = row["file_path"].rsplit("/", 1)[1], row["at"].asDict()
+        placed = {p: c for c, p in at.items() if p is not None}
+        found[name] = reasons[name] or (row["role"], *[placed[p] for p in sorted(placed)])
+    return found
+
+
+def lines_of(n, sep, *columns):
+    return "".join(sep.join(str(c(i)) for c in columns) + "\n" for i in range(n))
+
+
+def test_headerless_columns_are_told_by_their_values(spark, folder):
+    def user(i):
+        return 40 + i * 7
+
+    def movie(i):
+        return 1000 + i % 13
+
+    def score(i):
+        return (i % 10 + 1) / 2
+
+    def time(i):
+        return 978_300_000 + i
+
+    path = folder(
+        one_csv="1,2,4.0\n",
+        a_csv=lines_of(30, ",", user, movie, score, time),
+        b_tsv=lines_of(30, "\t", time, score, user, movie),
+        c_dat=lines_of(30, "::", user, movie, score),
+        d_csv=lines_of(20, ",", movie, lambda i: f'"Film, the {i}th"', lambda i: "Drama|War"),
+        e_tsv=lines_of(20, "\t", lambda i: "Comedy|War", movie, lambda i: f"Film {i}"),
+        f_csv=lines_of(20, ",", movie, lambda i: f"Film {i}", lambda i: "Drama"),
+        g_dat=lines_of(40, "::", user, lambda i: "MF"[i % 2], lambda i: 15 + i, lambda i: i % 5,
+                       lambda i: "48067"),
+        h_csv=lines_of(40, ",", lambda i: "fm"[i % 2], user, lambda i: 15 + i % 30),
+        # Two columns of scores and none of them where scores are.
+        i_csv=lines_of(30, ",", user, score, movie, score),
+        # Three keys beside a score, none at the customary places.
+        j_csv=lines_of(30, ",", score, user, movie, user),
+        k_csv=lines_of(30, ",", lambda i: "x", lambda i: "y"),
+        l_csv=lines_of(30, ",", lambda i: f"a {i}", lambda i: f"b {i}", movie),
+    )
+    assert told(spark, path) == {
+        "one.csv": ("ratings", "user_id", "movie_id", "rating"),
+        "a.csv": ("ratings", "user_id", "movie_id", "rating", "time"),
+        "b.tsv": ("ratings", "time", "rating", "user_id", "movie_id"),
+        "c.dat": ("ratings", "user_id", "movie_id", "rating"),
+        "d.csv": ("movies", "movie_id", "title", "genres"),
+        "e.tsv": ("movies", "genres", "movie_id", "title"),
+        "f.csv": ("movies", "movie_id", "title", "genres"),
+        "g.dat": ("users", "user_id", "gender", "age", "occupation", "zipcode"),
+        "h.csv": ("users", "gender", "user_id", "age"),
+        "i.csv": "ambiguous_columns",
+        "j.csv": "ambiguous_columns",
+        "k.csv": "no_known_column",
+        "l.csv": ("movies", "title", "movie_id"),
+    }
+
+
+def test_headerless_files_become_canonical_tables(spark, folder, rows):
+    path = folder(
+        r_csv="1,20,4.5,978300760\n2,21,five,978300761\n\n3,20\n2,20,3,978300762,9\n",
+        s_csv="movie,userId,score\n21,7,2\n",
+        m_tsv='20\tFilm (1990)\tDrama|War\n21\tOther\tWar\n',
+        u_dat="1::F::30::writer::1\n2::M::41::artist::2\n",
+    )
+    dataset = load_dataset(spark, path)
+    assert rows(dataset.frames.ratings) == [
+        (1, 20, 4.5, 978300760), (2, 20, 3.0, 978300762), (7, 21, 2.0, 0)]
+    assert rows(dataset.frames.movies, "movie_id", "title") == [(20, "Film (1990)"), (21, "Other")]
+    assert rows(dataset.frames.users, "user_id", "gender", "age", "occupation") == [
+        (1, "F", 30, "writer"), (2, "M", 41, "artist")]
+    assert rows(dataset.frames.movie_genres, "movie_id", "genre") == [
+        (20, "Drama"), (20, "War"), (21, "War")]
+    assert rows(dataset.quarantine, "value", "reason") == [
+        ("2,21,five,978300761", "invalid_rating"), ("3,20", "invalid_rating")]
+    assert {r["repeated_headers"] for r in dataset.lines.collect()} == {0}
+
+
+def test_joins_of_profiles_and_broadcasts_of_them_agree(spark, folder, monkeypatch):
+    path = folder(a_csv="1,20,4.5\n", b_tsv="1\tM\t33\n", c_csv="7,Film,War\n")
+    broadcast = told(spark, path)
+    monkeypatch.setattr(sizes, "BROADCAST_BYTES", 0)
+    assert told(spark, path) == broadcast
