@@ -24,9 +24,11 @@ from starboard.llm.packing import SPLIT
 from starboard.session import stage
 
 # Bytes of text aligned together, and tokens after which a lane may end; both change no result.
-RUN_BYTES, LANE = 1 << 21, 256
+RUN_BYTES, LANE = 1 << 20, 256
 SCHEMA = ("_row long, doc_id long, n_a long, n_b long, n_groups long, groups string, "
-          "links array<struct<a:int,b:int>>")
+          "links array<long>")
+# A link is one number, the id of side a above this many bits and the id of side b below.
+BITS = 32
 
 
 def lanes(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
@@ -159,17 +161,17 @@ class Aligner:
         most = max(len(side.bytes_of) for side in self.sides)
         self.written = [f"{i}{end}" for i in range(most) for end in ",|;"]
 
-    def rows(self, texts: list[str | None]) -> tuple[list[list], list[np.ndarray], np.ndarray]:
-        """Per text n_a, n_b, n_groups and groups; ids of the linked tokens of all texts, side a
-        and side b; and how many links each text has."""
+    def rows(self, texts: list[str | None]) -> tuple[list[list], np.ndarray, np.ndarray]:
+        """Per text n_a, n_b, n_groups and groups; the links of all texts; and how many links
+        each text has."""
         there = [i for i, text in enumerate(texts) if text]
         encoded = [side.encode([texts[i] for i in there]) for side in self.sides]
         same = []
-        for i, *ids in zip(there, *encoded, strict=True):
+        for i, first, second in zip(there, *encoded, strict=True):
             wanted = b" " + texts[i].encode()
-            same.append(all(
-                b"".join(map(side.bytes_of.__getitem__, x.tolist())) == wanted
-                for side, x in zip(self.sides, ids, strict=True)))
+            # Side a is byte-level and cannot lose a byte; side b may have normalised the text.
+            same.append(int(self.sizes[0][first].sum()) == len(wanted) and b"".join(
+                map(self.sides[1].bytes_of.__getitem__, second.tolist())) == wanted)
         there = [i for i, ok in zip(there, same, strict=True) if ok]
         encoded = [[x for x, ok in zip(side, same, strict=True) if ok] for side in encoded]
         counts = [np.array([len(x) for x in side], dtype=np.int64) for side in encoded]
@@ -197,15 +199,15 @@ class Aligner:
                        int(groups_by[k + 1] - groups_by[k]), text[:-1]]
             n_links[i] = links_by[k + 1] - links_by[k]
             start = stop
-        return rows, [x[at] for x, at in zip(ids, pairs, strict=True)], n_links
+        return rows, ids[0][pairs[0]] << BITS | ids[1][pairs[1]], n_links
 
 
 def align_documents(docs: DataFrame, byte_pairs: str, pieces: str) -> DataFrame:
     """Tokens of both tokenizers for every row of ``docs`` (doc_id, text), put side by side.
 
     Returns _row (a number of the row), doc_id, n_a, n_b, n_groups, groups (as a1,a2|b1;a3|b2,b3)
-    and links (ids of all pairs of tokens that overlap, in text order). A text that is null,
-    empty, or that the joined bytes of either side's tokens do not give back, has no tokens.
+    and links (all pairs of tokens that overlap, in text order, each as the id of the first
+    tokenizer shifted by ``BITS`` plus that of the second). A text that is null, empty, or that the joined bytes of either side's tokens do not give back, has no tokens.
     Strings of special tokens are text, repeated rows are rows of their own, very long texts are
     walked whole in linear time, and extra columns are left out. An empty table gives no rows.
 
@@ -217,11 +219,10 @@ def align_documents(docs: DataFrame, byte_pairs: str, pieces: str) -> DataFrame:
         for batch in batches:
             for start, stop in runs(batch.column(2), RUN_BYTES):
                 part = batch.slice(start, stop - start)
-                rows, pairs, n_links = aligner.rows(part.column(2).to_pylist())
+                rows, linked_ids, n_links = aligner.rows(part.column(2).to_pylist())
                 links = pa.ListArray.from_arrays(
                     pa.array(np.append(0, np.cumsum(n_links)).astype(np.int32)),
-                    pa.StructArray.from_arrays(
-                        [pa.array(side.astype(np.int32)) for side in pairs], ["a", "b"]))
+                    pa.array(linked_ids))
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1),
@@ -235,18 +236,19 @@ def align_documents(docs: DataFrame, byte_pairs: str, pieces: str) -> DataFrame:
 
 
 def _links(aligned: DataFrame) -> DataFrame:
-    return aligned.select("_row", F.explode("links").alias("link")).select(
-        "_row", F.col("link.a").alias("a"), F.col("link.b").alias("b"))
+    return aligned.select("_row", F.explode("links").alias("link"))
 
 
 def link_counts(aligned: DataFrame) -> DataFrame:
-    """(a, b, n, best) of every linked pair of ids: links that hold it over all documents, and
-    whether no other pair of the same ``b`` has more. Written once."""
-    counted = stage(_links(aligned).groupBy("a", "b").agg(F.count("*").alias("n")), "pairs")
+    """(link, a, b, n, best) of every linked pair of ids: links that hold it over all documents,
+    and whether no other pair of the same ``b`` has more. Written once."""
+    counted = stage(_links(aligned).groupBy("link").agg(F.count("*").alias("n")).select(
+        "link", F.shiftright("link", BITS).cast("int").alias("a"),
+        F.col("link").bitwiseAND(F.lit((1 << BITS) - 1)).cast("int").alias("b"), "n"), "pairs")
     # One row per id of side b: bounded by its vocabulary.
     highest = F.broadcast(counted.groupBy("b").agg(F.max("n").alias("highest")))
     return stage(counted.join(highest, "b").select(
-        "a", "b", "n", (F.col("n") == F.col("highest")).alias("best")), "counts")
+        "link", "a", "b", "n", (F.col("n") == F.col("highest")).alias("best")), "counts")
 
 
 def frequent_from(counts: DataFrame, most: int = BROADCAST_ROWS) -> int:
@@ -268,20 +270,20 @@ def score(aligned: DataFrame, counts: DataFrame, most: int = BROADCAST_ROWS) ->
     folded per document and joined, and as these pairs are the rare ones no join key is hot.
     """
     least = frequent_from(counts, most)
-    head = F.broadcast(counts.where(F.col("n") >= least))
-    rare = F.col("n").isNull()
+    known = counts.select("link", "n", "best")
+    head = F.broadcast(known.where(F.col("n") >= least))
+    rare = F.when(F.col("n").isNull(), F.col("link"))
     folded = stage(
-        _links(aligned).join(head, ["a", "b"], "left")
-        .groupBy("_row", F.when(rare, F.col("a")).alias("a"), F.when(rare, F.col("b")).alias("b"))
+        _links(aligned).join(head, "link", "left").groupBy("_row", rare.alias("link"))
         .agg(F.count("*").alias("k"), F.sum("n").alias("sum"),
              F.count_if("best").alias("n_best")), "folded")
-    rest = folded.where("a is not null").select("_row", "a", "b", "k").join(
-        counts.where(F.col("n") < least), ["a", "b"])
+    rest = folded.where("link is not null").select("_row", "link", "k").join(
+        known.where(F.col("n") < least), "link")
 
     def best(flag: Column) -> Column:
         return F.when(flag, F.col("k")).otherwise(0)
 
-    scored = folded.where("a is null").select("_row", "k", "sum", "n_best").union(
+    scored = folded.where("link is null").select("_row", "k", "sum", "n_best").union(
         rest.select("_row", "k", (F.col("k") * F.col("n")).alias("sum"),
                     best(F.col("best")).alias("n_best"))
     ).groupBy("_row").agg(F.sum("k").alias("n_links"), F.sum("n_best").alias("n_best"),
