@@ -558,7 +558,33 @@ union all
 select case l_linenumber when 4 then 'invalid_rating' when 5 then 'too_few_fields'
             else 'rating_out_of_range' end, -1, count(*)
 from lineitem where l_linenumber in (4, 5, 6) group by 1""",
+    "X1_stream_uploads": f"""
+select distinct cast(l_orderkey as bigint) as user_id, cast(l_partkey as bigint) as movie_id,
+       {HALF_STAR} as rating, {SHIPPED} as ts from lineitem where l_linenumber <> 4
+union
+select cast(user_id as bigint), cast(event_id as bigint),
+       (cast(trunc(value) as integer) % 10 + 1) / 2.0::double,
+       cast(floor(epoch(ts)) as bigint) from events
+union
+select cast(o_custkey as bigint), cast(o_orderkey as bigint),
+       (cast(trunc(o_totalprice) as integer) % 10 + 1) / 2.0::double,
+       cast(floor(epoch(o_orderdate)) as bigint) from orders""",
+    "X1_stream_upload_movies": with_tables("movies", sql="""
+select distinct cast(movie_id as bigint) as movie_id,
+       case when movie_id % 2 = 0 then 'Score' else title end as title,
+       case when movie_id % 2 = 0 then 'Score' else title end as title_full,
+       trim(genres_raw) as genres_raw from movies"""),
+    "X1_stream_upload_outcomes": """
+select 'ratings' as role, 'ok' as reason,
+       (select count(*) from lineitem where l_linenumber <> 4)
+       + (select count(*) from lineitem where l_linenumber < 4)
+       + (select count(*) from events) + (select count(*) from orders) as n
+union all select 'ratings', 'invalid_rating', 2 * count(*) from lineitem where l_linenumber = 4
+union all select 'movies', 'ok',
+       (select count(*) from part) + (select count(*) from nation)""",
     "X2_stream_distribution": f"""
+select cast(trunc({HALF_STAR}) as integer) as score, count(*) as count from lineitem group by 1""",
+    "X2_stream_distribution_updated": f"""
 select cast(trunc({HALF_STAR}) as integer) as score, count(*) as count from lineitem group by 1""",
     "X3_stream_daily_activity": """
 select strftime(ts, '%Y-%m-%d') as day, count(*) as count

@@ -24,6 +24,7 @@ from starboard.sources.dialects import admission_report, sniff_dialect
 from starboard.sources.lines import list_files, scan_lines
 from starboard.sources.profiles import with_profiles
 from starboard.streaming import ratings as X
+from starboard.streaming import uploads as U
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -467,7 +468,45 @@ def stream_distribution(spark, sf):
     ratings = _stream(spark, sf, "lineitem").select(B.half_star(F.col("l_quantity")).alias("rating"))
     result = X.stream_distribution(ratings)
     X.write_result(result, f"{out}/data", f"{out}/log").awaitTermination()
-    return spark.read.parquet(f"{out}/data")
+    return X.read_result(spark, f"{out}/data")
+
+
+def stream_distribution_updated(spark, sf):
+    """The same by changed rows, over several batches."""
+    out = scratch_path(spark, "stream")
+    B.table(spark, sf, "lineitem").select(
+        B.half_star(F.col("l_quantity")).alias("rating")).repartition(3).write.parquet(f"{out}/in")
+    ratings = spark.readStream.schema("rating double").option("maxFilesPerTrigger", 1).parquet(
+        f"{out}/in")
+    X.write_result(X.stream_distribution(ratings), f"{out}/data", f"{out}/log", mode="update",
+                   keys=["score"]).awaitTermination()
+    return X.read_result(spark, f"{out}/data")
+
+
+@cache
+def streamed_uploads(spark: SparkSession, sf: str) -> str:
+    """Files of several layouts, some rows coming in again later, as rows and unique ratings."""
+    out = scratch_path(spark, "uploads")
+    for late in (False, True):
+        R.put_uploads(spark, sf, f"{out}/in", late)
+        lines = U.read_upload_lines(spark, f"{out}/in", files_per_batch=4)
+        U.ingest_uploads(lines, out, f"{out}/log").awaitTermination()
+        U.write_unique(U.unique_ratings(spark, out), out, f"{out}/unique-log").awaitTermination()
+    return out
+
+
+def uploaded_ratings(spark, sf):
+    return U.uploaded_ratings(spark, streamed_uploads(spark, sf))
+
+
+def uploaded_movies(spark, sf):
+    return U.uploaded_movies(spark, streamed_uploads(spark, sf))
+
+
+def uploaded_outcomes(spark, sf):
+    """Lines of the streamed files by what became of them, repeats counted each."""
+    rows = U.upload_rows(spark, streamed_uploads(spark, sf))
+    return rows.groupBy("role", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def stream_activity(spark, sf):
@@ -476,12 +515,9 @@ def stream_activity(spark, sf):
     clock = F.timestamp_seconds(B.epoch_seconds(F.col("ts")))
     events = _stream(spark, sf, "events").select(clock.alias("ts"))
     result = X.stream_activity(events)
-    X.write_result(result, f"{out}/data", f"{out}/log", mode="update").awaitTermination()
-    written = spark.read.parquet(f"{out}/data")
-    # Update mode writes a window again whenever it changes; its last batch counts.
-    last = written.groupBy("window_start", "window_end").agg(
-        F.max_by("count", "batch_id").alias("count")
-    )
+    X.write_result(result, f"{out}/data", f"{out}/log", mode="update",
+                   keys=["window_start"]).awaitTermination()
+    last = X.read_result(spark, f"{out}/data")
     day = F.date_add(
         F.lit("1970-01-01").cast("date"), (F.unix_seconds("window_start") / 86400).cast("int")
     )
@@ -582,6 +618,10 @@ QUERIES: dict[str, Query] = {
     "P9_mean_line": score_mean,
     # streams
     "X1_stream_ingest": stream_ingest,
+    "X1_stream_uploads": uploaded_ratings,
+    "X1_stream_upload_movies": uploaded_movies,
+    "X1_stream_upload_outcomes": uploaded_outcomes,
     "X2_stream_distribution": stream_distribution,
+    "X2_stream_distribution_updated": stream_distribution_updated,
     "X3_stream_daily_activity": stream_activity,
 }

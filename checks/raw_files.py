@@ -154,6 +154,35 @@ def headerless_folder(spark: SparkSession, sf: str) -> str:
     return path
 
 
+def put_uploads(spark: SparkSession, sf: str, path: str, late: bool) -> None:
+    """Files for a stream. First three layouts of ratings: with an extra column that holds header
+    words, with other names in another order, and with no names; and movies, one of them called
+    Score. Later a part of the ratings once more, laid out differently."""
+    lines = table(spark, sf, "lineitem")
+    line = F.col("l_linenumber")
+    user, movie = _text(F.col("l_orderkey")), _text(F.col("l_partkey"))
+    score = F.when(line == 4, "five").otherwise(_text(half_star(F.col("l_quantity"))))
+    time = _text(epoch_seconds(F.col("l_shipdate")))
+    if late:
+        again = F.concat_ws("\t", time, movie, user, score)
+        _write_lines(again, "ts\tmovie\tuser\trate", lines.where(line <= 4), path)
+        return
+    note = F.element_at(F.array(F.lit("Score"), F.lit("title"), F.lit("plain")),
+                        (line % 3 + 1).cast("int"))
+    _write_lines(F.concat_ws(",", user, movie, score, note, time),
+                 "user_id,movie_id,rating,note,timestamp", lines, path)
+    event = _event_columns()
+    swapped = F.concat_ws(",", event["movie"], event["time"], event["user"], event["score"])
+    _write_lines(swapped, "movie,time,userId,score", table(spark, sf, "events"), path)
+    orders = F.concat_ws("::", _text(F.col("o_custkey")), _text(F.col("o_orderkey")),
+                         _text(half_star(F.col("o_totalprice"))),
+                         _text(epoch_seconds(F.col("o_orderdate"))))
+    table(spark, sf, "orders").select(orders).write.mode("append").text(path)
+    title = F.when(F.col("movie_id") % 2 == 0, "Score").otherwise(F.col("title"))
+    _write_lines(F.concat_ws("\t", _text(F.col("movie_id")), title, F.col("genres_raw")),
+                 "movieId\ttitle\tgenres", movies(spark, sf), path)
+
+
 @cache
 def damaged_folder(spark: SparkSession, sf: str) -> str:
     """Only the damaged comma separated ratings; the first line of each order comes twice."""

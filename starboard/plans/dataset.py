@@ -120,7 +120,7 @@ def analyze_dataset(
     options.setdefault("movie_scope", "all")
     options.setdefault("user_scope", "all")
     options.setdefault("users_from", "ratings")
-    frames = _analyze(spark, dataset.frames, root, dataset_id, name, min_count, options)
+    frames = _analyze(dataset.frames, root, dataset_id, name, min_count, options)
     return Dataset(frames, dataset.admission, dataset.quarantine, dataset.lines)
 
 
@@ -148,16 +148,13 @@ def analyze_raw_dataset(
 ) -> Frames:
     """Load a folder of headerless '::' files, write canonical tables, marts and registry row."""
     frames = load_raw_dataset(spark, path)
-    return _analyze(spark, frames, root, dataset_id, name, min_count, options)
+    return _analyze(frames, root, dataset_id, name, min_count, options)
 
 
 def _analyze(
-    spark: SparkSession, frames: Frames, root: str, dataset_id: int, name: str | None,
-    min_count: int, options: dict,
+    frames: Frames, root: str, dataset_id: int, name: str | None, min_count: int, options: dict,
 ) -> Frames:
-    M.write_canonical(frames, root, dataset_id)
-    written = M.read_canonical(spark, root, dataset_id)
-    marts = analyze_all(written, min_count=min_count, stage=stage, **options)
-    M.write_marts(spark, marts, root, dataset_id)
-    M.update_registry(spark, root, dataset_id, name)
-    return written
+    def analyze(written: Frames) -> dict[str, DataFrame]:
+        return analyze_all(written, min_count=min_count, stage=stage, **options)
+
+    return M.rewrite_dataset(frames, analyze, root, dataset_id, name)

@@ -1,24 +1,24 @@
 """Per-dataset result tables, the dataset registry and the views served from them.
 
-Every table is a folder partitioned by dataset id. A dataset is (re)written by replacing
-its own partition folder, so a rerun leaves the same state and two datasets never meet.
+Every dataset is a folder of its tables. They are (re)written beside the old ones and switched
+together (``starboard.snapshots``), so a rerun leaves the same state, a write that fails leaves
+the old one, and two datasets never meet.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import partial
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starboard import snapshots
 from starboard.functions.columns import label_rank
 from starboard.operators.analyses import summary_from_ratings
 from starboard.operators.mapping import PROFILE_DEFAULTS, default_fill
 from starboard.plans.analysis import Frames
 from starboard.schemas import CANONICAL, DEFAULT_DATASET, MARTS, REGISTRY
-from starboard.session import together
 
 REGISTRY_TABLE = "datasets"
 _CANONICAL_PREFIX = "canonical_"
@@ -31,23 +31,8 @@ def checked_id(dataset_id: int) -> int:
     return dataset_id
 
 
-def _folder(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{table}"
-
-
-def _partition(root: str, table: str, dataset_id: int) -> str:
-    return f"{_folder(root, table)}/dataset_id={checked_id(dataset_id)}"
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def dataset_folder(root: str, dataset_id: int) -> str:
+    return f"{root.rstrip('/')}/dataset_id={checked_id(dataset_id)}"
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -59,10 +44,23 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 def read_all(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
     """The whole table with its ``dataset_id``; empty if nothing was written yet."""
     full = T.StructType([*schema.fields, T.StructField("dataset_id", T.IntegerType())])
-    path = _folder(root, table)
-    if not _exists(spark, path):
+    paths = snapshots.current_of_all(spark, f"{root.rstrip('/')}/dataset_id=*", table)
+    if not paths:
         return _empty(spark, full)
-    return spark.read.schema(full).parquet(path)
+    number = F.regexp_extract("_metadata.file_path", r"/dataset_id=([0-9]+)/", 1).cast("int")
+    return spark.read.schema(schema).parquet(*paths).select(
+        *schema.names, number.alias("dataset_id"))
+
+
+def _read(
+    spark: SparkSession, root: str, table: str, dataset_id: int, schema: T.StructType | None = None
+) -> DataFrame | None:
+    """A table of one dataset, from its own folder; None if it has none."""
+    paths = snapshots.current(spark, dataset_folder(root, dataset_id)).get(table)
+    if not paths:
+        return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(*paths)
 
 
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -72,49 +70,67 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 # ---- writing ---------------------------------------------------------------------------------
 
 
+def _conformed_marts(marts: Mapping[str, DataFrame]) -> dict[str, DataFrame | None]:
+    """Every mart as it is written; None for one that cannot be computed."""
+    return {name: _conform(marts[name], schema) if name in marts else None
+            for name, schema in MARTS.items()}
+
+
+def _conformed_tables(frames: Frames) -> dict[str, DataFrame | None]:
+    """Every canonical table as it is written: known columns only, in their types."""
+    tables = {}
+    for table, schema in CANONICAL.items():
+        frame = getattr(frames, table)
+        known = [] if frame is None else [f for f in schema.fields if f.name in frame.columns]
+        tables[_CANONICAL_PREFIX + table] = (
+            None if frame is None else _conform(frame, T.StructType(known)))
+    return tables
+
+
 def write_marts(
     spark: SparkSession, marts: Mapping[str, DataFrame], root: str, dataset_id: int
 ) -> None:
     """Replace the marts of a dataset. A mart that cannot be computed any more goes away."""
-
-    def replace(name: str) -> None:
-        path = _partition(root, name, dataset_id)
-        if name in marts:
-            _conform(marts[name], MARTS[name]).write.mode("overwrite").parquet(path)
-        else:
-            _remove(spark, path)
-
-    together([partial(replace, name) for name in MARTS])
+    snapshots.replace(spark, dataset_folder(root, dataset_id), _conformed_marts(marts))
 
 
 def append_mart(df: DataFrame, root: str, name: str, dataset_id: int) -> None:
     """Add rows to a mart without replacing what is there. A rerun repeats its rows."""
-    _conform(df, MARTS[name]).write.mode("append").parquet(_partition(root, name, dataset_id))
+    rows = {name: _conform(df, MARTS[name])}
+    snapshots.replace(df.sparkSession, dataset_folder(root, dataset_id), rows, append=True)
 
 
 def write_canonical(frames: Frames, root: str, dataset_id: int) -> None:
     """Replace the canonical tables of a dataset: known columns only, in their types."""
     spark = frames.ratings.sparkSession
-
-    def replace(table: str) -> None:
-        frame = getattr(frames, table)
-        path = _partition(root, _CANONICAL_PREFIX + table, dataset_id)
-        if frame is None:
-            _remove(spark, path)
-        else:
-            known = [f for f in CANONICAL[table].fields if f.name in frame.columns]
-            _conform(frame, T.StructType(known)).write.mode("overwrite").parquet(path)
-
-    together([partial(replace, table) for table in CANONICAL])
+    snapshots.replace(spark, dataset_folder(root, dataset_id), _conformed_tables(frames))
 
 
 def read_canonical(spark: SparkSession, root: str, dataset_id: int) -> Frames:
     """The canonical tables of a dataset; columns it never had are left out."""
-    found = {}
-    for table in CANONICAL:
-        path = _partition(root, _CANONICAL_PREFIX + table, dataset_id)
-        found[table] = spark.read.parquet(path) if _exists(spark, path) else None
-    return Frames(**found)
+    return Frames(**{table: _read(spark, root, _CANONICAL_PREFIX + table, dataset_id)
+                     for table in CANONICAL})
+
+
+def rewrite_dataset(
+    frames: Frames, analyze: Callable[[Frames], Mapping[str, DataFrame]], root: str,
+    dataset_id: int, name: str | None = None,
+) -> Frames:
+    """Write a dataset's canonical tables, the marts that ``analyze`` makes of them and the
+    registry row, and switch to all of them at once. Returns the written tables.
+
+    If anything fails on the way, the dataset stays as it was.
+    """
+    spark = frames.ratings.sparkSession
+    known = _registered(spark, root, dataset_id)
+    with snapshots.Change(spark, dataset_folder(root, dataset_id)) as change:
+        change.put(_conformed_tables(frames))
+        written = Frames(**{table: change.read(_CANONICAL_PREFIX + table) for table in CANONICAL})
+        change.put(_conformed_marts(analyze(written)))
+        summary = change.read("dashboard_summary")
+        row = _registry_row(spark, dataset_id, name, known, summary, written.ratings)
+        change.put({REGISTRY_TABLE: row})
+    return written
 
 
 def export_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = False) -> None:
@@ -142,11 +158,6 @@ def read_registry(spark: SparkSession, root: str) -> DataFrame:
     return read_all(spark, root, REGISTRY_TABLE, REGISTRY).withColumnRenamed("dataset_id", "id")
 
 
-def _write_registry_row(row: DataFrame, root: str, dataset_id: int) -> None:
-    path = _partition(root, REGISTRY_TABLE, dataset_id)
-    _conform(row, REGISTRY).write.mode("overwrite").parquet(path)
-
-
 def register_dataset(spark: SparkSession, root: str, name: str) -> int:
     """Enter a dataset under the next free id, with no counts yet.
 
@@ -159,24 +170,31 @@ def register_dataset(spark: SparkSession, root: str, name: str) -> int:
         *[F.lit(0).alias(c) for c in ("movie_count", "rating_count", "user_count")],
         F.current_timestamp().alias("created_at"),
     )
-    _write_registry_row(row, root, dataset_id)
+    _write_registry_row(spark, row, root, dataset_id)
     return dataset_id
 
 
-def update_registry(
-    spark: SparkSession, root: str, dataset_id: int, name: str | None = None
-) -> None:
-    """Set the counts of a dataset from its summary, or from its ratings if it has none."""
-    checked_id(dataset_id)
-    known = read_registry(spark, root).where(F.col("id") == dataset_id).first()
-    summary = read_mart(spark, root, "dashboard_summary", dataset_id).first()
-    ratings = _partition(root, _CANONICAL_PREFIX + "ratings", dataset_id)
-    if summary and summary["total_ratings"] > 0:
+def _write_registry_row(spark: SparkSession, row: DataFrame, root: str, dataset_id: int) -> None:
+    snapshots.replace(spark, dataset_folder(root, dataset_id),
+                      {REGISTRY_TABLE: _conform(row, REGISTRY)})
+
+
+def _registered(spark: SparkSession, root: str, dataset_id: int) -> Row | None:
+    row = _read(spark, root, REGISTRY_TABLE, dataset_id, REGISTRY)
+    return None if row is None else row.first()
+
+
+def _registry_row(
+    spark: SparkSession, dataset_id: int, name: str | None, known: Row | None,
+    summary: DataFrame | None, ratings: DataFrame | None,
+) -> DataFrame:
+    totals = None if summary is None else summary.first()
+    if totals and totals["total_ratings"] > 0:
         names = {"movie_count": "total_movies", "rating_count": "total_ratings",
                  "user_count": "total_users"}
-        counts = {name: summary[total] for name, total in names.items()}
-    elif _exists(spark, ratings):
-        counts = summary_from_ratings(spark.read.parquet(ratings)).first().asDict()
+        counts = {name: totals[total] for name, total in names.items()}
+    elif ratings is not None:
+        counts = summary_from_ratings(ratings).first().asDict()
     else:
         counts = {}
     row = spark.range(1).select(
@@ -185,16 +203,31 @@ def update_registry(
           for column in ("movie_count", "rating_count", "user_count")],
         (F.lit(known["created_at"]) if known else F.current_timestamp()).alias("created_at"),
     )
-    _write_registry_row(row, root, dataset_id)
+    return _conform(row, REGISTRY)
+
+
+def update_registry(
+    spark: SparkSession, root: str, dataset_id: int, name: str | None = None
+) -> None:
+    """Set the counts of a dataset from its summary, or from its ratings if it has none."""
+    checked_id(dataset_id)
+    row = _registry_row(
+        spark, dataset_id, name, _registered(spark, root, dataset_id),
+        _read(spark, root, "dashboard_summary", dataset_id),
+        _read(spark, root, _CANONICAL_PREFIX + "ratings", dataset_id))
+    _write_registry_row(spark, row, root, dataset_id)
 
 
 def delete_dataset(spark: SparkSession, root: str, dataset_id: int) -> None:
-    """Drop marts, canonical tables and registry row. The default dataset is protected."""
+    """Drop marts, canonical tables and registry row. The default dataset is protected.
+
+    The manifest goes first: from then on readers find no dataset, whole or in part.
+    """
     if checked_id(dataset_id) == DEFAULT_DATASET:
         raise ValueError("the default dataset cannot be deleted")
-    tables = [*MARTS, *(_CANONICAL_PREFIX + table for table in CANONICAL), REGISTRY_TABLE]
-    for table in tables:
-        _remove(spark, _partition(root, table, dataset_id))
+    folder = dataset_folder(root, dataset_id)
+    snapshots.remove(spark, f"{folder}/{snapshots.MANIFEST}")
+    snapshots.remove(spark, folder)
 
 
 # ---- serving ---------------------------------------------------------------------------------
@@ -202,10 +235,8 @@ def delete_dataset(spark: SparkSession, root: str, dataset_id: int) -> None:
 
 def read_mart(spark: SparkSession, root: str, name: str, dataset_id: int) -> DataFrame:
     """The rows of one dataset, from its own folder: no other dataset is even listed."""
-    path = _partition(root, name, dataset_id)
-    if not _exists(spark, path):
-        return _empty(spark, MARTS[name])
-    return spark.read.schema(MARTS[name]).parquet(path)
+    mart = _read(spark, root, name, dataset_id, MARTS[name])
+    return _empty(spark, MARTS[name]) if mart is None else mart
 
 
 # Fixed value: rows in the views of top movies and occupations.
@@ -274,18 +305,21 @@ def dataset_badge(registry: DataFrame) -> DataFrame:
     return registry.select("id", badge.alias("badge"))
 
 
-# Sections of a briefing in their order: mart, columns, most rows shown (None for all).
-_BRIEFING: tuple[tuple[str, Sequence[str], int | None], ...] = (
-    ("dashboard_summary", ("total_movies", "total_ratings", "total_users", "avg_rating"), 1),
-    ("rating_distribution", ("score", "count", "percentage"), None),
-    ("genre_stats", ("genre_name", "movie_count", "avg_rating", "rating_count"), 10),
-    ("top_movies", ("movie_name", "avg_rating", "rating_count"), 10),
+# Sections of a briefing in their order: mart, columns, whether it is a list of the first rows.
+_BRIEFING: tuple[tuple[str, Sequence[str], bool], ...] = (
+    ("dashboard_summary", ("total_movies", "total_ratings", "total_users", "avg_rating"), False),
+    ("rating_distribution", ("score", "count", "percentage"), False),
+    ("genre_stats", ("genre_name", "movie_count", "avg_rating", "rating_count"), True),
+    ("top_movies", ("movie_name", "avg_rating", "rating_count"), True),
     ("gender_comparison",
-     ("gender", "user_count", "rating_count", "avg_rating", "high_rate_pct"), None),
-    ("age_group_stats", ("age_group", "user_count", "rating_count", "avg_rating"), None),
-    ("occupation_stats", ("occupation", "user_count", "rating_count", "avg_rating"), 10),
+     ("gender", "user_count", "rating_count", "avg_rating", "high_rate_pct"), False),
+    ("age_group_stats", ("age_group", "user_count", "rating_count", "avg_rating"), False),
+    ("occupation_stats", ("occupation", "user_count", "rating_count", "avg_rating"), True),
 )
 
+# Fixed value: rows of a list in a briefing.
+BRIEFING_ROWS = 10
+
 
 _BRIEFING_SCHEMA = T.StructType(
     [
@@ -297,18 +331,19 @@ _BRIEFING_SCHEMA = T.StructType(
 )
 
 
-def briefing_of(marts: Mapping[str, DataFrame]) -> DataFrame:
+def briefing_of(marts: Mapping[str, DataFrame], k: int | None = BRIEFING_ROWS) -> DataFrame:
     """(section, name, line, content): the marts of a dataset as JSON lines to read out.
 
     One row per line, so that nothing has to fit into a single value; marts that are
-    missing or empty leave no line.
+    missing or empty leave no line. Genres, movies and occupations are lists of the first ``k``
+    rows, or of all with ``None``.
     """
     sections = []
-    for number, (name, columns, most) in enumerate(_BRIEFING, start=1):
+    for number, (name, columns, listed) in enumerate(_BRIEFING, start=1):
         if name not in marts:
             continue
-        shown = serve(marts[name], name)
-        shown = shown if most is None else shown.limit(most)
+        shown = serve(marts[name], name, None)
+        shown = shown.limit(k) if listed and k is not None else shown
         content = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
         sections.append(
             shown.select(
@@ -322,9 +357,11 @@ def briefing_of(marts: Mapping[str, DataFrame]) -> DataFrame:
     return briefing.orderBy("section", "line")
 
 
-def dataset_briefing(spark: SparkSession, root: str, dataset_id: int) -> DataFrame:
-    names = [name for name, _, _ in _BRIEFING
-             if _exists(spark, _partition(root, name, dataset_id))]
+def dataset_briefing(
+    spark: SparkSession, root: str, dataset_id: int, k: int | None = BRIEFING_ROWS
+) -> DataFrame:
+    there = snapshots.current(spark, dataset_folder(root, dataset_id))
+    names = [name for name, _, _ in _BRIEFING if name in there]
     if not names:
         return _empty(spark, _BRIEFING_SCHEMA)
-    return briefing_of({name: read_mart(spark, root, name, dataset_id) for name in names})
+    return briefing_of({name: read_mart(spark, root, name, dataset_id) for name in names}, k)

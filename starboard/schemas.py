@@ -108,6 +108,9 @@ ALIASES: dict[str, tuple[str, ...]] = {
     "time": ("time", "timestamp", "ts"),
 }
 
+# Every name under which a canonical column may arrive.
+KNOWN_NAMES = tuple(name for names in ALIASES.values() for name in names)
+
 # A line with one of these as a whole field is a header line.
 HEADER_NAMES = (
     "movie_id", "movieid", "user_id", "userid", "rating", "title", "movie", "score",

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from starboard import snapshots
 from starboard.functions.columns import not_blank, score_bucket
 from starboard.operators.cleaning import ROW_OK, distinct_rows, judge_ratings, typed
 from starboard.operators.mapping import fallbacks, map_aliases, normalized
-from starboard.schemas import CANONICAL, EXTENSIONS
+from starboard.schemas import CANONICAL, EXTENSIONS, KNOWN_NAMES
+from starboard.session import stage
 from starboard.sources.dialects import DELIMITERS, is_header_line, split_line
 from starboard.sources.lines import name_pattern
 from starboard.sources.parsing import TOO_FEW_FIELDS
@@ -33,10 +35,11 @@ def parse_rating_lines(
 ) -> DataFrame:
     """Typed and judged rating rows of files with declared columns and delimiter.
 
-    A stream cannot look at a file before it reads it, hence the declaration. Lines with just
-    the declared names are headers and dropped, wherever they stand. Another header stops the
-    stream, since the rows below it would have their columns swapped. ``value`` is the line of
-    a row set aside.
+    For files that are all laid out alike; ``starboard.streaming.uploads`` finds the layout of
+    each. Lines with just the declared names are headers and dropped, wherever they stand. A line
+    of nothing but names of columns, though not the declared ones, stops the stream, since the
+    rows below it would have their columns swapped. A row that has such a word among its values
+    is a row. ``value`` is the line of a row set aside.
     """
     if sep not in DELIMITERS:
         raise ValueError(f"delimiter must be one of {DELIMITERS}, not {sep!r}")
@@ -50,8 +53,10 @@ def parse_rating_lines(
     line = F.col("line")
     declared = F.array(*[normalized(F.lit(name)) for name in columns])
     # Most lines hold no header name at all and are not cut up for the comparison.
-    headed = is_header_line(line, F.lit(sep))
-    header = headed & (F.transform(split_line(line, F.lit(sep)), normalized) == declared)
+    hinted = is_header_line(line, F.lit(sep))
+    fields = F.transform(split_line(line, F.lit(sep)), normalized)
+    header = hinted & (fields == declared)
+    headed = hinted & F.forall(fields, lambda name: name.isin(*KNOWN_NAMES))
     other = F.raise_error(F.concat(F.lit("header differs from the declared columns: "), line))
     rows = (
         lines.where(not_blank("value"))
@@ -84,7 +89,7 @@ def stream_ingest(
         path = f"{out}/batch_id={batch_id}"
         batch.write.mode("overwrite").partitionBy("reason").parquet(path)
 
-    return _start(judged, write, "append", checkpoint, once)
+    return start(judged, write, "append", checkpoint, once)
 
 
 _INGESTED = T.StructType(
@@ -131,18 +136,48 @@ def stream_activity(
 
 
 def write_result(
-    result: DataFrame, out: str, checkpoint: str, mode: str = "complete", once: bool = True
+    result: DataFrame, out: str, checkpoint: str, mode: str = "complete", once: bool = True,
+    keys: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Keep a running result as a table: the whole of it, or the changed rows per batch."""
+    """Keep a running result as a table that ``read_result`` reads at any time.
+
+    Complete mode writes the whole result, update mode the last table with the rows that have
+    changed in place of those of the same ``keys``, append mode adds the new rows. Every batch is
+    written beside the table and switched to, so readers see one batch or the next, never half a
+    table, and a batch that comes again after a failure changes nothing.
+    """
+    if mode == "update" and not keys:
+        raise ValueError("update mode needs the keys by which changed rows replace others")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        path = out if mode == "complete" else f"{out}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(path)
+        spark = batch.sparkSession
+        done = snapshots.note(spark, out).get("batch_id", -1)
+        if batch_id <= done:
+            # Already in the table; its rows are computed all the same, for the stream's state.
+            batch.write.format("noop").mode("overwrite").save()
+            return
+        if mode == "update":
+            changed = stage(batch, "changed")
+            old = read_result(spark, out)
+            batch = changed if old is None else old.join(
+                changed.select(*keys).distinct(), list(keys), "left_anti").select(
+                *changed.columns).unionByName(changed)
+        snapshots.replace(spark, out, {RESULT: batch}, mode == "append", {"batch_id": batch_id})
+
+    return start(result, write, mode, checkpoint, once)
+
+
+RESULT = "result"
+
 
-    return _start(result, write, mode, checkpoint, once)
+def read_result(spark: SparkSession, out: str) -> DataFrame | None:
+    """The table that ``write_result`` has kept last; None before its first batch."""
+    paths = snapshots.current(spark, out).get(RESULT)
+    return spark.read.parquet(*paths) if paths else None
 
 
-def _start(df: DataFrame, write, mode: str, checkpoint: str, once: bool) -> StreamingQuery:
+def start(df: DataFrame, write, mode: str, checkpoint: str, once: bool) -> StreamingQuery:
+    """Start a stream with a writer for its batches, to run through once or to go on."""
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.foreachBatch(write)
     if once:

@@ -45,7 +45,7 @@ def test_running_distribution(spark, work, rows):
         X.write_result(
             X.stream_distribution(stream), str(work / "out"), str(work / "log")
         ).awaitTermination()
-        return rows(spark.read.parquet(str(work / "out")))
+        return rows(X.read_result(spark, str(work / "out")))
 
     arrive("a", [1.0, 1.5, 4.0])
     assert run() == [(1, 2), (4, 1)]
@@ -67,7 +67,7 @@ def test_late_events_are_left_out(spark, work, rows):
         X.write_result(
             X.stream_activity(stream), str(work / "out"), str(work / "log"), mode="append"
         ).awaitTermination()
-        return rows(spark.read.parquet(str(work / "out")), "window_start", "count")
+        return rows(X.read_result(spark, str(work / "out")), "window_start", "count")
 
     arrive("a", 1, 2, 30)
     assert run() == [(day, 2)]
