@@ -439,6 +439,22 @@ from (select distinct user_id from ratings) r left join users u on r.user_id = u
     "C7_title_full_fallback": """
 select cast(p_partkey as bigint) as movie_id, p_name as title, p_name as title_full,
        '' as genres_raw from part""",
+    "S1_scan_two_headers": f"""
+select cast(l_orderkey as bigint) as user_id, cast(l_partkey as bigint) as movie_id,
+       {HALF_STAR} as rating, {SHIPPED} as ts from lineitem
+union all
+select cast(user_id as bigint), cast(event_id as bigint),
+       (cast(trunc(value) as integer) % 10 + 1) / 2.0::double,
+       cast(floor(epoch(ts)) as bigint) from events""",
+    "S2_read_dialect": f"""
+select cast(l_orderkey as varchar) as user_id, cast(l_partkey as varchar) as movie_id,
+       cast({HALF_STAR} as varchar) as rating, cast({SHIPPED} as varchar) as time, null as note
+from lineitem
+union all
+select cast(user_id as varchar), cast(event_id as varchar),
+       cast((cast(trunc(value) as integer) % 10 + 1) / 2.0::double as varchar),
+       cast(cast(floor(epoch(ts)) as bigint) as varchar),
+       'by ' || cast(event_id as varchar) || ', later' from events""",
     "S1_scan_csv": with_tables("movies", sql="""
 select cast(movie_id as bigint) as movie_id, title, title_full, trim(genres_raw) as genres_raw
 from movies"""),

@@ -292,6 +292,15 @@ def scan_csv(spark, sf):
     return tables.read_table(spark, R.canonical_csv(spark, sf), "movies")
 
 
+def scan_two_headers(spark, sf):
+    return tables.read_table(spark, R.two_headers(spark, sf), "ratings")
+
+
+def read_two_headers(spark, sf):
+    both = tables.read_dialect(spark, [R.two_headers(spark, sf)], ",")
+    return both.select("user_id", "movie_id", "rating", "time", "note")
+
+
 def scan_catalog(spark, sf):
     for name in ("movies", "ratings", "users"):
         getattr(B, name)(spark, sf).createOrReplaceTempView(f"bound_{name}")
@@ -582,6 +591,8 @@ QUERIES: dict[str, Query] = {
     "C7_title_full_fallback": canonical_movies,
     # sources and admission
     "S1_scan_csv": scan_csv,
+    "S1_scan_two_headers": scan_two_headers,
+    "S2_read_dialect": read_two_headers,
     "S3_scan_coloncolon_ratings": raw_dat("ratings"),
     "S3_scan_coloncolon_movies": raw_dat("movies"),
     "S3_scan_coloncolon_users": raw_dat("users"),

@@ -226,3 +226,19 @@ def canonical_csv(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "csv")
     movies(spark, sf).write.option("header", True).option("escape", '"').csv(path)
     return path
+
+
+@cache
+def two_headers(spark: SparkSession, sf: str) -> str:
+    """Ratings as CSV tables of two column orders, one with quotes and a column of its own."""
+    path = scratch_path(spark, "two-headers")
+    line = table(spark, sf, "lineitem")
+    user, movie = _text(F.col("l_orderkey")), _text(F.col("l_partkey"))
+    score, time = _text(half_star(F.col("l_quantity"))), _text(epoch_seconds(F.col("l_shipdate")))
+    _write_lines(F.concat_ws(",", user, movie, score, time), "user_id,movie_id,rating,timestamp",
+                 line, path)
+    event = _event_columns()
+    note = F.concat(F.lit('"by '), _text(F.col("event_id")), F.lit(', later"'))
+    _write_lines(F.concat_ws(",", event["score"], note, event["movie"], event["user"], event["time"]),
+                 '"rating",note,"movie_id",user_id,timestamp', table(spark, sf, "events"), path)
+    return path

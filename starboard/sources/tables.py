@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starboard.functions.columns import strip
+from starboard.functions.columns import not_blank, strip
 from starboard.operators.cleaning import (
     clean_movies,
     clean_ratings,
@@ -17,40 +17,79 @@ from starboard.operators.cleaning import (
     require_keys,
     typed,
 )
-from starboard.operators.mapping import fallbacks, normalized, rename_columns
-from starboard.schemas import HEADER_NAMES, RAW_COLUMNS
+from starboard.operators.mapping import fallbacks, normalized
+from starboard.schemas import ALIASES, CANONICAL, HEADER_NAMES, RAW_COLUMNS
+from starboard.session import stage
+from starboard.sources.dialects import cells_of, split_line
+from starboard.sources.sizes import small_enough
+
+
+def _headed(
+    spark: SparkSession, paths: str | Sequence[str], sep: str
+) -> tuple[DataFrame, DataFrame]:
+    """(file_path, names) of files of one delimiter, and (names, cells) of the lines below.
+
+    The first line of each file that is not blank is its header, wherever the file is split; lines
+    with the same fields further down are headers too. Headers are one row per file, broadcast if
+    they are measured to be small.
+    """
+    lines = spark.read.text(paths).where(not_blank("value")).select(
+        "value", F.col("_metadata.file_path").alias("file_path"), F.struct(
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row")).alias("pos"))
+    heads = stage(lines.groupBy("file_path").agg(
+        F.min_by(F.trim("value"), "pos").alias("head")), "heads")
+    fields = F.size(split_line(F.col("head"), F.lit(sep)))
+    width = max(heads.agg(F.max(fields)).first()[0] or 0, 2)
+
+    def name(cell: Column) -> Column:
+        return F.coalesce(normalized(cell), F.lit(""))
+
+    heads = heads.select("file_path", F.transform(
+        cells_of(F.col("head"), F.lit(sep), width), name).alias("names"))
+    cut = lines.select("value", "file_path").join(small_enough(heads), "file_path").select(
+        "names", cells_of(F.col("value"), F.lit(sep), width).alias("cells"))
+    # Most lines differ in the first field already.
+    header = (name(F.get("cells", F.lit(0))) == F.get("names", F.lit(0))) & (
+        F.transform(F.slice("cells", F.lit(1), F.size("names")), name) == F.col("names"))
+    return heads, cut.where(~header)
+
+
+def _cell(aliases: Sequence[str]) -> Column:
+    """The text below the first of some names that a line's file has; null if it has none."""
+    places = [F.nullif(F.array_position("names", name), F.lit(0).cast("bigint"))
+              for name in aliases]
+    place = (F.coalesce(*places) - 1).cast("int")
+    return F.nullif(strip(F.get("cells", place)), F.lit(""))
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A canonical table from CSV files with a header row, quoted values allowed.
 
-    The header names the columns, whatever their order, but one order for all files: reading
-    fails where a file's header differs from the first one's instead of swapping its columns.
-    Values that do not fit are null.
+    Each file's header names its columns, whatever their order. Columns a file does not have and
+    values that do not fit are null.
     """
-    frame = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .csv(path)
-    )
-    return typed(frame.withColumnsRenamed({"timestamp": "ts"}), table)
+    _, cells = _headed(spark, path, ",")
+    texts = cells.select(*[
+        _cell(("timestamp", "ts") if name == "ts" else (name,)).alias(name)
+        for name in CANONICAL[table].names])
+    return typed(texts, table)
 
 
 def read_dialect(spark: SparkSession, paths: Sequence[str], sep: str) -> DataFrame:
     """Header files of one delimiter, columns under canonical names, all values as text.
 
-    Reading fails where a file's header differs from the first one's.
+    Each file is read by its own header; a column that a file does not have is null there. The
+    names found in the headers come to the driver, each once.
     """
-    frame = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("sep", sep)
-        .option("quote", '"' if sep != "::" else "")
-        .option("escape", '"')
-        .csv(list(paths))
-    )
-    return rename_columns(frame)
+    heads, cells = _headed(spark, list(paths), sep)
+    found = [row[0] for row in heads.select(F.posexplode("names").alias("at", "name"))
+             .groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name")
+             .select("name").collect() if row[0]]
+    # The best name of a canonical column stands for all others that a file may have for it.
+    known = {name: canonical for canonical, names in ALIASES.items() for name in names}
+    columns = dict.fromkeys(known.get(name, name) for name in found)
+    return cells.select(*[_cell(ALIASES.get(name, (name,))).alias(name) for name in columns])
 
 
 def raw_lines(spark: SparkSession, path: str, kind: str) -> DataFrame:

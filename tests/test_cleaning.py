@@ -139,14 +139,33 @@ def test_header_tables(spark, folder, rows):
     assert tables.read_dialect(spark, [f"{path}/up.tsv"], "\t").columns == ["movie_id", "title", "genres"]
 
 
-def test_files_of_other_column_order_fail_instead_of_swapping(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("user_id,movie_id,rating\n1,2,3\n")
-    (tmp_path / "b.csv").write_text("movie_id,user_id,rating\n20,10,4\n")
-    paths = [str(tmp_path / name) for name in ("a.csv", "b.csv")]
-    with pytest.raises(Exception, match="header"):
-        tables.read_table(spark, str(tmp_path), "ratings").collect()
-    with pytest.raises(Exception, match="header"):
-        tables.read_dialect(spark, paths, ",").collect()
+def test_every_file_is_read_by_its_own_header(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text("user_id,movie_id,rating\n1,2,3\n\nuser_id,movie_id,rating\n5\n")
+    (tmp_path / "b.csv").write_text('\n"Rating","movie_id",note,user_id\n4,20,"a, b",10\n3,21,,11\n')
+    (tmp_path / "c.csv").write_text("ts,user_id\n7,3\n")
+    (tmp_path / "d.csv").write_text("")
+    paths = [str(tmp_path / f"{name}.csv") for name in "abcd"]
+    assert sorted(rows(tables.read_table(spark, str(tmp_path), "ratings")), key=repr) == sorted([
+        (1, 2, 3.0, None), (5, None, None, None), (10, 20, 4.0, None), (11, 21, 3.0, None),
+        (3, None, None, 7)], key=repr)
+    both = tables.read_dialect(spark, paths, ",")
+    assert set(both.columns) == {"user_id", "movie_id", "rating", "note", "time"}
+    assert rows(both, "user_id", "rating", "note", "time") == sorted([
+        ("1", "3", None, None), ("5", None, None, None), ("10", "4", "a, b", None),
+        ("11", "3", None, None), ("3", None, None, "7")], key=repr)
+
+
+def test_headers_count_across_splits_and_without_broadcast(spark, tmp_path, rows, monkeypatch):
+    (tmp_path / "a.csv").write_text("user_id,movie_id,rating\n" + "1,2,3\n" * 2000)
+    (tmp_path / "b.csv").write_text("rating,movie_id,user_id\n" + "3,2,1\n" * 2000)
+    monkeypatch.setattr("starboard.sources.sizes.BROADCAST_BYTES", -1)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        found = tables.read_table(spark, str(tmp_path), "ratings")
+        assert found.rdd.getNumPartitions() >= 1
+        assert rows(found.distinct()) == [(1, 2, 3.0, None)] and found.count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_catalog(spark, rows):
