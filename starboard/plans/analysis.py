@@ -37,6 +37,7 @@ def analyze_all(
     movie_scope: str = "rated",
     users_from: str = "profiles",
     stage: Stage = _lazy,
+    distinct: str = "exact",
 ) -> dict[str, DataFrame]:
     """Mart name -> frame, for the marts the given tables allow.
 
@@ -57,24 +58,25 @@ def analyze_all(
             marts["top_movies"] = A.rank_movies(per_movie, frames.movies, min_count, k)
         if frames.movie_genres is not None:
             marts["genre_stats"] = A.summarise_genres(
-                per_movie, frames.movie_genres, movie_scope
+                per_movie, frames.movie_genres, movie_scope, distinct
             )
     marts["active_users"] = A.rank_users(per_user, frames.users, k)
     if frames.users is not None:
-        marts.update(_demographics(per_user, frames.users, k, user_scope, stage))
-    marts["dashboard_summary"] = A.summarise(per_user, frames.movies, frames.users, users_from)
+        marts.update(_demographics(per_user, frames.users, k, user_scope, stage, distinct))
+    marts["dashboard_summary"] = A.summarise(
+        per_user, frames.movies, frames.users, users_from, distinct)
     return marts
 
 
 def _demographics(
-    per_user: DataFrame, users: DataFrame, k: int, user_scope: str, stage: Stage
+    per_user: DataFrame, users: DataFrame, k: int, user_scope: str, stage: Stage, distinct: str
 ) -> dict[str, DataFrame]:
     if "age" in users.columns:
         users = A.with_age_group(users)
     keys = [key for key in ("gender", "age_group", "occupation") if key in users.columns]
     if not keys:
         return {}
-    rollup = stage(A.demographic_rollup(per_user, users, keys, user_scope), "rollup")
+    rollup = stage(A.demographic_rollup(per_user, users, keys, user_scope, distinct), "rollup")
     reports = {
         "gender": ("gender_comparison", A.gender_report),
         "age_group": ("age_group_stats", A.age_group_report),

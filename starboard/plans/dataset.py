@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from starboard.operators.cleaning import ROW_OK, movie_genres
+from starboard.operators.cleaning import REASONS, ROW_OK, movie_genres
+from starboard.operators.mapping import ROLES
 from starboard.plans import marts as M
 from starboard.plans.analysis import Frames, analyze_all
 from starboard.schemas import EXTENSIONS
@@ -15,6 +17,8 @@ from starboard.session import size_shuffles, stage
 from starboard.sources.dialects import admission_report, sniff_dialect
 from starboard.sources.lines import list_files, scan_lines
 from starboard.sources.parsing import (
+    HEADER,
+    TOO_FEW_FIELDS,
     canonical_movies,
     canonical_ratings,
     canonical_users,
@@ -27,6 +31,10 @@ from starboard.sources.profiles import with_profiles
 from starboard.sources.tables import read_raw_dat
 
 
+# What can become of a line.
+OUTCOMES = (ROW_OK, HEADER, TOO_FEW_FIELDS, *REASONS)
+
+
 class DatasetRejected(ValueError):
     """Nothing in the folder can be analysed."""
 
@@ -37,6 +45,8 @@ class Dataset:
     admission: DataFrame
     quarantine: DataFrame
     lines: DataFrame
+    # Role -> outcome -> rows, counted while the rows were written.
+    quality: Mapping[str, Mapping[str, int]] = field(default_factory=dict)
 
 
 def load_dataset(
@@ -63,8 +73,13 @@ def load_dataset(
     size = measure(dialects)
     if size.files == 0:
         raise DatasetRejected(f"no acceptable file in {path}")
-    rows = stage(parse_rows(lines, dialects, lo, hi, size), "rows")
-    found = _found(rows, dialects)
+    parsed = parse_rows(lines, dialects, lo, hi, size)
+    counted = Observation("rows")
+    outcomes = [F.count_if((F.col("role") == role) & (F.col("reason") == reason)).alias(
+        f"{role}:{reason}") for role in ROLES for reason in OUTCOMES]
+    rows = stage(parsed.observe(counted, *outcomes), "rows")
+    quality = counted.get
+    found = _found(quality, dialects)
     if "rating" not in found.get("ratings", {}):
         raise DatasetRejected(f"no usable rating in {path}")
     return Dataset(
@@ -72,21 +87,31 @@ def load_dataset(
         admission=admission,
         quarantine=quarantine_of(rows),
         lines=line_counts(rows, dialects),
+        quality=_by_role(quality),
     )
 
 
-def _found(rows: DataFrame, dialects: DataFrame) -> dict[str, set[str]]:
+def _by_role(counts: dict[str, int]) -> dict[str, dict[str, int]]:
+    """Role -> outcome -> rows, without those that are none."""
+    quality: dict[str, dict[str, int]] = {}
+    for name, n in counts.items():
+        role, reason = name.split(":")
+        if n:
+            quality.setdefault(role, {})[reason] = n
+    return quality
+
+
+def _found(counts: dict[str, int], dialects: DataFrame) -> dict[str, set[str]]:
     """Role -> canonical columns any of its files has, for roles with a usable row.
 
     At most three rows come to the driver.
     """
-    used = rows.where(F.col("reason") == ROW_OK).groupBy("role").agg(F.count(F.lit(1)).alias("n"))
     names = dialects.schema["at"].dataType.names
     present = dialects.where("role is not null").groupBy("role").agg(
         *[F.max(F.col("at")[name].isNotNull()).alias(name) for name in names]
     )
-    collected = present.join(used, "role").collect()
-    return {row["role"]: {name for name in names if row[name]} for row in collected}
+    return {row["role"]: {name for name in names if row[name]} for row in present.collect()
+            if counts[f"{row['role']}:{ROW_OK}"]}
 
 
 def _frames(rows: DataFrame, found: dict[str, set[str]]) -> Frames:
@@ -121,7 +146,7 @@ def analyze_dataset(
     options.setdefault("user_scope", "all")
     options.setdefault("users_from", "ratings")
     frames = _analyze(dataset.frames, root, dataset_id, name, min_count, options)
-    return Dataset(frames, dataset.admission, dataset.quarantine, dataset.lines)
+    return replace(dataset, frames=frames)
 
 
 def load_raw_dataset(spark: SparkSession, path: str) -> Frames:

@@ -17,10 +17,12 @@ from starboard import snapshots
 from starboard.functions.columns import label_rank
 from starboard.operators.analyses import summary_from_ratings
 from starboard.operators.mapping import PROFILE_DEFAULTS, default_fill
+from starboard.operators.sketches import distinct_sketches, estimates, united
 from starboard.plans.analysis import Frames
 from starboard.schemas import CANONICAL, DEFAULT_DATASET, MARTS, REGISTRY
 
 REGISTRY_TABLE = "datasets"
+SKETCHES = "distinct_sketches"
 _CANONICAL_PREFIX = "canonical_"
 
 
@@ -126,7 +128,8 @@ def rewrite_dataset(
     with snapshots.Change(spark, dataset_folder(root, dataset_id)) as change:
         change.put(_conformed_tables(frames))
         written = Frames(**{table: change.read(_CANONICAL_PREFIX + table) for table in CANONICAL})
-        change.put(_conformed_marts(analyze(written)))
+        change.put({**_conformed_marts(analyze(written)), SKETCHES: distinct_sketches(
+            written.ratings, written.movies, written.users, written.movie_genres)})
         summary = change.read("dashboard_summary")
         row = _registry_row(spark, dataset_id, name, known, summary, written.ratings)
         change.put({REGISTRY_TABLE: row})
@@ -239,6 +242,27 @@ def read_mart(spark: SparkSession, root: str, name: str, dataset_id: int) -> Dat
     return _empty(spark, MARTS[name]) if mart is None else mart
 
 
+def write_sketches(frames: Frames, root: str, dataset_id: int) -> None:
+    """Replace the distinct-count sketches of a dataset."""
+    sketches = distinct_sketches(frames.ratings, frames.movies, frames.users, frames.movie_genres)
+    snapshots.replace(frames.ratings.sparkSession, dataset_folder(root, dataset_id),
+                      {SKETCHES: sketches})
+
+
+def united_counts(
+    spark: SparkSession, root: str, dataset_ids: Sequence[int] | None = None
+) -> DataFrame:
+    """(measure, label, estimate): different users and movies of several datasets taken together,
+    or of all, from their sketches alone."""
+    schema = T.StructType([T.StructField("measure", T.StringType()),
+                           T.StructField("label", T.StringType()),
+                           T.StructField("sketch", T.BinaryType())])
+    stored = read_all(spark, root, SKETCHES, schema)
+    if dataset_ids is not None:
+        stored = stored.where(F.col("dataset_id").isin([checked_id(i) for i in dataset_ids]))
+    return estimates(united(stored))
+
+
 # Fixed value: rows in the views of top movies and occupations.
 VIEW_ROWS = 20
 

@@ -92,13 +92,26 @@ def read_dialect(spark: SparkSession, paths: Sequence[str], sep: str) -> DataFra
     return cells.select(*[_cell(ALIASES.get(name, (name,))).alias(name) for name in columns])
 
 
+# Stands for a replacement character that a line came with, while bad bytes are made such.
+_KEPT = "\x01\x02\x01"
+
+
+def readable(text: str) -> Column:
+    """The text without bytes that are no UTF-8; a replacement character it came with stays."""
+    marked = F.replace(text, F.lit("\ufffd"), F.lit(_KEPT))
+    repaired = F.replace(F.make_valid_utf8(marked), F.lit("\ufffd"), F.lit(""))
+    return F.when(F.is_valid_utf8(text), F.col(text)).otherwise(
+        F.replace(repaired, F.lit(_KEPT), F.lit("\ufffd")))
+
+
 def raw_lines(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Text columns of a headerless '::' file; blank, header and short lines are dropped."""
+    """Text columns of a headerless '::' file; blank, header and short lines are dropped, and so
+    are bytes that are no UTF-8."""
     names = RAW_COLUMNS[kind]
     parts = F.split(F.col("line"), "::", -1)
     rows = (
         spark.read.text(path)
-        .select(strip("value").alias("line"))
+        .select(strip(readable("value")).alias("line"))
         .where("line <> ''")
         .select(parts.alias("parts"))
         .where(F.size("parts") >= len(names))

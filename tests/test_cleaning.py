@@ -172,3 +172,16 @@ def test_catalog(spark, rows):
     spark.range(3).createOrReplaceTempView("counted")
     assert rows(tables.catalog_counts(spark).where(F.col("tbl") == "counted")) == [("counted", 3)]
     assert tables.preview(spark, "counted", 2).count() == 2
+
+
+def test_bytes_that_are_no_utf8_are_dropped(spark, tmp_path, rows):
+    lines = [b"1::Caf\xc3\xa9 \xff\xfe(1999)::Drama", b"2::\xe2\x82::War", b"3::\xc3::Drama|W\x80ar",
+             "4::kept � here::War".encode(), "5::kept �".encode() + b"\xf0\x9f\x98 so::War",
+             b"\xff6::six::War", "7::\U0001f600::War".encode()]
+    (tmp_path / "movies.dat").write_bytes(b"\n".join(lines) + b"\n")
+    expected = []
+    for line in lines:
+        number, title, genres = line.decode(errors="ignore").split("::")
+        expected.append((int(number), title.replace(" (1999)", ""), title, genres))
+    found = tables.read_raw_dat(spark, str(tmp_path / "movies.dat"), "movies")
+    assert rows(found) == sorted(expected, key=repr)
