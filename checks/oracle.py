@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from checks.bindings import SQL, age_case, with_tables
-from starboard.schemas import OCCUPATIONS
 
 
 def half_up(x: str, digits: int) -> str:
@@ -242,6 +241,13 @@ DIRTY = f"""dirty as (
   from lineitem)"""
 
 CUSTOMER_LETTER = "case c_custkey % 4 when 0 then 'M' when 1 then 'm' when 2 then 'F' else 'x' end"
+# Occupation labels by code, 0 to 20.
+OCCUPATIONS = (
+    "other", "academic/educator", "artist", "clerical/admin", "college/grad student",
+    "customer service", "doctor/health care", "executive/managerial", "farmer", "homemaker",
+    "K-12 student", "lawyer", "programmer", "retired", "sales/marketing", "scientist",
+    "self-employed", "technician/engineer", "tradesman/craftsman", "unemployed", "writer",
+)
 _LABELS = "[" + ", ".join("'" + label + "'" for label in OCCUPATIONS) + "]"
 CUSTOMER_JOB = f"coalesce(list_extract({_LABELS}, cast(c_custkey % 25 as integer) + 1), 'unknown')"
 
@@ -494,6 +500,43 @@ select cast(c_custkey as bigint) as user_id,
        coalesce({age_case(f"({MESSY_AGE})")}, '?') as age_group,
        c_mktsegment as occupation, '12345' as zipcode from customer""",
     "S6_sniff_dialect": _dialects(),
+    "S3_undecodable_titles": r"""
+select distinct cast(p_partkey as bigint) as movie_id, p_name || ' é' as title,
+       p_type as genres_raw from part""",
+    "S7_strip_bom": """
+select cast(user_id as bigint) as user_id, cast(event_id as bigint) as movie_id,
+       (cast(trunc(value) as integer) % 10 + 1) / 2.0::double as rating,
+       cast(floor(epoch(ts)) as bigint) as ts from events""",
+    "V9_V10_gates": """
+select 'prose' as folder, 'no acceptable file' as reason, count(*) as n_lines from region
+union all select 'movies', 'no usable rating',
+       (select count(*) from part) + (select count(*) from nation)
+union all select 'words', 'no usable rating', count(*) from supplier""",
+    "T5_ingest_quality": f"""with outcomes as ({DAMAGE})
+select 'ratings' as role, reason, count(*) as n from outcomes where reason <> 'header' group by reason
+union all select 'movies', 'ok', (select count(*) from part) + (select count(*) from nation)
+union all select 'users', 'ok', count(*) from customer""",
+    "Q13_marts_without_users": with_tables("ratings", "movies", "genres", sql=f"""
+select 'rating_distribution' as mart, count(*) as n from ({SCORES})
+union all select 'top_movies', count(*) from ({TOP_MOVIES})
+union all select 'genre_stats', count(*) from ({genre_stats()})
+union all select 'active_users', least(20, count(distinct user_id)) from ratings
+union all select 'dashboard_summary', 1"""),
+    "G7_approximate_distinct": with_tables("ratings", "genres", sql=f"""
+select genre_name, movie_count, true as is_close, rating_count from ({genre_stats()})"""),
+    "G7_united_sketches": with_tables("ratings", "movies", sql="""
+select 'raters' as measure, count(distinct user_id) as n, true as is_close from ratings
+union all select 'rated_movies', count(distinct movie_id), true from ratings
+union all select 'movies', count(distinct movie_id), true from movies"""),
+    "K1_append": with_tables("ratings", sql=f"""
+select score, count, percentage from ({SCORES}), range(2)"""),
+    "K5_inserted_ratings": with_tables("ratings", sql="""
+select cast(user_id as bigint) as user_id, cast(movie_id as bigint) as movie_id, rating, ts
+from ratings"""),
+    "K5_inserted_movies": with_tables("movies", sql="select * from movies"),
+    "K5_inserted_users": with_tables("users", sql="""
+select cast(user_id as bigint) as user_id, gender, age, age_group, occupation from users"""),
+    "K5_inserted_genres": with_tables("genres", sql="select * from genres"),
     "S9_scan_catalog": with_tables("ratings", "movies", "users", sql="""
 select 'bound_movies' as tbl, count(*) as cnt from movies union all
 select 'bound_ratings', count(*) from ratings union all

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import bindings as B
@@ -17,11 +17,18 @@ from starboard.operators import mapping
 from starboard.operators import present as P
 from starboard.plans import marts as M
 from starboard.plans.analysis import Frames, analyze_all
-from starboard.plans.dataset import Dataset, analyze_dataset, analyze_raw_dataset, load_dataset
+from starboard.plans.dataset import (
+    Dataset,
+    DatasetRejected,
+    analyze_dataset,
+    analyze_raw_dataset,
+    load_dataset,
+)
 from starboard.session import scratch_path, size_shuffles, stage
 from starboard.sources import tables
 from starboard.sources.dialects import admission_report, sniff_dialect
 from starboard.sources.lines import list_files, scan_lines
+from starboard.sources.parsing import HEADER
 from starboard.sources.profiles import with_profiles
 from starboard.streaming import ratings as X
 from starboard.streaming import uploads as U
@@ -301,6 +308,39 @@ def read_two_headers(spark, sf):
     return both.select("user_id", "movie_id", "rating", "time", "note")
 
 
+def strip_mark(spark, sf):
+    return tables.read_table(spark, R.marked_csv(spark, sf), "ratings")
+
+
+def undecodable(spark, sf):
+    movies = tables.read_raw_dat(spark, R.broken_titles(spark, sf), "movies")
+    return movies.select("movie_id", "title", "genres_raw")
+
+
+def gates(spark, sf):
+    """Folders that are rejected as a whole, with the gate that does it and their lines."""
+    found = []
+    for name, path in R.unusable_folders(spark, sf).items():
+        try:
+            load_dataset(spark, path)
+            reason = "accepted"
+        except DatasetRejected as rejected:
+            reason = str(rejected).partition(" in ")[0]
+        # Headers stand in each file; how many files there are is left to Spark.
+        lines = scan_lines(spark, path).where(~F.startswith("value", F.lit("movie_id,")) & ~F.startswith(
+            "value", F.lit("user_id,")))
+        found.append(lines.agg(F.count(F.lit(1)).alias("n_lines")).select(
+            F.lit(name).alias("folder"), F.lit(reason).alias("reason"), "n_lines"))
+    return reduce(DataFrame.unionAll, found)
+
+
+def ingest_quality(spark, sf):
+    """Outcomes as counted while the rows were written."""
+    rows = [(role, reason, n) for role, counts in messy_dataset(spark, sf).quality.items()
+            for reason, n in counts.items() if reason != HEADER]
+    return spark.createDataFrame(rows, "role string, reason string, n long")
+
+
 def scan_catalog(spark, sf):
     for name in ("movies", "ratings", "users"):
         getattr(B, name)(spark, sf).createOrReplaceTempView(f"bound_{name}")
@@ -430,6 +470,60 @@ def upload(spark, sf):
     return _written(spark, root, 5)
 
 
+def appended(spark, sf):
+    """A mart appended twice holds its rows twice."""
+    root = scratch_path(spark, "append")
+    scores = A.rating_distribution(B.ratings(spark, sf))
+    for _ in range(2):
+        M.append_mart(scores, root, "rating_distribution", 1)
+    return _plain(M.read_mart(spark, root, "rating_distribution", 1))
+
+
+def inserted(table: str, *columns: str) -> Query:
+    return lambda spark, sf: getattr(M.read_canonical(
+        spark, canonical_root(spark, sf), 7), table).select(*columns)
+
+
+def without_users(spark, sf):
+    """Rows of the marts that can be computed without profiles."""
+    frames = bound_frames(spark, sf)
+    marts = analyze_all(Frames(frames.ratings, frames.movies, None, frames.movie_genres), stage=stage)
+    return reduce(DataFrame.unionAll, [mart.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(name).alias("mart"), "n") for name, mart in marts.items()])
+
+
+# Three standard errors of a sketch.
+CLOSE = 3 * 1.04 / 2 ** (A.PRECISION / 2)
+
+
+def _close(counts: DataFrame, exact: str, estimate: str) -> Column:
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.greatest(F.lit(1.0), CLOSE * F.col(exact))
+
+
+def approximate_distinct(spark, sf):
+    """Movies per genre, counted exactly, and whether the sketch comes close."""
+    frames = bound_frames(spark, sf)
+    exact, rough = [A.genre_stats(frames.ratings, frames.movie_genres, distinct=how)
+                    for how in ("exact", "approx")]
+    both = exact.join(rough.select("genre_name", F.col("movie_count").alias("estimate")), "genre_name")
+    return both.select("genre_name", "movie_count", _close(
+        both, "movie_count", "estimate").alias("is_close"), "rating_count")
+
+
+def united_sketches(spark, sf):
+    """Users and movies of two datasets together, from their stored sketches alone."""
+    root = scratch_path(spark, "sketches")
+    ratings = B.ratings(spark, sf)
+    for number, side in enumerate(("user_id >= 0", "user_id < 0"), start=1):
+        M.write_sketches(Frames(ratings.where(side), B.movies(spark, sf)), root, number)
+    exact = reduce(DataFrame.unionAll, [
+        frame.agg(F.count_distinct(key).alias("n")).select(F.lit(name).alias("measure"), "n")
+        for name, frame, key in (("raters", ratings, "user_id"), ("rated_movies", ratings, "movie_id"),
+                                 ("movies", B.movies(spark, sf), "movie_id"))])
+    both = M.united_counts(spark, root).join(exact, "measure")
+    return both.select("measure", "n", _close(both, "n", "estimate").alias("is_close"))
+
+
 def json_scores(spark, sf):
     return P.json_rows(M.mart_view(spark, mart_root(spark, sf), "rating_distribution", 1))
 
@@ -597,7 +691,19 @@ QUERIES: dict[str, Query] = {
     "S3_scan_coloncolon_movies": raw_dat("movies"),
     "S3_scan_coloncolon_users": raw_dat("users"),
     "S6_sniff_dialect": dialects,
+    "S3_undecodable_titles": undecodable,
+    "S7_strip_bom": strip_mark,
     "S9_scan_catalog": scan_catalog,
+    "V9_V10_gates": gates,
+    "T5_ingest_quality": ingest_quality,
+    "Q13_marts_without_users": without_users,
+    "G7_approximate_distinct": approximate_distinct,
+    "G7_united_sketches": united_sketches,
+    "K1_append": appended,
+    "K5_inserted_ratings": inserted("ratings", "user_id", "movie_id", "rating", "ts"),
+    "K5_inserted_movies": inserted("movies", "movie_id", "title", "title_full", "genres_raw"),
+    "K5_inserted_users": inserted("users", "user_id", "gender", "age", "age_group", "occupation"),
+    "K5_inserted_genres": inserted("movie_genres", "movie_id", "title", "genre"),
     "V1_V3_admission_report": admission,
     "V6_V8_line_outcomes": line_outcomes,
     "V8_ingest_quarantine": ingest_quarantine,

@@ -242,3 +242,37 @@ def two_headers(spark: SparkSession, sf: str) -> str:
     _write_lines(F.concat_ws(",", event["score"], note, event["movie"], event["user"], event["time"]),
                  '"rating",note,"movie_id",user_id,timestamp', table(spark, sf, "events"), path)
     return path
+
+
+@cache
+def marked_csv(spark: SparkSession, sf: str) -> str:
+    """Ratings as CSV tables whose files begin with a byte order mark."""
+    path = scratch_path(spark, "marked")
+    lines = F.concat_ws(",", *_event_columns().values())
+    _write_lines(lines, "\ufeffuser_id,movie_id,rating,timestamp", table(spark, sf, "events"), path)
+    return path
+
+
+@cache
+def broken_titles(spark: SparkSession, sf: str) -> str:
+    """Headerless movies whose titles hold bytes that are no UTF-8."""
+    path = scratch_path(spark, "broken")
+    parts = table(spark, sf, "part")
+    bad = F.element_at(F.array(*[F.unhex(F.lit(code)).cast("string") for code in (
+        "FF", "E282", "C3", "F09F98")]), (F.col("p_partkey") % 4 + 1).cast("int"))
+    parts.select(F.concat(
+        _text(F.col("p_partkey")), F.lit("::"), bad, "p_name", bad, F.lit(" \u00e9::"), "p_type")
+    ).write.text(path)
+    return path
+
+
+@cache
+def unusable_folders(spark: SparkSession, sf: str) -> dict[str, str]:
+    """Folders that have to be rejected: prose, movies alone, ratings that are no numbers."""
+    paths = {name: scratch_path(spark, name) for name in ("prose", "movies", "words")}
+    table(spark, sf, "region").select("r_name").write.text(paths["prose"])
+    _write_lines(F.concat_ws(",", _text(F.col("movie_id")), "title"), "movie_id,title",
+                 movies(spark, sf), paths["movies"])
+    _write_lines(F.concat_ws(",", _text(F.col("s_suppkey")), F.lit("1"), F.lit("good")),
+                 "user_id,movie_id,rating", table(spark, sf, "supplier"), paths["words"])
+    return paths
