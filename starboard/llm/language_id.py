@@ -7,11 +7,11 @@ language whose text needs the fewest phrases per letter wins.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +31,8 @@ REMEMBERED = 300_000
 # Characters of text parsed together.
 PORTION = 1_000_000
 
-_WORD = re.compile(r"[^\W\d_]+")
+# Letters are the characters of the categories L*; fractions or Roman numerals are none.
+_WORD = regex.compile(r"\p{L}+")
 _READY: dict[int, tuple] = {}
 
 
