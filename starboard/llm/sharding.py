@@ -8,12 +8,14 @@ in which few slots have another shard, and records follow their slot.
 from __future__ import annotations
 
 import bisect
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from starboard.llm.common import small
 from starboard.session import scratch_path, stage
 
 SLOTS = 16_384
@@ -22,9 +24,9 @@ MAP_SCHEMA = "version int, slot int, shard int, bytes long, n_rows long"
 TOLERANCE = 0.0005
 
 
-def slot_of(key: Column, slots: int = SLOTS) -> Column:
-    """Slot of a record's key; records without a key share one slot."""
-    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+def slot_of(*key: Column, slots: int = SLOTS) -> Column:
+    """Slot of a record by its key columns; records of the same ones share a slot."""
+    return F.pmod(F.xxhash64(*key), F.lit(slots)).cast("int")
 
 
 def slot_weights(records: DataFrame) -> dict[int, tuple[int, int]]:
@@ -124,19 +126,28 @@ def shard_documents(docs: DataFrame, shards: int = 8, slots: int = SLOTS,
 
     Returns doc_id, size (UTF-8 bytes of the text, none for null, plus 1), text_crc32 (of an
     empty text for null), law ``bytes``, shard, slot (place within the shard, gapless from 0),
-    grown_shard (null), virtual_slot and map_version. Rows of one doc_id, also of a null one,
-    share a virtual slot; repeated rows each have a place. An empty table gives no rows.
+    grown_shard (null), virtual_slot and map_version. A row's virtual slot follows from its doc_id
+    and text; rows that repeat both, or have no id and the same text, are numbered and spread over
+    all slots, so that bytes stay even. Each row has a place. An empty table gives no rows.
 
     The driver holds ``slots`` numbers. Places are numbered within virtual slots, which are
     small and even, and moved by the rows of the shard's slots before them.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
-    records = stage(docs.select(
+    key = ["doc_id", "text_crc32", "size"]
+    read = stage(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        slot_of(F.col("doc_id"), slots).alias("virtual_slot")), "shard-records")
+        F.monotonically_increasing_id().alias("row")), "shard-rows")
+    repeated = stage(read.groupBy(key).count().where("count > 1").select(
+        *[F.col(name).alias(f"_{name}") for name in key]), "shard-repeated")
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in key])
+    number = F.when(F.col("_size").isNotNull(), F.col("row"))
+    records = stage(read.join(small(repeated), same, "left").select(
+        *key, "row", slot_of(*map(F.col, key), number, slots=slots).alias("virtual_slot")),
+        "shard-records")
     weights = slot_weights(records.select(F.col("virtual_slot").alias("slot"), "size"))
     path = map_path or scratch_path(spark, "shard-map")
     start, sizes = first_map(shards, slots), [weights.get(s, (0, 0))[0] for s in range(slots)]
@@ -148,7 +159,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, slots: int = SLOTS,
     places = F.broadcast(chosen.select(
         F.col("slot").alias("virtual_slot"), "shard", F.col("version").alias("map_version"),
         F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("first_place")))
-    inside = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
+    inside = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size", "row")
     return records.withColumn("nth", F.row_number().over(inside) - 1).join(
         places, "virtual_slot").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
