@@ -56,7 +56,9 @@ def topic_of(text: Column) -> Column:
     symbols = F.length(F.regexp_replace(body, r"[\p{L}\p{N}\s.,]+", ""))
     return (F.when(body.rlike("licen[sc]e|copyright|all rights reserved"), "notices")
             .when(symbols * 10 > F.length(body), "markup")
-            .when(body.rlike(r"[\w.+-]+@[\w-]+\.\w+|\d{3}[ -]\d{4}"), "contacts")
+            # One character before the sign shows an address; a run of them would be tried from
+            # each of its characters on.
+            .when(body.rlike(r"[\w.+-]@[\w-]++\.\w|\d{3}[ -]\d{4}"), "contacts")
             .when(F.length(body) < 200, "notes").otherwise("prose"))
 
 
