@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starboard.llm.byte_bpe import Encoder, runs
-from starboard.llm.common import BROADCAST_ROWS
+from starboard.llm.byte_bpe import Encoder
+from starboard.llm.common import BROADCAST_ROWS, runs
 from starboard.llm.packing import SPLIT
 from starboard.session import stage
 

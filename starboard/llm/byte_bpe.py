@@ -16,11 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starboard.llm.common import runs
+
 #: No pair: above every rank.
 NONE = np.int32(2**31 - 1)
 # Cells of one matrix, bytes of text encoded together, and bytes held for pieces whose ids are
@@ -225,16 +226,6 @@ class Encoder:
             yield b"".join(map(self.known.__getitem__, pieces))
 
 
-def runs(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
-    """Cuts of a batch into runs of rows of about ``most`` bytes of text, one row at least."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-    start, done = 0, 0
-    while start < len(ends):
-        stop = max(int(np.searchsorted(ends, done + most, side="right")), start + 1)
-        yield start, stop
-        start, done = stop, ends[stop - 1]
-
-
 def encode(docs: DataFrame, ranks: str, pattern: str, column: str = "text",
            ids: str = "ids") -> DataFrame:
     """``docs`` with the column ``ids``: the ids of the whole text, as array<int>.

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +28,16 @@ def small(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
 
 
+def runs(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Cuts of a batch into runs of rows of about ``most`` bytes of text, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start, done = 0, 0
+    while start < len(ends):
+        stop = max(int(np.searchsorted(ends, done + most, side="right")), start + 1)
+        yield start, stop
+        start, done = stop, ends[stop - 1]
+
+
 def without_ids(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` without the ids in ``dropped`` (one column); a null id is an id like others."""
     gone = stage(dropped.toDF("_gone").distinct(), "dropped")

@@ -13,11 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from starboard.llm.common import components, small
+from starboard.llm.common import components, runs, small
 from starboard.session import stage
 
 WORDS = 5
@@ -115,6 +116,21 @@ def _blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield block
 
 
+def _in_blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """Ids and sets of the rows (doc_id, text) of a batch, as many at once as make a block."""
+    for start, stop in runs(batch.column(1), BLOCK):
+        texts = batch.column(1).slice(start, stop - start).cast(pa.binary()).to_pylist()
+        yield batch.column(0).slice(start, stop - start), shingle_hashes(
+            [text or b"" for text in texts])
+
+
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    """Arrays of numbers as one column of lists."""
+    ends = np.cumsum([0, *map(len, values)])
+    flat = np.concatenate([np.zeros(0, dtype=np.int64), *values])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+
+
 def _as_bytes(texts: pd.Series) -> list[bytes]:
     return [t.encode() if isinstance(t, str) else b"" for t in texts]
 
@@ -131,18 +147,12 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
 
 def signatures(docs: DataFrame) -> DataFrame:
     """Per row of (doc_id, text): size and key of its shingle set, band keys, packed bits."""
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, at = batch["doc_id"], 0
-            for block in _blocks(_as_bytes(batch["text"])):
-                sets = shingle_hashes(block)
-                out = pd.DataFrame({"doc_id": ids.iloc[at:at + len(block)].to_numpy(),
-                                    "n_shingles": [len(s) for s in sets]})
-                at += len(block)
-                out["k1"] = np.array([s.sum(dtype=np.uint64) for s in sets],
-                                     dtype=np.uint64).view(np.int64)
-                out["k2"] = np.array([np.bitwise_xor.reduce(_mixed(s + np.uint64(1)))
-                                      for s in sets], dtype=np.uint64).view(np.int64)
+            for ids, sets in _in_blocks(batch):
+                k1 = np.array([s.sum(dtype=np.uint64) for s in sets], dtype=np.uint64)
+                k2 = np.array([np.bitwise_xor.reduce(_mixed(s + np.uint64(1))) for s in sets],
+                              dtype=np.uint64)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 bands = [np.zeros(0, dtype=np.int64)] * len(sets)
                 bits = [np.zeros(LONGS, dtype=np.int64)] * len(sets)
@@ -156,10 +166,12 @@ def signatures(docs: DataFrame) -> DataFrame:
                     packed = np.bitwise_or.reduce(low, axis=2).view(np.int64)
                     for i, k, p in zip(full, keys, packed, strict=True):
                         bands[i], bits[i] = k, p
-                out["bands"], out["bits"] = bands, bits
-                yield out
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(k1.view(np.int64)),
+                     pa.array(k2.view(np.int64)), _lists(bands), _lists(bits)],
+                    names=["doc_id", "n_shingles", "k1", "k2", "bands", "bits"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         sign, SIGNATURE)
 
 
@@ -176,20 +188,17 @@ def estimate(a: str, b: str) -> Column:
 
 def sketches(docs: DataFrame) -> DataFrame:
     """Per row of (doc_id, text) the ``SKETCH`` smallest hashes of its set, and how far they reach."""
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, at = batch["doc_id"], 0
-            for block in _blocks(_as_bytes(batch["text"])):
+            for ids, found in _in_blocks(batch):
                 # The highest bit flipped, signed numbers sort as the unsigned ones did.
-                sets = [(s ^ np.uint64(1 << 63)).view(np.int64) for s in shingle_hashes(block)]
-                yield pd.DataFrame({
-                    "doc_id": ids.iloc[at:at + len(block)].to_numpy(),
-                    "least": [s[:SKETCH] for s in sets],
-                    "reach": [s[SKETCH - 1] if len(s) > SKETCH else WHOLE
-                              for s in sets]})
-                at += len(block)
-
-    return docs.select("doc_id", "text").mapInPandas(
+                sets = [(s ^ np.uint64(1 << 63)).view(np.int64) for s in found]
+                yield pa.RecordBatch.from_arrays(
+                    [ids, _lists([s[:SKETCH] for s in sets]), pa.array(
+                        [int(s[SKETCH - 1]) if len(s) > SKETCH else WHOLE for s in sets],
+                        pa.int64())], names=["doc_id", "least", "reach"])
+
+    return docs.select("doc_id", "text").mapInArrow(
         sketch, "doc_id long, least array<long>, reach long")
 
 
