@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import random
 import re
 import unicodedata
 import zlib
@@ -515,7 +516,7 @@ def _plain_stages(rows, uniform):
     def bare(text):
         return re.sub(r"[\x20\x09-\x0D]", "", text)
 
-    rows = [(k, t or "", lang, src) for k, t, lang, src in rows if re.search(r"[^\W\d_]", t or "")]
+    rows = [(k, t or "", lang, src) for k, t, lang, src in rows if any(c.isalpha() for c in t or "")]
     yield "language_id", {k for k, *_ in rows}
     first = {}
     for row in sorted(rows, key=lambda r: (-len(r[1]), r[0])):
@@ -586,3 +587,99 @@ def test_pipeline_judges_rows_without_or_with_repeated_ids(spark, tmp_path):
     # One of the base texts, of the other words and of "x 1", and the six others.
     assert docs.count() == 9
     assert corpus_pipeline.run(spark, str(tmp_path)).count() <= 9
+
+
+def test_numerals_are_no_letters(spark):
+    sample = {"en": ["word", "other"], "fr": ["mot", "autre"]}
+    rows = [(1, "½ ² ③"), (2, "Ⅷ"), (3, "１２ ٣"), (4, "½word")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs, sample).collect()}
+    assert got[1] == got[2] == got[3] == (language_id.UNKNOWN, 0.0)
+    assert got[4][0] == "en"
+
+
+def test_bytes_are_even_whatever_the_ids(spark):
+    """Rows without id, of one id, and equal ones with a third of all rows each."""
+    rows = [(None, f"text {i} " + "x" * (i % 50)) for i in range(2000)]
+    rows += [(7, f"note {i} " + "y" * (i % 50)) for i in range(2000)]
+    rows += [(8, "the same row " * 3)] * 2000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sharding.shard_documents(docs, shards=8).collect()
+    held, places = Counter(), defaultdict(list)
+    for r in got:
+        held[r.shard] += r.size
+        places[r.shard].append(r.slot)
+    assert len(got) == 6000 and max(held.values()) - min(held.values()) <= 0.01 * sum(held.values()) / 8
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def test_topics_of_long_words_take_linear_time(spark):
+    rows = [("a" * 1_000_000,), ("a.b@" * 250_000,), ("write to a.b@c-d.org now " + "z" * 300,),
+            ("call 555 1234 " + "z" * 300,), ("a@b " * 100,)]
+    docs = spark.createDataFrame(rows, "text string")
+    assert [r[0] for r in docs.select(mixing.topic_of(F.col("text"))).collect()] == [
+        "prose", "markup", "contacts", "contacts", "markup"]
+
+
+PATTERNS = [r.pattern for r in secret_scan.BASE + secret_scan.MORE] + [
+    r"(foo|bar)baz+", r"ab?cdef", r"(abc){2}x", r"(?:hello \w+|wor[a-z]+ld)", r"a{3}b",
+    r"(abc|x)?defg", r"abc(?=d)de", r"[^a]bcd", r"(?i)KeyWord\d", r"(abcd)\1", r"x{2,}yyy",
+    r"(?:ab|cd){2}ef", r"\bkey(?:s|ring)?\b", r"(?i:Über)maß", r"ab|c", r"[a-z]+", r"a.c",
+]
+
+
+@pytest.mark.parametrize("pattern", PATTERNS)
+def test_every_match_satisfies_the_query_of_its_pattern(pattern):
+    draw = random.Random(1)
+    pieces = ["password", "Token", "api_key", "=", ":", '"', " ", "AKIA", "ABC123", "deadbeef" * 4,
+              "ghp_", "a" * 40, "xoxb-", "eyJ", ".", "-----BEGIN ", "RSA ", "PRIVATE KEY-----",
+              "foo", "bar", "baz", "ab", "b", "c", "def", "defg", "abc", "x", "y", "yyy", "hello ",
+              "wor", "ld", "aaab", "bcd", "KEYWORD", "7", "abcd", "cd", "ef", "key", "ring", "s",
+              "über", "ÜBER", "maß", "\n", "1234567890abcdef", "ghp_" + "a" * 40, "xoxb-" + "a" * 12,
+              "eyJ" + "a" * 12 + ".eyJ" + "b" * 12 + "." + "c" * 12, "-----BEGIN PRIVATE KEY-----",
+              "secret=", "AKIAB", "abcabc", "ababef", "abcdabcd", "abcde", "xxyyy"]
+    query, hits = secret_scan.trigram_query(pattern), 0
+    for _ in range(4000):
+        text = "".join(draw.choice(pieces) for _ in range(draw.randint(1, 6)))
+        if re.search(pattern, text):
+            hits += 1
+            low = text.lower()
+            held = {low[i:i + 3] for i in range(len(low) - 2)}
+            assert all(any(set(secret_scan.trigrams(s)) <= held for s in strings)
+                       for strings in query), (text, query)
+    assert hits
+
+
+def test_queries_follow_the_patterns():
+    queries_of = {r.kind: secret_scan.trigram_query(r.pattern)
+                  for r in secret_scan.BASE + secret_scan.MORE}
+    assert queries_of["hex"] == ()
+    assert queries_of["jwt"] == ({"eyj"}, {".eyj"})
+    assert queries_of["pem"] == ({"-----begin "}, {"private key-----"})
+    assert queries_of["assign"] == ({"password", "passwd", "secret", "token", "apikey", "api_key"},)
+    edited = secret_scan.trigram_query(secret_scan.BASE[0].pattern.replace("passwd", "pass_?phrase"))
+    assert edited == ({"password", "passphrase", "pass_phrase", "secret", "token", "apikey",
+                       "api_key"},)
+
+
+def test_a_stored_index_serves_later_scans(spark, docs, tmp_path):
+    rows = [(1, "password = hunter22"), (2, "nothing"), (3, None), (4, "my AKIA" + "A" * 20),
+            (5, "deadbeef" * 4), (1, "password = hunter22")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    path = str(tmp_path / "index")
+    secret_scan.write_index(frame, path)
+    plain = secret_scan.find_secrets(frame)
+    stored = secret_scan.find_secrets(frame, index=path)
+    found = Counter((r.doc_id, str(r.spans)) for r in stored.collect())
+    assert found == Counter((r.doc_id, str(r.spans)) for r in plain.collect())
+    assert len(found) == 5 and sum(found.values()) == 6
+    few = secret_scan.find_secrets(frame, secret_scan.BASE[:1], path)
+    assert sum(len(r.spans) for r in few.collect()) == 2
+
+
+def test_secrets_of_long_runs_take_linear_time(spark):
+    texts = ["eyJ" * 200_000, "eyJ" * 200_000 + ".eyJ" + "a" * 100_000, "-----BEGIN " * 50_000,
+             "password" + " " * 500_000, "AKIA" * 100_000, "a" * 500_000, "g" * 500_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [s.kind for s in r.spans] for r in secret_scan.find_secrets(docs).collect()}
+    assert got == {0: [], 1: ["hex"], 2: [], 3: [], 4: ["access"], 5: ["hex"], 6: []}
