@@ -507,6 +507,19 @@ select distinct cast(p_partkey as bigint) as movie_id, p_name || ' é' as title,
 select cast(user_id as bigint) as user_id, cast(event_id as bigint) as movie_id,
        (cast(trunc(value) as integer) % 10 + 1) / 2.0::double as rating,
        cast(floor(epoch(ts)) as bigint) as ts from events""",
+    "M5_managed_tables": with_tables(*ALL, sql=f"""
+select 'canonical_ratings' as tbl, count(*) as cnt from ratings
+union all select 'canonical_movies', count(*) from movies
+union all select 'canonical_users', count(*) from users
+union all select 'canonical_movie_genres', count(*) from genres
+union all select 'rating_distribution', count(*) from ({SCORES})
+union all select 'top_movies', count(*) from ({TOP_MOVIES})
+union all select 'genre_stats', count(*) from ({genre_stats()})
+union all select 'active_users', count(*) from ({ACTIVE_USERS})
+union all select 'gender_comparison', count(*) from ({GENDER})
+union all select 'age_group_stats', count(*) from ({by_group("age_group")})
+union all select 'occupation_stats', count(*) from ({TOP_OCCUPATION})
+union all select 'dashboard_summary', count(*) from ({SUMMARY})"""),
     "V9_V10_gates": """
 select 'prose' as folder, 'no acceptable file' as reason, count(*) as n_lines from region
 union all select 'movies', 'no usable rating',

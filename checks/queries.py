@@ -15,6 +15,7 @@ from starboard.operators import analyses as A
 from starboard.operators import cleaning as C
 from starboard.operators import mapping
 from starboard.operators import present as P
+from starboard.plans import managed
 from starboard.plans import marts as M
 from starboard.plans.analysis import Frames, analyze_all
 from starboard.plans.dataset import (
@@ -524,6 +525,21 @@ def united_sketches(spark, sf):
     return both.select("measure", "n", _close(both, "n", "estimate").alias("is_close"))
 
 
+def managed_tables(spark, sf):
+    """Rows of the catalog's tables after two datasets were published and one withdrawn."""
+    root, base = scratch_path(spark, "managed"), "starboard_published"
+    frames = bound_frames(spark, sf)
+    managed.drop_tables(spark, base)
+    for number in (1, 2):
+        M.write_canonical(frames, root, number)
+        M.write_marts(spark, analyze_all(frames, stage=stage), root, number)
+        managed.publish(spark, root, number, base, scratch_path(spark, "base"))
+    managed.withdraw(spark, 2, base)
+    counts = tables.catalog_counts(spark, base).where(F.startswith("tbl", F.lit(f"spark_catalog.{base}."))
+                                                      | F.startswith("tbl", F.lit(f"{base}.")))
+    return counts.select(F.substring_index("tbl", ".", -1).alias("tbl"), "cnt")
+
+
 def json_scores(spark, sf):
     return P.json_rows(M.mart_view(spark, mart_root(spark, sf), "rating_distribution", 1))
 
@@ -695,6 +711,7 @@ QUERIES: dict[str, Query] = {
     "S7_strip_bom": strip_mark,
     "S9_scan_catalog": scan_catalog,
     "V9_V10_gates": gates,
+    "M5_managed_tables": managed_tables,
     "T5_ingest_quality": ingest_quality,
     "Q13_marts_without_users": without_users,
     "G7_approximate_distinct": approximate_distinct,
