@@ -318,17 +318,26 @@ def gender_comparison(
 def gender_rating_share(
     ratings: DataFrame, users: DataFrame, user_scope: str = "all"
 ) -> DataFrame:
-    """Share of all ratings, also those by unknown users, that each gender contributes."""
-    per_user = user_activity(ratings)
-    whole = ratings.agg(F.count(F.lit(1))).scalar()
+    """Share of all ratings, also those by unknown users, that each gender contributes.
+
+    Unknown users stay in the join as a group of their own, so the ratings are read once and all
+    of them are the sum over the few groups.
+    """
+    kinds = {"rated": "right", "all": "full"}
+    _join_kind(user_scope)
+    joined = users.select("user_id", F.col("gender").alias("label"), F.lit(True).alias("known")).join(
+        user_activity(ratings), "user_id", kinds[user_scope])
+    grouped = joined.groupBy("label", "known").agg(
+        F.count_distinct("user_id").alias("user_count"), *_totals())
+    whole = grouped.withColumn("whole", F.sum("n_rows").over(Window.partitionBy()))
     return (
-        group_activity(per_user, users, "gender", user_scope)
+        whole.where(F.col("known") & (F.col("n_rows") > 0))
         .select(
             F.col("label").alias("gender"),
             "user_count",
             F.col("n_rows").alias("rating_count"),
             average(3).alias("avg_rating"),
-            percent("n_rows", whole).alias("rating_share_pct"),
+            percent("n_rows", "whole").alias("rating_share_pct"),
         )
         .orderBy("gender")
     )

@@ -13,7 +13,7 @@ from starboard.operators.mapping import ROLES
 from starboard.plans import marts as M
 from starboard.plans.analysis import Frames, analyze_all
 from starboard.schemas import EXTENSIONS
-from starboard.session import size_shuffles, stage
+from starboard.session import sized_shuffles, stage
 from starboard.sources.dialects import admission_report, sniff_dialect
 from starboard.sources.lines import list_files, scan_lines
 from starboard.sources.parsing import (
@@ -63,9 +63,14 @@ def load_dataset(
     without a header are read once more for the profiles of their columns.
     Raises ``DatasetRejected`` if no file is acceptable or no rating is usable.
     """
-    files = list_files(spark, path, exts)
     lines = scan_lines(spark, path, exts)
-    size_shuffles(lines)
+    with sized_shuffles(lines):
+        return _load(spark, path, list_files(spark, path, exts), lines, lo, hi)
+
+
+def _load(
+    spark: SparkSession, path: str, files: DataFrame, lines: DataFrame, lo: float, hi: float
+) -> Dataset:
     sniffed = stage(sniff_dialect(lines), "dialects")
     bare = not sniffed.where("not has_header and sep is not null").isEmpty()
     dialects = stage(with_profiles(lines, sniffed), "profiled") if bare else sniffed
@@ -182,4 +187,6 @@ def _analyze(
     def analyze(written: Frames) -> dict[str, DataFrame]:
         return analyze_all(written, min_count=min_count, stage=stage, **options)
 
-    return M.rewrite_dataset(frames, analyze, root, dataset_id, name)
+    tables = [frame for frame in vars(frames).values() if frame is not None]
+    with sized_shuffles(*tables):
+        return M.rewrite_dataset(frames, analyze, root, dataset_id, name)

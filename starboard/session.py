@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +58,36 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/starboard/{label}-{uuid.uuid4().hex}"
 
 
+# Bytes of one batch of rows on its way to or from Python; rows may be long texts.
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 * 1024 * 1024
+
+_batch_lock = threading.Lock()
+_batch_users = 0
+
+
+@contextmanager
+def bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """Send batches of bounded bytes to Python meanwhile, unless the session sets a bound itself.
+
+    By rows alone a batch of long texts, and its copies on both sides, could be of any size.
+    """
+    global _batch_users
+    own = False
+    with _batch_lock:
+        if _batch_users or spark.conf.get(BATCH_KEY, None) is None:
+            own = True
+            _batch_users += 1
+            spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        with _batch_lock:
+            if own:
+                _batch_users -= 1
+                if not _batch_users:
+                    spark.conf.unset(BATCH_KEY)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet and read it back.
 
@@ -63,7 +95,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     planner the true size, so that a broadcast is chosen by size and not by guess.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with bounded_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -89,6 +122,19 @@ def size_shuffles(*frames: DataFrame, bytes_per_partition: int = BYTES_PER_PARTI
     return max(wanted, current)
 
 
+@contextmanager
+def sized_shuffles(
+    *frames: DataFrame, bytes_per_partition: int = BYTES_PER_PARTITION
+) -> Iterator[int]:
+    """``size_shuffles`` for the jobs inside; the session's setting comes back after them."""
+    spark = frames[0].sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        yield size_shuffles(*frames, bytes_per_partition=bytes_per_partition)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def _bytes_read(frame: DataFrame) -> int:
     """Sizes of the files below a plan; the plan's own estimate multiplies across joins."""
     leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()

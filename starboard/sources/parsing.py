@@ -20,7 +20,7 @@ from starboard.operators.cleaning import (
 from starboard.operators.mapping import ROLES, fallbacks, normalized
 from starboard.schemas import ALIASES, CANONICAL
 from starboard.sources.dialects import cells_of
-from starboard.sources.sizes import BROADCAST_BYTES
+from starboard.sources.sizes import BROADCAST_BYTES, text_bytes
 
 HEADER = "header"
 TOO_FEW_FIELDS = "too_few_fields"
@@ -63,6 +63,37 @@ def _reason(lo: float, hi: float) -> Column:
     )
 
 
+# Bytes of a file's key and of the key of its dialect.
+_KEY_BYTES = 24
+
+
+def _with_dialects(lines: DataFrame, dialects: DataFrame, size: DialectSize) -> DataFrame:
+    """``lines`` with the dialect of their file, the text staying where it is read.
+
+    Many files have few dialects. Where the rows per file are too many bytes to be broadcast, only
+    a hash of the path and a hash of the dialect are, beside the different dialects. Beyond that,
+    or if two hashes are the same by chance, the planner joins.
+    """
+    if size.bytes <= BROADCAST_BYTES:
+        return lines.join(F.broadcast(dialects), "file_path")
+    if size.files * _KEY_BYTES <= BROADCAST_BYTES:
+        shape = [name for name in dialects.columns if name != "file_path"]
+        text = F.to_json(F.struct(*shape), {"ignoreNullFields": "false"})
+        keyed = dialects.withColumns({
+            "file_key": F.xxhash64("file_path"), "shape_key": F.xxhash64(text), "shape_text": text})
+        chance = keyed.agg(
+            (F.count_distinct("file_key") == F.count(F.lit(1))).alias("files"),
+            (F.count_distinct("shape_key") == F.count_distinct("shape_text")).alias("shapes"))
+        shapes = keyed.groupBy("shape_key").agg(*[F.first(name).alias(name) for name in shape])
+        told = chance.first()
+        if told["files"] and told["shapes"] and text_bytes(shapes) <= BROADCAST_BYTES:
+            files = F.broadcast(keyed.select("file_key", "shape_key"))
+            return lines.withColumn("file_key", F.xxhash64("file_path")).join(
+                files, "file_key").join(F.broadcast(shapes), "shape_key").drop(
+                "file_key", "shape_key")
+    return lines.join(dialects, "file_path")
+
+
 def parse_rows(
     lines: DataFrame,
     dialects: DataFrame,
@@ -77,11 +108,9 @@ def parse_rows(
     ``reason`` is ``ok`` for usable rows and ``header`` for header lines, the first too.
     """
     size = size or measure(dialects)
-    shapes = dialects.where("role is not null").select(*_SENT)
-    if size.bytes <= BROADCAST_BYTES:
-        shapes = F.broadcast(shapes)
     line, sep = F.trim("value"), F.col("sep")
-    text = lines.where(not_blank("value")).select("file_path", "value").join(shapes, "file_path")
+    text = _with_dialects(lines.where(not_blank("value")).select("file_path", "value"),
+                          dialects.where("role is not null").select(*_SENT), size)
     # One step per select: what is cut here is used once per column and not cut again.
     shape = F.when(~F.contains(line, sep), TOO_FEW_FIELDS).otherwise(ROW_OK)
     cells = text.select(

@@ -110,6 +110,44 @@ def test_parsing_without_broadcast_gives_the_same(spark, folder, rows, monkeypat
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hashes_of_many_files_are_broadcast_instead_of_their_dialects(
+        spark, folder, rows, monkeypatch):
+    path = folder(**{f"f{i}_csv": f"user_id,movie_id,rating\n{i},2,3\n" for i in range(12)},
+                  b_tsv='movie_id\ttitle\tshelf\n1\t"x\ty"\t3\n', c_csv="rating,user,movie\n1,2,3\n")
+    lines = scan_lines(spark, path)
+    dialects = sniff_dialect(lines)
+    whole = rows(parse_rows(lines, dialects).drop("extra"))
+    monkeypatch.setattr("starboard.sources.parsing.BROADCAST_BYTES", 4000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        size = measure(dialects)
+        assert size.bytes > 4000
+        keyed = parse_rows(lines, dialects, size=size).drop("extra")
+        assert "SortMergeJoin" not in plan(keyed) and "file_key" in plan(keyed)
+        assert rows(keyed) == whole and len(whole) == 28
+        monkeypatch.setattr(F, "xxhash64", lambda *_: F.lit(7).cast("bigint"))
+        joined = parse_rows(lines, dialects, size=size).drop("extra")
+        assert "SortMergeJoin" in plan(joined) and rows(joined) == whole
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ratings_are_read_once_for_their_share(spark, tables, tmp_path):
+    for name in ("ratings", "users"):
+        tables[name].write.parquet(str(tmp_path / f"{name}-once"))
+    ratings, users = [spark.read.parquet(str(tmp_path / f"{name}-once")) for name in ("ratings", "users")]
+    for scope in ("rated", "all"):
+        assert plan(A.gender_rating_share(ratings, users, scope)).count("FileScan") == 2
+
+
+def test_shuffles_are_sized_for_the_jobs_inside_only(spark, tables):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with session.sized_shuffles(tables["ratings"], bytes_per_partition=10) as inside:
+        assert inside > int(before)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(inside)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_profiles_join_and_group_on_one_shuffle_per_side(spark, tables):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -147,3 +185,18 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         session.scratch_root(Session)
+
+
+def test_batches_to_python_are_bounded_while_a_table_is_written(spark):
+    seen = []
+    key = session.BATCH_KEY
+    with session.bounded_batches(spark):
+        with session.bounded_batches(spark):
+            seen.append(spark.conf.get(key))
+        seen.append(spark.conf.get(key))
+    assert seen == [str(session.BATCH_BYTES)] * 2 and spark.conf.get(key, None) is None
+    spark.conf.set(key, "1000000")
+    with session.bounded_batches(spark):
+        seen.append(spark.conf.get(key))
+    assert seen[-1] == spark.conf.get(key) == "1000000"
+    spark.conf.unset(key)
