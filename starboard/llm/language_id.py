@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starboard.llm.common import table
+from starboard.llm.common import runs, table
 
 UNKNOWN = "und"
 # Bounds of the labelled sample: documents per language, characters of each and, in all, letters
@@ -28,7 +28,7 @@ SAMPLE_LETTERS = 24_000
 THIN, FEW_LETTERS = 0.5, 2000
 # Parsed words that a Python worker remembers before it starts anew.
 REMEMBERED = 300_000
-# Characters of text parsed together.
+# Bytes of text parsed together.
 PORTION = 1_000_000
 
 # Letters are the characters of the categories L*; fractions or Roman numerals are none.
@@ -237,18 +237,6 @@ class Parser:
         return found
 
 
-def _portions(texts: list[str | None]) -> Iterator[list[str | None]]:
-    portion, size = [], 0
-    for text in texts:
-        portion.append(text)
-        size += len(text) if isinstance(text, str) else 0
-        if size > PORTION:
-            yield portion
-            portion, size = [], 0
-    if portion:
-        yield portion
-
-
 def identify(docs: DataFrame, sample: dict[str, list[str]]) -> DataFrame:
     """(doc_id, lang_pred, score) for every row of ``docs`` (doc_id, text).
 
@@ -256,16 +244,18 @@ def identify(docs: DataFrame, sample: dict[str, list[str]]) -> DataFrame:
     was learnt. Ties go to the language that comes first by name. Repeated rows each have a
     row; texts are read whole; an empty table gives no rows. Only doc_id and text are read.
     """
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser(sample)
         for batch in batches:
-            found = [f for portion in _portions(list(batch["text"]))
-                     for f in parser.parse(portion)]
-            yield pd.DataFrame({"doc_id": batch["doc_id"],
-                                "lang_pred": [f[0] for f in found],
-                                "score": [f[1] for f in found]})
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+            for start, stop in runs(batch.column(1), PORTION):
+                found = parser.parse(batch.column(1).slice(start, stop - start).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, stop - start),
+                     pa.array([f[0] for f in found], pa.string()),
+                     pa.array([f[1] for f in found], pa.float64())],
+                    names=["doc_id", "lang_pred", "score"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         predict, "doc_id long, lang_pred string, score double")
 
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -131,10 +130,6 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
 
 
-def _as_bytes(texts: pd.Series) -> list[bytes]:
-    return [t.encode() if isinstance(t, str) else b"" for t in texts]
-
-
 def minima(sets: list[np.ndarray]) -> np.ndarray:
     """The minima of each non-empty set, one row per set."""
     every = np.concatenate(sets)
@@ -241,18 +236,21 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     texts = docs.join(small(ids), docs.doc_id == ids.id, "left_semi").select("doc_id", "text")
     met = seats.join(texts, seats.id == texts.doc_id).select("a", "salt", "id", "centre", "text")
 
-    def confirm(group: pd.DataFrame) -> pd.DataFrame:
-        sets = [s for block in _blocks(_as_bytes(group["text"])) for s in shingle_hashes(block)]
-        centre = sets[int(np.argmax(group["centre"].to_numpy(dtype=bool)))]
+    def confirm(group: pa.Table) -> pa.Table:
+        texts = [t or b"" for t in group["text"].cast(pa.binary()).to_pylist()]
+        sets = [s for block in _blocks(texts) for s in shingle_hashes(block)]
+        central = group["centre"].to_pylist()
+        centre = sets[central.index(True)]
         near = []
-        for i, is_centre in enumerate(group["centre"]):
+        for i, is_centre in enumerate(central):
             if not is_centre:
                 both = len(np.intersect1d(centre, sets[i], assume_unique=True))
                 if 100 * both >= SIMILARITY * (len(centre) + len(sets[i]) - both):
                     near.append(i)
-        return pd.DataFrame({"a": group["a"].iloc[near], "b": group["id"].iloc[near]})
+        found = group.take(pa.array(near, pa.int64()))
+        return pa.table({"a": found["a"], "b": found["id"]})
 
-    return met.groupBy("a", "salt").applyInPandas(confirm, "a long, b long")
+    return met.groupBy("a", "salt").applyInArrow(confirm, "a long, b long")
 
 
 def _estimated(pairs: DataFrame, bits: DataFrame) -> DataFrame:
