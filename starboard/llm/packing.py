@@ -18,17 +18,21 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from starboard.llm import byte_bpe
+from starboard.llm.common import runs
 from starboard.session import stage
 
 CAPACITY = 1024
+# Bytes of text encoded together.
+RUN_BYTES = 1 << 20
 END_OF_TEXT = 2
-# Parts that pieces of one length are dealt to for numbering, so that no length is one task.
-PARTS = 64
+# Pieces of one length that are numbered together; a length with more is dealt to parts.
+NUMBERED_TOGETHER = 500_000
 # Fillings tried first around one largest piece, and steps of the branch and bound.
 FILLINGS, NODES = 24, 4000
 # Fixed value: how a byte-level vocabulary of this kind splits a text.
@@ -65,6 +69,7 @@ class Encoder:
         import tiktoken
 
         ranks, special = _ranks(vocabulary)
+        self.ranks, self.special, self.matrices = ranks, special, None
         # Without any special token every position is looked at; then one that no text can hold.
         special = special or {"\0" * 64: max(ranks.values()) + 1}
         self.full, self.single = (tiktoken.Encoding(
@@ -73,31 +78,45 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         chosen = self.full if TWO_SPACES.search(text) else self.single
-        return chosen.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+        try:
+            return chosen.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+        except ValueError:
+            # Its pattern engine gives up on white space runs of some hundred thousand characters.
+            self.matrices = self.matrices or byte_bpe.Encoder(self.ranks, SPLIT)
+            parts = re.split("(" + "|".join(map(re.escape, self.special)) + ")", text) \
+                if self.special else [text]
+            return b"".join(
+                self.special[part].to_bytes(4, "little") if part in self.special
+                else next(self.matrices.encode([part])) for part in parts)
 
 
 def cut(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of every row of (doc_id, text): ids with the end-of-text id behind them, cut into
     pieces of ``capacity`` if there are more, of which the first takes what is left over."""
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         end = np.array([END_OF_TEXT], dtype="<u4").tobytes()
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = (encoder.encode(text) if isinstance(text, str) else b"") + end
-                n = len(ids) // 4
-                first = (n - 1) % capacity + 1
-                start, stop, piece = 0, first, 0
-                while start < n:
-                    rows.append((doc_id, piece, start, stop - start,
-                                 zlib.crc32(ids[start * 4:stop * 4])))
-                    start, stop, piece = stop, stop + capacity, piece + 1
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+            for begin, until in runs(batch.column(1), RUN_BYTES):
+                part = batch.slice(begin, until - begin)
+                rows = []
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(),
+                                        strict=True):
+                    ids = (encoder.encode(text) if text is not None else b"") + end
+                    n = len(ids) // 4
+                    first = (n - 1) % capacity + 1
+                    start, stop, piece = 0, first, 0
+                    while start < n:
+                        rows.append((doc_id, piece, start, stop - start,
+                                     zlib.crc32(ids[start * 4:stop * 4])))
+                        start, stop, piece = stop, stop + capacity, piece + 1
+                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                    names=names)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         split, PIECES)
 
 
@@ -327,18 +346,24 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFram
     text is one piece of the end-of-text id. Repeated rows are packed each; which of several
     equal pieces takes which place does not matter. An empty table gives no rows.
 
-    The text is read once and not moved; the driver holds at most ``capacity`` counts and the
-    plan made of them.
+    The text is read once and not moved; the driver holds at most ``capacity`` counts, the plan
+    made of them, and a number for every ``NUMBERED_TOGETHER`` pieces.
     """
     spark = docs.sparkSession
-    pieces = stage(cut(docs, vocabulary, capacity).withColumn("part", F.pmod(
-        F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(PARTS)).cast("int")), "pieces")
+    cut_up = stage(cut(docs, vocabulary, capacity), "pieces")
+    counts = {row["length"]: row["n"] for row in cut_up.groupBy("length").agg(
+        F.count("*").alias("n")).collect()}
+    parts = F.broadcast(spark.createDataFrame(
+        [(length, -(-n // NUMBERED_TOGETHER)) for length, n in counts.items()],
+        "length long, parts long"))
+    pieces = cut_up.join(parts, "length").withColumn("part", F.pmod(
+        F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("parts")).cast("int")).drop("parts")
     dealt = pieces.groupBy("length", "part").agg(F.count("*").alias("n")).collect()
-    counts: dict[int, int] = {}
+    before: dict[int, int] = {}
     first = []
     for row in sorted(dealt, key=lambda r: (r["length"], r["part"])):
-        first.append((row["length"], row["part"], counts.get(row["length"], 0)))
-        counts[row["length"]] = counts.get(row["length"], 0) + row["n"]
+        first.append((row["length"], row["part"], before.get(row["length"], 0)))
+        before[row["length"]] = before.get(row["length"], 0) + row["n"]
     table = places(plan(counts, capacity))
     firsts = F.broadcast(spark.createDataFrame(first, "length long, part int, first long"))
     seats = F.broadcast(spark.createDataFrame(
