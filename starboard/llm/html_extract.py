@@ -14,6 +14,7 @@ from __future__ import annotations
 import bisect
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -41,6 +42,10 @@ CHROME_NAMES = frozenset("""ad ads advert adverts advertisement advertising bann
  subscribe signup login social share sharing comment comments respond reply replies disqus related
  recommended pagination pager widget toolbar""".split())
 HEADINGS = frozenset("header masthead banner".split())  # in an article, its own head
+# Words that may stand beside one of these in a name without giving it another meaning.
+PLAIN_NAMES = frozenset("""area bar block body bottom box button buttons container content inner item
+ items left link links list main outer panel primary right secondary section site text title top
+ wrap wrapper""".split())
 ARTICLE_NAMES = frozenset("""article articlebody article-body article-content post-content
  entry-content main-content""".split())
 ARTICLE_TAGS = frozenset("article main".split())
@@ -59,6 +64,69 @@ _NAME = re.compile(r"[a-z]+", re.I)
 _WHITE = re.compile(r"\s+")
 
 
+def _names_chrome(value: str, inside: int) -> bool:
+    """Whether a class or id names a part of the template.
+
+    Inside an article all words of a name have to: ``related-posts`` may be a list of links, but
+    ``related-work`` and ``share-price`` are as likely its own sections.
+    """
+    for token in value.split():
+        words = _NAME.findall(token)
+        named = [w in CHROME_NAMES and not (w in HEADINGS and inside == ARTICLE) for w in words]
+        if any(named) and (inside != ARTICLE or all(
+                chrome or w in PLAIN_NAMES for w, chrome in zip(words, named, strict=True))):
+            return True
+    return False
+
+
+class _Open:
+    """The open elements, innermost last, each with the kind to go back to.
+
+    How many are open by tag and where those stand that are no inline ones is kept beside them,
+    so that no page makes a step look through all of them.
+    """
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = []
+        self.count: Counter[str] = Counter()
+        self.blocks: list[int] = []
+        self.unseen = 0
+
+    def push(self, tag: str, kind: int) -> None:
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, kind))
+        self.count[tag] += 1
+        self.unseen += tag in UNSEEN
+
+    def cut(self, at: int) -> int:
+        """Close the elements from ``at`` on; returns the kind to go back to."""
+        kind = self.stack[at][1]
+        for tag, _ in self.stack[at:]:
+            self.count[tag] -= 1
+            self.unseen -= tag in UNSEEN
+        del self.stack[at:]
+        while self.blocks and self.blocks[-1] >= at:
+            self.blocks.pop()
+        return kind
+
+    def innermost(self, tag: str) -> int | None:
+        """Place of the innermost open element of a tag. What is passed over is about to be cut."""
+        if not self.count[tag]:
+            return None
+        at = len(self.stack) - 1
+        while self.stack[at][0] != tag:
+            at -= 1
+        return at
+
+    def ended_by(self, closing: tuple[str, ...]) -> int | None:
+        """Place of the element that the next one ends: one of ``closing`` with only inline ones
+        inside it."""
+        if self.blocks and self.stack[self.blocks[-1]][0] in closing:
+            return self.blocks[-1]
+        return None
+
+
 def _meaning(tag: str, rest: str, inside: int) -> int | None:
     """TEMPLATE or ARTICLE if the element says so; None if it is as what surrounds it."""
     if tag in UNSEEN:
@@ -75,9 +143,8 @@ def _meaning(tag: str, rest: str, inside: int) -> int | None:
                 return TEMPLATE
             if name == "role" and value in ("main", "article"):
                 return ARTICLE
-            if name in ("class", "id") and tag not in ("html", "body", "article", "main") and any(
-                    word in CHROME_NAMES and not (word in HEADINGS and inside == ARTICLE)
-                    for word in _NAME.findall(value)):
+            if name in ("class", "id") and tag not in ("html", "body", "article", "main") \
+                    and _names_chrome(value, inside):
                 return TEMPLATE
             if name in ("class", "id") and not ARTICLE_NAMES.isdisjoint(value.split()):
                 return ARTICLE
@@ -87,7 +154,7 @@ def _meaning(tag: str, rest: str, inside: int) -> int | None:
 def page_lines(source: str) -> list[tuple[str, int]]:
     """Text lines of a page (one per block, white space folded) with what they stand in."""
     lines: list[tuple[str, int]] = []
-    stack: list[tuple[str, int]] = []
+    open_ = _Open()
     kind, parts = BODY, []
 
     def flush() -> None:
@@ -105,21 +172,20 @@ def page_lines(source: str) -> list[tuple[str, int]]:
         if not tag:
             piece = token[0]
             if piece[0] != "<" or piece == "<":
-                if kind != TEMPLATE or not any(t in UNSEEN for t, _ in stack):
+                if kind != TEMPLATE or not open_.unseen:
                     parts.append(piece)
             elif piece.startswith("<![CDATA["):
                 parts.append(html.escape(piece[9:].removesuffix("]]>")))
             continue
         tag = tag.lower()
         if token["end"] or token["end2"]:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            at = open_.innermost(tag)
             if tag not in INLINE:
                 flush()
             if at is not None:
-                if any(k != kind for _, k in stack[at:]):
+                if any(k != kind for _, k in open_.stack[at:]):
                     flush()
-                kind = stack[at][1]
-                del stack[at:]
+                kind = open_.cut(at)
             continue
         rest = token["rest"] or token["rest2"] or ""
         meaning = _meaning(tag, rest, kind)
@@ -129,16 +195,17 @@ def page_lines(source: str) -> list[tuple[str, int]]:
         if tag == "body":  # also ends a head left open
             flush()
             kind = BODY
-            stack.clear()
+            open_ = _Open()
             continue
         if tag not in INLINE:
             flush()
             closing = ("p",) if tag in CLOSES_P else CLOSES_SAME.get(tag, ())
-            if closing:
-                kind = _close(stack, closing, kind)
+            ended = open_.ended_by(closing)
+            if ended is not None:
+                kind = open_.cut(ended)
         if tag in VOID or rest.endswith("/") and tag not in RAW and tag not in ARTICLE_TAGS:
             continue
-        stack.append((tag, kind))  # the kind to go back to
+        open_.push(tag, kind)
         if kind != TEMPLATE and meaning is not None and meaning != kind:
             flush()
             kind = meaning
@@ -146,25 +213,13 @@ def page_lines(source: str) -> list[tuple[str, int]]:
             ending = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, position)
             if ending:
                 position = ending.end()
-                kind = stack.pop()[1]
+                kind = open_.cut(len(open_.stack) - 1)
             else:
                 position = len(source)
     flush()
     return lines
 
 
-def _close(stack: list[tuple[str, int]], closing: tuple[str, ...], kind: int) -> int:
-    """Close an open element that the next one ends, with the inline ones inside it."""
-    for i in range(len(stack) - 1, -1, -1):
-        if stack[i][0] in closing:
-            kind = stack[i][1]
-            del stack[i:]
-            return kind
-        if stack[i][0] not in INLINE:
-            return kind
-    return kind
-
-
 def shared_lines(own: list[str], other: list[str]) -> set[int]:
     """Positions in ``own`` of a longest common subsequence of lines with ``other``.
 
@@ -254,9 +309,10 @@ def extract_pages(pages: DataFrame, pages_per_range: int = PAGES_PER_RANGE) -> D
 
     text has the main text's blocks in page order, joined by two line ends, empty if there is
     none or html is null. A page alone on its host has no neighbour and loses no shared lines.
-    Pages without url form a host of their own. Ties in nearness go to the page before; a
-    neighbour with the very same lines is passed over.
-    Repeated rows each have a row, an empty table gives no rows, pages are read whole.
+    Pages without url form a host of their own. Ties in nearness go to the page before; copies
+    beside a page are passed over, and the next page of its range with other lines is taken.
+    Repeated rows each have a row, an empty table gives no rows, pages are read whole, in time
+    that grows with their length, whatever elements they leave open.
 
     Pages are parsed where they are read and only their lines move, once, to a range of the
     order (host, path, page_id); a host of any size spreads over many ranges. The first and
@@ -292,19 +348,25 @@ def extract_pages(pages: DataFrame, pages_per_range: int = PAGES_PER_RANGE) -> D
 
     def difference(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["key", "guest"], kind="stable").reset_index(drop=True)
+        lines = [list(x) for x in group["lines"]]
+        # A copy tells nothing: past it the next page with other lines is looked at.
+        n, before, after = len(lines), [-1] * len(lines), [len(lines)] * len(lines)
+        for i in range(1, n):
+            before[i] = before[i - 1] if lines[i - 1] == lines[i] else i - 1
+        for i in range(n - 2, -1, -1):
+            after[i] = after[i + 1] if lines[i + 1] == lines[i] else i + 1
         texts = []
-        for i in range(len(group)):
+        for i in range(n):
             if group["guest"][i]:
                 texts.append("")
                 continue
             best, near = -1, None
-            for j in (i - 1, i + 1):
-                if 0 <= j < len(group) and group["host"][j] == group["host"][i]:
+            for j in (before[i], after[i]):
+                if 0 <= j < n and group["host"][j] == group["host"][i]:
                     alike = _alike(group["path"][i] or "", group["path"][j] or "")
-                    other = list(group["lines"][j])
-                    if alike > best and other != list(group["lines"][i]):  # a copy tells nothing
-                        best, near = alike, other
-            texts.append(main_text(list(group["lines"][i]), list(group["kinds"][i]), near))
+                    if alike > best:
+                        best, near = alike, lines[j]
+            texts.append(main_text(lines[i], list(group["kinds"][i]), near))
         group["text"] = texts
         own = group[~group["guest"].astype(bool)]
         return pd.DataFrame({"page_id": own["page_id"], "url": own["url"], "text": own["text"],
