@@ -683,3 +683,77 @@ def test_secrets_of_long_runs_take_linear_time(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: [s.kind for s in r.spans] for r in secret_scan.find_secrets(docs).collect()}
     assert got == {0: [], 1: ["hex"], 2: [], 3: [], 4: ["access"], 5: ["hex"], 6: []}
+
+
+def test_very_long_white_space_is_encoded_like_any(spark):
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(queries.vocabulary())
+    encoder = packing.Encoder(queries.vocabulary())
+    for text in (" " * 500_000 + "x", "a <|endoftext|> " + " \n" * 300_000 + "b<|endoftext|>"):
+        assert encoder.encode(text) == b"".join(
+            i.to_bytes(4, "little") for i in tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def test_languages_told_stand_in_for_missing_ones(spark):
+    english = "the cat and the dog went to the house and the garden with the other people "
+    french = "le chat et le chien sont dans la maison avec les autres gens et le jardin "
+    rows = [(i, english + f"number {i}", "en") for i in range(40)] + [
+        (100 + i, french + f"nombre {i}", "fr") for i in range(40)] + [
+        (200, english, None), (201, french, None), (202, "12 ½", None), (203, french, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn(
+        "source", F.lit("a"))
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.known_language(spark, docs, SF).collect()}
+    assert (kept[200], kept[201], kept[203]) == ("en", "fr", "en") and 202 not in kept
+    assert len(kept) == 83
+    keyed = corpus_pipeline.known_language(spark, corpus_pipeline.with_rows(docs), SF)
+    assert {r.doc_id: r.lang for r in keyed.collect()} == kept
+    assert set(keyed.columns) == {*docs.columns, corpus_pipeline.ROW}
+
+
+def lines_of(source):
+    return [(line, kind) for line, kind in html_extract.page_lines(source)]
+
+
+def test_sections_of_an_article_stay_whatever_words_their_names_hold():
+    article = html_extract.ARTICLE
+    page = ('<article><p>one</p><div class="related-work"><p>two</p></div>'
+            '<div id="share-price">three</div><div class="related-posts">{}</div>'
+            '<div class="share-buttons">x</div><div class="ad">y</div><aside>z</aside></article>')
+    kept = [line for line, kind in lines_of(page.format("w")) if kind == article]
+    assert kept == ["one", "two", "three", "w"]
+    outside = lines_of('<div class="related-work">two</div>')
+    assert outside == [("two", html_extract.TEMPLATE)]
+
+
+def test_pages_that_leave_much_open_take_linear_time():
+    n = 50_000
+    for source, first in [
+        ("<nav>" + "<div>a" * n, "a"), ("</b></i>" * n + "x", "x"),
+        ("<p>" + "<b>" * n + "<hr>" * n + "y", "y"), ("<p><div>" + "<b>" * n + "<hr>" * n + "y", "y"),
+        ("<svg>" + "<b>" * n + "a" * n + "</svg>z", "z"), ("<li>a" * n, "a"), ("<a " * n, None),
+        ("<b>" * n + "</b>" * n + "w", "w"), ("<!--" * n, None), ("&amp;" * n, "&" * n),
+    ]:
+        found = lines_of(source)
+        assert (found[0][0] if found else None) == first
+
+
+def test_copies_beside_a_page_are_passed_over(spark):
+    def page(own):
+        return f"<div>Site name</div><div>{own}</div><div>All rights</div>"
+
+    rows = [(i, f"http://h.org/a/{i}", page("copy")) for i in range(5)] + [
+        (9, "http://h.org/a/9", page("other"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()}
+    assert got == {**{i: "copy" for i in range(5)}, 9: "other"}
+
+
+def test_pieces_of_one_length_are_numbered_in_parts(spark, monkeypatch):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("one two three").alias("text"))
+    whole = packing.pack(docs, queries.vocabulary()).collect()
+    monkeypatch.setattr(packing, "NUMBERED_TOGETHER", 7)
+    parts = packing.pack(docs, queries.vocabulary()).collect()
+    for rows in (whole, parts):
+        seats = Counter((r.sequence_id, r.offset) for r in rows)
+        assert len(rows) == 300 and max(seats.values()) == 1
+    assert Counter(r.sequence_id for r in whole) == Counter(r.sequence_id for r in parts)
