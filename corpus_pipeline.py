@@ -48,11 +48,23 @@ def _without(docs: DataFrame, decided: DataFrame) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be told; texts without a letter go."""
+    """Documents in which a language can be told; texts without a letter go.
+
+    Where ``lang`` is null the language told takes its place, for the stages that go by it.
+    """
     judged = _judged(docs)
-    found = language_id.identify(judged, language_id.fit(judged))
-    return _without(docs, found.select(
+    key = ROW if ROW in docs.columns else "doc_id"
+    found = stage(language_id.identify(judged, language_id.fit(judged)).select(
+        "doc_id", "lang_pred"), "languages")
+    known = _without(docs, found.select(
         "doc_id", (F.col("lang_pred") != language_id.UNKNOWN).alias("kept")))
+    # An id of several rows without a language has one only if all of them are told the same.
+    unnamed = judged.where("lang is null").select("doc_id").distinct()
+    told = stage(found.join(small(unnamed), "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min("lang_pred").alias("_told"), F.max("lang_pred").alias("_other")).where(
+        F.col("_told") == F.col("_other")).select(F.col("doc_id").alias("_id"), "_told"), "told")
+    named = known.join(small(told), (known[key] == F.col("_id")) & F.col("lang").isNull(), "left")
+    return named.withColumn("lang", F.coalesce("lang", "_told")).drop("_id", "_told")
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
