@@ -535,6 +535,18 @@ union all select 'top_movies', count(*) from ({TOP_MOVIES})
 union all select 'genre_stats', count(*) from ({genre_stats()})
 union all select 'active_users', least(20, count(distinct user_id)) from ratings
 union all select 'dashboard_summary', 1"""),
+    "G12_G13_positions": with_tables(*ALL, sql="\nunion all ".join(
+        f"select '{mart}' as mart, cast({label} as varchar) as label, "
+        f"row_number() over (order by {order}) as position from ({sql})"
+        for mart, label, order, sql in (
+            ("rating_distribution", "score", "score", SCORES),
+            ("top_movies", "movie_name", "avg_rating desc, rating_count desc, movie_name", TOP_MOVIES),
+            ("genre_stats", "genre_name", "movie_count desc, genre_name", genre_stats()),
+            ("active_users", "user_id", "rating_count desc, user_id", ACTIVE_USERS),
+            ("gender_comparison", "gender", "gender", GENDER),
+            ("age_group_stats", "age_group", "list_position(['Under18', '19-25', '26-35', '36-45', "
+             "'46-55', '56+'], age_group)", by_group("age_group")),
+            ("occupation_stats", "occupation", "rating_count desc, occupation", TOP_OCCUPATION)))),
     "G7_approximate_distinct": with_tables("ratings", "genres", sql=f"""
 select genre_name, movie_count, true as is_close, rating_count from ({genre_stats()})"""),
     "G7_united_sketches": with_tables("ratings", "movies", sql="""

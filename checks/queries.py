@@ -485,6 +485,20 @@ def inserted(table: str, *columns: str) -> Query:
         spark, canonical_root(spark, sf), 7), table).select(*columns)
 
 
+def positions(spark, sf):
+    """Where each row of the ordered marts stands."""
+    # A sorted mart in one partition keeps its order, so rows are numbered as they come.
+    analyzed = analyze_all(bound_frames(spark, sf), stage=stage)
+    labels = {"rating_distribution": "score", "top_movies": "movie_name", "genre_stats": "genre_name",
+              "active_users": "user_id", "gender_comparison": "gender",
+              "age_group_stats": "age_group", "occupation_stats": "occupation"}
+    return reduce(DataFrame.unionAll, [
+        analyzed[name].coalesce(1).select(
+            F.lit(name).alias("mart"), F.col(label).cast("string").alias("label"),
+            (F.monotonically_increasing_id() % (1 << 33) + 1).alias("position"))
+        for name, label in labels.items()])
+
+
 def without_users(spark, sf):
     """Rows of the marts that can be computed without profiles."""
     frames = bound_frames(spark, sf)
@@ -714,6 +728,7 @@ QUERIES: dict[str, Query] = {
     "M5_managed_tables": managed_tables,
     "T5_ingest_quality": ingest_quality,
     "Q13_marts_without_users": without_users,
+    "G12_G13_positions": positions,
     "G7_approximate_distinct": approximate_distinct,
     "G7_united_sketches": united_sketches,
     "K1_append": appended,

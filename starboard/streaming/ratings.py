@@ -156,12 +156,11 @@ def write_result(
             # Already in the table; its rows are computed all the same, for the stream's state.
             batch.write.format("noop").mode("overwrite").save()
             return
-        if mode == "update":
+        old = read_result(spark, out) if mode == "update" else None
+        if old is not None:
             changed = stage(batch, "changed")
-            old = read_result(spark, out)
-            batch = changed if old is None else old.join(
-                changed.select(*keys).distinct(), list(keys), "left_anti").select(
-                *changed.columns).unionByName(changed)
+            kept = old.join(changed.select(*keys).distinct(), list(keys), "left_anti")
+            batch = kept.select(*changed.columns).unionByName(changed)
         snapshots.replace(spark, out, {RESULT: batch}, mode == "append", {"batch_id": batch_id})
 
     return start(result, write, mode, checkpoint, once)
