@@ -112,20 +112,17 @@ def with_next(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFram
     heads = ids.withColumn("home", range_of(F.col("doc_id"), borders)).groupBy("home").agg(
         F.max("doc_id").alias("top")).collect()  # one row per range
     filled = sorted(((r["home"], r["top"]) for r in heads), key=lambda pair: pair[0])
+    # The head of a range is the guest of the next higher one, the highest of the lowest: a table
+    # of one row per range, of which there are at most ``MOST_RANGES``.
+    hosts = [home for home, _ in filled[1:]] + [home for home, _ in filled[:1]]
+    tops = F.broadcast(docs.sparkSession.createDataFrame(
+        [(home, top, host) for (home, top), host in zip(filled, hosts, strict=True)],
+        "home int, top long, host int"))
     here = F.struct(F.col("home").alias("range"), F.lit(False).alias("guest"))
-    if filled:
-        # The head of a range is the guest of the next higher one, the highest of the lowest.
-        hosts = [home for home, _ in filled[1:]] + [filled[0][0]]
-        host_of = F.create_map(*[F.lit(x) for (home, _), host in zip(filled, hosts, strict=True)
-                                 for x in (home, host)])
-        top_of = F.create_map(*[x for home, top in filled
-                                for x in (F.lit(home), F.lit(top).cast("long"))])
-        is_head = F.col("doc_id").eqNullSafe(F.element_at(top_of, F.col("home")))
-        there = F.struct(F.element_at(host_of, F.col("home")).alias("range"),
-                         F.lit(True).alias("guest"))
-        seats = F.when(is_head, F.array(here, there)).otherwise(F.array(here))
-    else:
-        seats = F.array(here)
+    there = F.struct(F.col("host").alias("range"), F.lit(True).alias("guest"))
+    is_head = F.col("doc_id").eqNullSafe(F.col("top"))
+    rows = rows.join(tops, "home")
+    seats = F.when(is_head, F.array(here, there)).otherwise(F.array(here))
     rows = rows.select("doc_id", "text", "home", F.explode(seats).alias("seat"))
     rows = rows.select("doc_id", "text", "home", "seat.range", "seat.guest")
     order = Window.partitionBy("range").orderBy(

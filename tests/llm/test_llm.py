@@ -757,3 +757,41 @@ def test_pieces_of_one_length_are_numbered_in_parts(spark, monkeypatch):
         seats = Counter((r.sequence_id, r.offset) for r in rows)
         assert len(rows) == 300 and max(seats.values()) == 1
     assert Counter(r.sequence_id for r in whole) == Counter(r.sequence_id for r in parts)
+
+
+@pytest.mark.parametrize("per_range", [1, 3, 2000])
+def test_texts_meet_the_next_one_whatever_the_ranges(spark, per_range):
+    rows = [(i * 7 % 41, f"text {i}") for i in range(40)] + [(None, "none"), (-5, None), (3, "again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    expected = Counter((i, t, order[(n + 1) % len(order)][1]) for n, (i, t) in enumerate(order))
+    got = fingerprints.with_next(docs, per_range).collect()
+    assert Counter((r.doc_id, r.text, r.next_text) for r in got) == expected
+    places = {(r.pos.r, r.pos.p): r.text for r in got}
+    assert len(places) == len(rows)
+    assert all(places[r.next_pos.r, r.next_pos.p] == r.next_text for r in got)
+
+
+@tables
+def test_likeness_against_the_multisets_of_sentences(spark):
+    """The estimate against the true likeness, on all documents; README states the error."""
+    def sentences(text):
+        return Counter(s for s in re.split(r"[.!?\n]+", text) if s.strip(" "))
+
+    def likeness(a, b):
+        a, b = sentences(a), sentences(b)
+        squares = sum(n * n for n in a.values()) + sum(n * n for n in b.values())
+        return 2 * sum(n * b[s] for s, n in a.items()) / squares if squares else 0.0
+
+    docs = sorted(((r.doc_id, r.text or "") for r in common.table(spark, SF, "documents").collect()),
+                  reverse=True)
+    truth = {}
+    for n, (i, text) in enumerate(docs):
+        after, half = docs[(n + 1) % len(docs)][1], len(text) // 2
+        edited = text[:len(text) - half] + after[:half]
+        truth[i] = (likeness(text, edited), likeness(text, after))
+    found = queries.op6_fingerprints(spark, SF).collect()
+    errors = [[(r.near_edited, r.near_next)[k] - truth[r.doc_id][k] for r in found] for k in (0, 1)]
+    rms = [(sum(e * e for e in side) / len(side)) ** 0.5 for side in errors]
+    print("rms error", rms)
+    assert max(rms) < 0.12
