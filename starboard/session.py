@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -62,7 +63,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 * 1024 * 1024
 
 _batch_lock = threading.Lock()
-_batch_users = 0
+# Who relies on the bound now, by session.
+_batch_users: Counter[int] = Counter()
 
 
 @contextmanager
@@ -71,20 +73,19 @@ def bounded_batches(spark: SparkSession) -> Iterator[None]:
 
     By rows alone a batch of long texts, and its copies on both sides, could be of any size.
     """
-    global _batch_users
-    own = False
+    session = spark._jsparkSession.hashCode()
     with _batch_lock:
-        if _batch_users or spark.conf.get(BATCH_KEY, None) is None:
-            own = True
-            _batch_users += 1
+        own = _batch_users[session] > 0 or spark.conf.get(BATCH_KEY, None) is None
+        if own:
+            _batch_users[session] += 1
             spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
     try:
         yield
     finally:
         with _batch_lock:
             if own:
-                _batch_users -= 1
-                if not _batch_users:
+                _batch_users[session] -= 1
+                if not _batch_users[session]:
                     spark.conf.unset(BATCH_KEY)
 
 

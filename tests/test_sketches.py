@@ -24,7 +24,8 @@ def frames(spark):
         F.col("id").alias("user_id"), F.when(F.col("id") % 4 == 0, "F").otherwise("M").alias("gender"),
         (F.col("id") % 60).cast("int").alias("age"),
         F.when(F.col("id") % 2 == 0, "writer").alias("occupation"))
-    movies = spark.range(5000).select(F.col("id").alias("movie_id"), F.col("id").cast("string").alias("title"))
+    movies = spark.range(5000).select(
+        F.col("id").alias("movie_id"), F.col("id").cast("string").alias("title"))
     genres = movies.select("movie_id", "title", F.when(
         F.col("movie_id") % 5 == 0, "War").otherwise("Drama").alias("genre"))
     return Frames(ratings, movies, users, genres)

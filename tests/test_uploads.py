@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from starboard import snapshots
 from starboard.plans.dataset import load_dataset
 from starboard.sources.parsing import quarantine_of
 from starboard.streaming import ratings as X
