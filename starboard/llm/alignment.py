@@ -207,9 +207,10 @@ def align_documents(docs: DataFrame, byte_pairs: str, pieces: str) -> DataFrame:
 
     Returns _row (a number of the row), doc_id, n_a, n_b, n_groups, groups (as a1,a2|b1;a3|b2,b3)
     and links (all pairs of tokens that overlap, in text order, each as the id of the first
-    tokenizer shifted by ``BITS`` plus that of the second). A text that is null, empty, or that the joined bytes of either side's tokens do not give back, has no tokens.
-    Strings of special tokens are text, repeated rows are rows of their own, very long texts are
-    walked whole in linear time, and extra columns are left out. An empty table gives no rows.
+    tokenizer shifted by ``BITS`` plus that of the second). A text that is null, empty, or that
+    the joined bytes of either side's tokens do not give back, has no tokens. Strings of special
+    tokens are text, repeated rows are rows of their own, very long texts are walked whole in
+    linear time, and extra columns are left out. An empty table gives no rows.
 
     ``byte_pairs`` and ``pieces`` are vocabulary files that every executor can read. Stage the
     result before using it twice: ``_row`` and the work of encoding are not repeated then.
