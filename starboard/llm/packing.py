@@ -31,8 +31,9 @@ CAPACITY = 1024
 # Bytes of text encoded together.
 RUN_BYTES = 1 << 20
 END_OF_TEXT = 2
-# Pieces of one length that are numbered together; a length with more is dealt to parts.
-NUMBERED_TOGETHER = 500_000
+# Pieces of one length are numbered in parts: of at least so many pieces, and so many parts in all
+# at most beside one for each length.
+LEAST_TOGETHER, MOST_PARTS = 256, 8192
 # Fillings tried first around one largest piece, and steps of the branch and bound.
 FILLINGS, NODES = 24, 4000
 # Fixed value: how a byte-level vocabulary of this kind splits a text.
@@ -347,14 +348,16 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFram
     equal pieces takes which place does not matter. An empty table gives no rows.
 
     The text is read once and not moved; the driver holds at most ``capacity`` counts, the plan
-    made of them, and a number for every ``NUMBERED_TOGETHER`` pieces.
+    made of them, and a number for each part, of which there are ``capacity`` and ``MOST_PARTS``
+    at most.
     """
     spark = docs.sparkSession
     cut_up = stage(cut(docs, vocabulary, capacity), "pieces")
     counts = {row["length"]: row["n"] for row in cut_up.groupBy("length").agg(
         F.count("*").alias("n")).collect()}
+    together = max(LEAST_TOGETHER, sum(counts.values()) // MOST_PARTS)
     parts = F.broadcast(spark.createDataFrame(
-        [(length, -(-n // NUMBERED_TOGETHER)) for length, n in counts.items()],
+        [(length, -(-n // together)) for length, n in counts.items()],
         "length long, parts long"))
     pieces = cut_up.join(parts, "length").withColumn("part", F.pmod(
         F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("parts")).cast("int")).drop("parts")
