@@ -14,9 +14,9 @@ from starboard.session import stage
 
 # A frame is broadcast only after it was counted and found to have at most so many slim rows.
 BROADCAST_ROWS = 500_000
-# Keys collected per range to place its borders.
-SAMPLED_KEYS = 32
-MOST_RANGES = 8192
+# Keys collected per range to place its borders. Beyond the most ranges they become longer.
+SAMPLED_KEYS = 16
+MOST_RANGES = 65_536
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from starboard.llm.common import range_borders, range_of
 
 PAGES_PER_RANGE = 400
+RANGES_PER_TASK = 4
 TEMPLATE, BODY, ARTICLE = 0, 1, 2
 
 # What elements mean, by HTML's own vocabulary.
@@ -375,5 +376,7 @@ def extract_pages(pages: DataFrame, pages_per_range: int = PAGES_PER_RANGE) -> D
     parsed = rows.withColumn("range", range_of(F.col("key"), borders)).mapInPandas(
         parse, "page_id long, url string, host string, path string, key string, range int,"
                " lines array<string>, kinds array<int>, guest boolean")
-    return parsed.groupBy("range").applyInPandas(
+    # A few ranges to a task, however many there are; the session's number would not grow.
+    tasks = max(len(edges) // RANGES_PER_TASK, 1)
+    return parsed.repartition(tasks, "range").groupBy("range").applyInPandas(
         difference, "page_id long, url string, text string, n_chars long")
