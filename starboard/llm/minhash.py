@@ -232,7 +232,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     seats = groups.select("a", "salt", F.col("b").alias("id"), F.lit(False).alias("centre")).union(
         groups.select("a", "salt", F.col("a").alias("id"), F.lit(True).alias("centre")).distinct())
     seats = stage(seats, "near-seats")
-    ids = stage(seats.select("id").distinct(), "near-ids")
+    ids = seats.select("id").distinct()
     texts = docs.join(small(ids), docs.doc_id == ids.id, "left_semi").select("doc_id", "text")
     met = seats.join(texts, seats.id == texts.doc_id).select("a", "salt", "id", "centre", "text")
 
@@ -347,7 +347,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("top")).where(
         "labels > 1").select("key", F.col("top.label").alias("main"))
     in_open = stage(named.join(largest, "key"), "near-open-bands")
-    ids = stage(in_open.select(F.col("doc_id").alias("id")).distinct(), "near-ids")
+    ids = in_open.select(F.col("doc_id").alias("id")).distinct()
     texts = docs.join(small(ids), docs.doc_id == ids.id, "left_semi")
     looked_at = stage(sketches(texts).dropDuplicates(["doc_id"]).join(bits, "doc_id"),
                       "near-sketches")
