@@ -751,7 +751,7 @@ def test_copies_beside_a_page_are_passed_over(spark):
 def test_pieces_of_one_length_are_numbered_in_parts(spark, monkeypatch):
     docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("one two three").alias("text"))
     whole = packing.pack(docs, queries.vocabulary()).collect()
-    monkeypatch.setattr(packing, "NUMBERED_TOGETHER", 7)
+    monkeypatch.setattr(packing, "LEAST_TOGETHER", 7)
     parts = packing.pack(docs, queries.vocabulary()).collect()
     for rows in (whole, parts):
         seats = Counter((r.sequence_id, r.offset) for r in rows)
