@@ -65,15 +65,20 @@ def load_dataset(
     """
     lines = scan_lines(spark, path, exts)
     with sized_shuffles(lines):
-        return _load(spark, path, list_files(spark, path, exts), lines, lo, hi)
+        return _load(spark, path, exts, lines, lo, hi)
 
 
 def _load(
-    spark: SparkSession, path: str, files: DataFrame, lines: DataFrame, lo: float, hi: float
+    spark: SparkSession, path: str, exts: tuple[str, ...], lines: DataFrame, lo: float, hi: float
 ) -> Dataset:
+    files = list_files(spark, path, exts)
     sniffed = stage(sniff_dialect(lines), "dialects")
     bare = not sniffed.where("not has_header and sep is not null").isEmpty()
-    dialects = stage(with_profiles(lines, sniffed), "profiled") if bare else sniffed
+
+    def reread(paths: list[str]) -> DataFrame:
+        return scan_lines(spark, paths, exts)
+
+    dialects = stage(with_profiles(lines, sniffed, reread), "profiled") if bare else sniffed
     admission = admission_report(files, dialects)
     size = measure(dialects)
     if size.files == 0:

@@ -24,8 +24,10 @@ def list_files(spark: SparkSession, path: str, exts: Sequence[str] = EXTENSIONS)
     return spark.createDataFrame([(name,) for name in listed], "file_path string")
 
 
-def scan_lines(spark: SparkSession, path: str, exts: Sequence[str] = EXTENSIONS) -> DataFrame:
-    """(value, file_path, pos) for every line; ``pos`` orders the lines within a file.
+def scan_lines(
+    spark: SparkSession, path: str | list[str], exts: Sequence[str] = EXTENSIONS
+) -> DataFrame:
+    """(value, file_path, pos) for every line of a folder, or of some paths; ``pos`` orders the lines within a file.
 
     Files are split, so the order is by block first and by row within the task second.
     A byte order mark is dropped by the text reader.

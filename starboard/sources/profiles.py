@@ -9,6 +9,10 @@ ambiguous and stays out. Profiles are data like dialects: one plan for any numbe
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -162,13 +166,30 @@ def assign_columns(profiles: DataFrame) -> DataFrame:
         (F.col("seems").isNotNull() & F.col("role").isNull()).alias("ambiguous"))
 
 
-def with_profiles(lines: DataFrame, dialects: DataFrame) -> DataFrame:
+def _pattern_of(file_path: str) -> str:
+    """The pattern that matches just the file of a path as a scan spells it."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file_path))
+
+
+# So many headerless files are read by their paths; of more the lines of all files are joined.
+MOST_PATHS = 1000
+
+
+def with_profiles(
+    lines: DataFrame, dialects: DataFrame,
+    reread: Callable[[list[str]], DataFrame] | None = None,
+) -> DataFrame:
     """``dialects`` with role and positions of headerless files, and ``ambiguous``.
 
     The lines of headerless files are read once more; without such files nothing is read.
+    ``reread`` gives the lines of some files by their paths, so that others are not touched.
     """
-    if dialects.where("not has_header and sep is not null").isEmpty():
+    bare = dialects.where("not has_header and sep is not null").select("file_path")
+    names = [row["file_path"] for row in bare.limit(MOST_PATHS + 1).collect()]
+    if not names:
         return dialects.withColumn("ambiguous", F.lit(False))
+    if reread and len(names) <= MOST_PATHS:
+        lines = reread([_pattern_of(name) for name in names])
     assigned = assign_columns(profile_columns(lines, dialects)).select(
         "file_path", F.col("role").alias("told_role"), F.col("at").alias("told_at"), "ambiguous")
     told = F.col("told_role").isNotNull()

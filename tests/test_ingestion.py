@@ -3,7 +3,7 @@
 import pytest
 
 from starboard.plans.dataset import DatasetRejected, load_dataset
-from starboard.sources import sizes
+from starboard.sources import profiles, sizes
 from starboard.sources.dialects import admission_report, sniff_dialect
 from starboard.sources.lines import list_files, scan_lines
 from starboard.sources.profiles import with_profiles
@@ -295,3 +295,23 @@ def test_joins_of_profiles_and_broadcasts_of_them_agree(spark, folder, monkeypat
     broadcast = told(spark, path)
     monkeypatch.setattr(sizes, "BROADCAST_BYTES", 0)
     assert told(spark, path) == broadcast
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_only_headerless_files_are_read_again(spark, tmp_path, most, monkeypatch):
+    path = tmp_path / "names"
+    path.mkdir()
+    for name in ("plain", "two words", "a[b]c", "x{y,z}", "50%20 é"):
+        (path / f"{name}.csv").write_text("1,20,4.5\n2,21,3.0\n")
+    (path / "headed.csv").write_text(RATINGS)
+    monkeypatch.setattr(profiles, "MOST_PATHS", most)
+    lines, asked = scan_lines(spark, str(path)), []
+
+    def reread(paths):
+        asked.extend(scan_lines(spark, paths).select("file_path").distinct().collect())
+        return scan_lines(spark, paths)
+
+    dialects = with_profiles(lines, sniff_dialect(lines), reread)
+    assert {r["role"] for r in dialects.collect()} == {"ratings"} and dialects.count() == 6
+    assert len(asked) == (5 if most else 0)
+    assert load_dataset(spark, str(path)).frames.ratings.count() == 4
