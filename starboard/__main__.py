@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from starboard.plans import marts
 from starboard.plans.dataset import analyze_dataset, analyze_raw_dataset
-from starboard.session import build_session
+from starboard.session import build_session, release_staged
 
 
 def main(given: Sequence[str] | None = None) -> None:
@@ -32,6 +32,7 @@ def main(given: Sequence[str] | None = None) -> None:
     analyze = analyze_raw_dataset if args.raw else analyze_dataset
     analyze(spark, args.folder, args.root, number, args.name, **options)
     marts.list_datasets(spark, args.root).where(f"id = {number}").show(truncate=False)
+    release_staged(spark)
 
 
 if __name__ == "__main__":

@@ -96,11 +96,29 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     planner the true size, so that a broadcast is chosen by size and not by guess.
     """
     path = scratch_path(df.sparkSession, label)
+    _staged.setdefault(df.sparkSession._jsparkSession.hashCode(), []).append(path)
     with bounded_batches(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Paths of the tables a session has staged.
+_staged: dict[int, list[str]] = {}
+
+
+def release_staged(spark: SparkSession) -> int:
+    """Delete the tables this session has staged and say how many; for the end of a job.
+
+    Frames that read them, such as the parts of a loaded dataset, cannot be used after it. Written
+    datasets and results of streams lie elsewhere and stay.
+    """
+    paths = _staged.pop(spark._jsparkSession.hashCode(), [])
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)
+
+
 # A shuffle partition should hold about this much of the input, however large that is.
 BYTES_PER_PARTITION = 256 * 1024 * 1024
 

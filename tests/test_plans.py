@@ -200,3 +200,15 @@ def test_batches_to_python_are_bounded_while_a_table_is_written(spark):
         seen.append(spark.conf.get(key))
     assert seen[-1] == spark.conf.get(key) == "1000000"
     spark.conf.unset(key)
+
+
+def test_staged_tables_go_when_a_job_is_done(spark, tmp_path):
+    other = spark.newSession()
+    kept = session.stage(spark.range(3), "kept")
+    gone = [session.stage(other.range(n), "gone") for n in (1, 2)]
+    paths = [frame.inputFiles()[0] for frame in gone]
+    assert session.release_staged(other) == 2 and session.release_staged(other) == 0
+    for path in paths:
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            other.read.parquet(path)
+    assert kept.count() == 3
