@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from starboard.functions.columns import case, not_blank
 from starboard.operators.mapping import normalized
 from starboard.schemas import ALIASES, DATA_NAME_PARTS, DATA_NAMES, HEADER_NAMES
+from starboard.sources.lines import first_text
 
 DELIMITERS = ("::", "\t", ",")
 
@@ -97,14 +98,13 @@ def sniff_dialect(lines: DataFrame) -> DataFrame:
     """One row per file with at least one line that is not blank.
 
     The first such line decides. The set of delimiters seen tells files with mixed
-    delimiters apart; being an object aggregate it also lets Spark hash where the text
-    of the first line alone would make it sort all lines.
+    delimiters apart.
     """
     text = lines.where(not_blank("value")).select(
         "file_path", "pos", F.trim("value").alias("line")
     )
     heads = text.groupBy("file_path").agg(
-        F.min_by("line", "pos").alias("head"),
+        first_text("line", "pos").alias("head"),
         F.array_sort(F.collect_set(delimiter_of(F.col("line")))).alias("delimiters_seen"),
         F.count(F.lit(1)).alias("n_lines"),
     )

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starboard.functions.columns import ColumnLike
 from starboard.schemas import EXTENSIONS
 
 
@@ -41,3 +42,14 @@ def scan_lines(
             F.monotonically_increasing_id().alias("row"),
         ).alias("pos"),
     )
+
+
+def first_text(text: ColumnLike, pos: ColumnLike) -> Column:
+    """The text at the least position, as an aggregate for which lines are hashed by their file.
+
+    ``min_by`` alone keeps a text in its buffer, for which Spark sorts all lines of a task. An
+    object aggregate beside it makes it hash; it is part of the value, so that it is not pruned
+    where only some columns of the result are read.
+    """
+    seen = F.collect_set(F.lit(True))
+    return F.when(F.size(seen) > 0, F.min_by(text, pos))
