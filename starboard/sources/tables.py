@@ -21,6 +21,7 @@ from starboard.operators.mapping import fallbacks, normalized
 from starboard.schemas import ALIASES, CANONICAL, HEADER_NAMES, RAW_COLUMNS
 from starboard.session import stage
 from starboard.sources.dialects import cells_of, split_line
+from starboard.sources.lines import first_text
 from starboard.sources.sizes import small_enough
 
 
@@ -38,7 +39,7 @@ def _headed(
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row")).alias("pos"))
     heads = stage(lines.groupBy("file_path").agg(
-        F.min_by(F.trim("value"), "pos").alias("head")), "heads")
+        first_text(F.trim("value"), "pos").alias("head")), "heads")
     fields = F.size(split_line(F.col("head"), F.lit(sep)))
     width = max(heads.agg(F.max(fields)).first()[0] or 0, 2)
 

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from starboard import session
 from starboard.operators import analyses as A
-from starboard.sources.dialects import sniff_dialect
-from starboard.sources.lines import scan_lines
+from starboard.sources import tables as tables_of
+from starboard.sources.dialects import admission_report, sniff_dialect
+from starboard.sources.lines import list_files, scan_lines
 from starboard.sources.parsing import measure, parse_rows
 
 
@@ -95,6 +96,23 @@ def test_sniffing_hashes_and_parsing_broadcasts(spark, folder):
     assert "BroadcastHashJoin" in plan(parse_rows(lines, dialects))
 
 
+@pytest.mark.parametrize("columns", [["file_path", "head"], ["has_header", "n_lines"], ["role"]])
+def test_sniffing_hashes_whatever_columns_are_read(spark, folder, columns):
+    path = folder(a_csv="\nuser_id,movie_id,rating\n1,2,3\n", b_csv="x,y\n")
+    dialects = sniff_dialect(scan_lines(spark, path))
+    assert "SortAggregate" not in plan(dialects.select(*columns))
+    assert "SortAggregate" not in plan(admission_report(list_files(spark, path), dialects))
+
+
+def test_headers_of_known_layouts_are_found_by_hashing(spark, folder, monkeypatch):
+    path, staged = folder(a_csv="\n\"rating\",user_id,movie_id\n4,1,2\n"), []
+    monkeypatch.setattr(
+        tables_of, "stage", lambda df, label: staged.append(plan(df)) or session.stage(df, label))
+    found = tables_of.read_table(spark, path, "ratings").collect()
+    assert [(row["user_id"], row["movie_id"], row["rating"]) for row in found] == [(1, 2, 4.0)]
+    assert len(staged) == 1 and "SortAggregate" not in staged[0]
+
+
 def test_parsing_without_broadcast_gives_the_same(spark, folder, rows, monkeypatch):
     path = folder(a_csv="user_id,movie_id,rating\n1,2,3\n", b_tsv="movie_id\ttitle\n1\tx\n")
     lines = scan_lines(spark, path)
