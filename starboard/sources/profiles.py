@@ -52,17 +52,20 @@ def profile_columns(lines: DataFrame, dialects: DataFrame) -> DataFrame:
     cells = lines.where(not_blank("value")).join(bare, "file_path").select(
         "file_path", F.posexplode(cells_of(F.col("value"), F.col("sep"), width)).alias("pos", "cell"))
     value = F.nullif(strip("cell"), F.lit(""))
-    number, whole = to_number(value, "double"), to_number(value, "bigint")
-    typed = cells.select("file_path", "pos", value.alias("value"), number.alias("number"),
-                         whole.alias("whole")).where("value is not null")
-    number, whole, value = F.col("number"), F.col("whole"), F.col("value")
+    values = cells.select("file_path", "pos", value.alias("value")).where("value is not null")
+    wholes = values.withColumn("whole", to_number("value", "bigint"))
+    whole, value = F.col("whole"), F.col("value")
+    # A whole number is one, and has no letter: only other values meet the further patterns.
+    number = F.when(whole.isNotNull(), whole.cast("double")).otherwise(to_number(value, "double"))
+    typed = wholes.withColumn("number", number)
+    number, other = F.col("number"), whole.isNull()
     kinds = {
         "key": whole.isNotNull(),
         "score": number.between(0, 10),
         "time": whole.between(100_000_000, 99_999_999_999),
-        "gender": F.lower(value).isin("m", "f", "male", "female"),
+        "gender": other & F.lower(value).isin("m", "f", "male", "female"),
         "age": whole.between(1, 120),
-        "text": value.rlike("[A-Za-z\\u0080-\\uFFFF]"),
+        "text": other & value.rlike("[A-Za-z\\u0080-\\uFFFF]"),
         "listed": F.contains(value, F.lit("|")),
     }
     return typed.groupBy("file_path", "pos").agg(
