@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache, reduce
+from functools import cache, partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -272,7 +272,8 @@ def headerless_users(spark, sf):
 def headerless_admission(spark, sf):
     """Lines of files by role and by the canonical columns at their positions."""
     lines = scan_lines(spark, R.headerless_folder(spark, sf))
-    dialects = stage(with_profiles(lines, sniff_dialect(lines)), "profiled")
+    sniffed = stage(sniff_dialect(lines), "dialects")
+    dialects = stage(with_profiles(lines, sniffed, partial(scan_lines, spark)), "profiled")
     report = admission_report(list_files(spark, R.headerless_folder(spark, sf)), dialects)
     path = F.regexp_replace("file_path", "^file:/+", "file:/")
     names = dialects.schema["at"].dataType.names
