@@ -22,7 +22,7 @@ from starboard.sources.dialects import admission_report, sniff_dialect
 from starboard.sources.lines import name_pattern
 from starboard.sources.parsing import HEADER, canonical_movies, canonical_users, parse_rows
 from starboard.sources.profiles import with_profiles
-from starboard.streaming.ratings import start
+from starboard.streaming.ratings import start, unsorted_folders
 
 RATING = ("user_id", "movie_id", "rating", "ts")
 
@@ -70,6 +70,7 @@ def ingest_uploads(
         dialects = stage(with_profiles(numbered, sniffed), "profiled")
         report = admission_report(dialects.select("file_path"), dialects)
         report.write.mode("overwrite").parquet(f"{out}/files/batch_id={batch_id}")
+        unsorted_folders(batch.sparkSession)
         time = arrived(batch_id) if arrived else F.current_timestamp()
         rows = parse_rows(numbered, dialects, lo, hi).where(F.col("reason") != HEADER)
         rows.drop("extra").withColumn("arrived", time).write.mode("overwrite").partitionBy(
