@@ -122,6 +122,10 @@ def release_staged(spark: SparkSession) -> int:
 # A shuffle partition should hold about this much of the input, however large that is.
 BYTES_PER_PARTITION = 256 * 1024 * 1024
 
+# Rows of a table take about this much more memory than its compressed files. By the size of the
+# files alone Spark would send tables of many times its broadcast limit through the driver.
+SIZE_KEY, ROWS_PER_FILE_BYTE = "spark.sql.sources.fileCompressionFactor", 8.0
+
 # Spark gives relations of unknown size the largest long.
 _UNKNOWN_SIZE = 1 << 62
 
@@ -131,9 +135,12 @@ def size_shuffles(*frames: DataFrame, bytes_per_partition: int = BYTES_PER_PARTI
 
     AQE merges small partitions but never splits an aggregation, so the number to start
     from has to fit the input. It is only ever raised. Returns the number in force.
+    Joins planned from then on take tables for as large as their rows are, not their files.
     """
     spark = frames[0].sparkSession
-    total = sum(_bytes_read(frame) for frame in frames)
+    factor = max(float(spark.conf.get(SIZE_KEY)), ROWS_PER_FILE_BYTE)
+    spark.conf.set(SIZE_KEY, str(factor))
+    total = int(sum(_bytes_read(frame) for frame in frames) / factor)
     wanted = -(-total // bytes_per_partition)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if wanted > current:
@@ -145,13 +152,14 @@ def size_shuffles(*frames: DataFrame, bytes_per_partition: int = BYTES_PER_PARTI
 def sized_shuffles(
     *frames: DataFrame, bytes_per_partition: int = BYTES_PER_PARTITION
 ) -> Iterator[int]:
-    """``size_shuffles`` for the jobs inside; the session's setting comes back after them."""
+    """``size_shuffles`` for the jobs inside; the session's settings come back after them."""
     spark = frames[0].sparkSession
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", SIZE_KEY)}
     try:
         yield size_shuffles(*frames, bytes_per_partition=bytes_per_partition)
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def _bytes_read(frame: DataFrame) -> int:

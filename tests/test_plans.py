@@ -166,6 +166,16 @@ def test_shuffles_are_sized_for_the_jobs_inside_only(spark, tables):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
+def test_tables_are_broadcast_by_the_size_of_their_rows(spark, tables):
+    before = spark.conf.get(session.SIZE_KEY)
+    size = lambda: int(str(spark.read.parquet(*tables["users"].inputFiles())
+                           ._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    plain = size()
+    with session.sized_shuffles(tables["users"]):
+        assert size() >= session.ROWS_PER_FILE_BYTE * plain - 8
+    assert spark.conf.get(session.SIZE_KEY) == before and size() == plain
+
+
 def test_profiles_join_and_group_on_one_shuffle_per_side(spark, tables):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
