@@ -22,6 +22,7 @@ from starboard.sources.dialects import admission_report, sniff_dialect
 from starboard.sources.lines import name_pattern
 from starboard.sources.parsing import HEADER, canonical_movies, canonical_users, parse_rows
 from starboard.sources.profiles import with_profiles
+from starboard.streaming.held import first_within
 from starboard.streaming.ratings import start, unsorted_folders
 
 RATING = ("user_id", "movie_id", "rating", "ts")
@@ -110,7 +111,7 @@ def unique_ratings(spark: SparkSession, out: str, within: str = "7 days") -> Dat
     usable = rows.where((F.col("role") == "ratings") & (F.col("reason") == ROW_OK))
     ratings = usable.select(*RATING, "arrived").withColumn(
         "ts", F.coalesce("ts", F.lit(0).cast("bigint")))
-    return ratings.withWatermark("arrived", within).dropDuplicatesWithinWatermark(list(RATING))
+    return first_within(ratings, RATING, "arrived", within)
 
 
 def write_unique(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starboard.plans.dataset import load_dataset
 from starboard.sources.parsing import quarantine_of
+from starboard.streaming import held as H
 from starboard.streaming import ratings as X
 from starboard.streaming import uploads as U
 
@@ -175,3 +176,56 @@ def test_batches_are_not_sorted_by_their_folders(spark, work, declared, monkeypa
     assert seen == [str(X.MOST_FOLDERS)]
     # The caller's session keeps its own setting.
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_state_has_fewer_entries_than_ratings(spark, work):
+    head = "user_id,movie_id,rating,ts\n"
+    ratings = [f"{i % 97 - 5},{i},{i % 10},{i}\n" for i in range(2 * H.PARTS)]
+    for name in ("a", "b"):
+        put(work, **{f"{name}_csv": head + "".join(ratings)})
+        ingest(spark, work, 0)
+        query = unique(spark, work)
+        assert 0 < query.lastProgress["stateOperators"][0]["numRowsTotal"] <= H.PARTS
+    kept = U.uploaded_ratings(spark, str(work / "out"))
+    assert kept.count() == kept.distinct().count() == 2 * H.PARTS
+    assert kept.where("user_id = movie_id % 97 - 5 and rating = movie_id % 10 and ts = movie_id"
+                      ).count() == 2 * H.PARTS
+
+
+@pytest.mark.parametrize("parts", [1, 50])
+def test_first_rows_are_those_of_sparks_own_operator(spark, work, rows, parts, monkeypatch):
+    monkeypatch.setattr(H, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(H, "GATHERED_ROWS", 40)
+    schema = "key long, score double, at timestamp"
+    stream = spark.readStream.schema(schema).parquet(str(work / "in"))
+    runs = {
+        "own": stream.withWatermark("at", "36 hours").dropDuplicatesWithinWatermark(["key", "score"]),
+        "held": H.first_within(stream, ["key", "score"], "at", "36 hours", parts),
+    }
+    start = dt.datetime(2024, 1, 1)
+    for step, hour in enumerate((0, 20, 36, 37, 50, 120, 121, 90, 156, 157, 300)):
+        time = start + dt.timedelta(hours=hour)
+        keys = [(i - 3) * 2**60 if i < 7 else i for i in range(step % 4, 60 + step, 1 + step % 3)]
+        data = [(key, score, time) for key in keys for score in (0.0, -0.5, 1e300)]
+        spark.createDataFrame(data * 2, schema).write.mode("append").parquet(str(work / "in"))
+        for name, frame in runs.items():
+            X.start(frame, lambda batch, n, name=name: batch.write.mode("append").parquet(
+                str(work / name)), "append", str(work / f"{name}-log"), True).awaitTermination()
+    found = {name: rows(spark.read.parquet(str(work / name)), "key", "score", "at") for name in runs}
+    assert found["held"] == found["own"]
+    assert len(found["held"]) > 3 * 60
+
+
+def test_the_earliest_of_a_batch_counts(spark, work, rows):
+    start, schema = dt.datetime(2024, 1, 1), "key long, at timestamp"
+    stream = spark.readStream.schema(schema).parquet(str(work / "in"))
+    # The watermark of the second batch is past a week after day 3, not after days 4 and 5.
+    for batch in ([(1, 5), (1, 3), (1, 4)], [(1, 9), (2, 17.5)], [(1, 18)]):
+        data = [(key, start + dt.timedelta(day)) for key, day in batch]
+        spark.createDataFrame(data, schema).write.mode("append").parquet(str(work / "in"))
+        X.start(H.first_within(stream, ["key"], "at", "7 days"),
+                lambda batch, n: batch.write.mode("append").parquet(str(work / "kept")), "append",
+                str(work / "log"), True).awaitTermination()
+    kept = rows(spark.read.parquet(str(work / "kept")), "key", "at")
+    assert sorted((key, (at - start).total_seconds() / 86400) for key, at in kept) == [
+        (1, 3), (1, 18), (2, 17.5)]
